@@ -11,27 +11,43 @@ from corvane.functions.vectors import decode_values
 from corvane.operators import decomposition as dc
 from corvane.operators import profiles as pf
 from corvane.operators import stations as st
+from corvane.session import shared_folder
+from corvane.sources.results import ResultStore
 from corvane.sources.tables import top_basis, weather_of
 
 COUNTRY, MEASUREMENT = "NATION_3", "click"
 
 
-def _decoded(spark, sf_dir):
-    return weather(spark, sf_dir).withColumn("Values", decode_values(F.col("Values"), missing=MISSING))
+def _stored(spark, df, name):
+    """`df` as a written table, for inputs that a query reads more than once."""
+    return ResultStore(spark, shared_folder(spark, "weather")).write(name, df)
 
 
-def _basis(spark, sf_dir):
-    mean = dc.fetch_means(dc.day_means(_decoded(spark, sf_dir), "Values"))
-    return wave_basis(mean)
+def _values():
+    return decode_values(F.col("Values"), missing=MISSING)
+
+
+def _basis(rows):
+    return wave_basis(dc.fetch_means(dc.day_means(rows, _values())))
 
 
 def _decomposed(spark, sf_dir):
-    values = decode_values(F.col("Values"), missing=MISSING)
-    return dc.decompose(weather(spark, sf_dir), values, _basis(spark, sf_dir))
+    """The decomposed rows, not yet run, and the basis."""
+    rows = _stored(spark, weather(spark, sf_dir), "weather")
+    basis = _basis(rows)
+    return dc.decompose(rows, _values(), basis), basis
 
 
 def _stations(spark, sf_dir):
-    return st.with_nearest_group(st.stations(_decomposed(spark, sf_dir)))
+    return st.with_nearest_group(st.stations(_decomposed(spark, sf_dir)[0]))
+
+
+def _grouped_rows(spark, sf_dir):
+    """Measurements with their station's group, and the basis; all from one decomposed table."""
+    decomposed, basis = _decomposed(spark, sf_dir)
+    decomposed = _stored(spark, decomposed, "decomposed")
+    stations = st.with_nearest_group(st.stations(decomposed))
+    return pf.grouped_rows(decomposed.select("Station", "Year", _values().alias("values")), stations), basis
 
 
 def _rounded(df, columns, digits):
@@ -78,7 +94,8 @@ def w03_cumvar(spark, sf_dir):
 
 
 def w04_decode(spark, sf_dir):
-    rows = _decoded(spark, sf_dir).select("Station", "measurement", F.posexplode("Values").alias("pos", "value"))
+    decoded = weather(spark, sf_dir).select("Station", "measurement", _values().alias("values"))
+    rows = decoded.select("Station", "measurement", F.posexplode_outer("values").alias("pos", "value"))
     return rows.select(
         "Station",
         "measurement",
@@ -88,18 +105,20 @@ def w04_decode(spark, sf_dir):
 
 
 def w05_decompose(spark, sf_dir):
-    rows = _decomposed(spark, sf_dir).select("Station", "measurement", "coeff_1", "coeff_2", "res_0", "res_1", "res_2")
+    rows, _ = _decomposed(spark, sf_dir)
+    rows = rows.select("Station", "measurement", "coeff_1", "coeff_2", "res_0", "res_1", "res_2")
     return _rounded(_rounded(rows, ["coeff_1", "coeff_2"], 4), ["res_0", "res_1", "res_2"], 6)
 
 
 def w06_reconstruct(spark, sf_dir):
-    keys = ["Station", "measurement"]
-    rows = dc.approximations(_decomposed(spark, sf_dir), keys, _basis(spark, sf_dir))
+    decomposed, basis = _decomposed(spark, sf_dir)
+    rows = dc.approximations(decomposed, ["Station", "measurement"], basis)
     return _rounded(rows, ["value"], 4)
 
 
 def w07_residual_filter(spark, sf_dir):
-    decomposed = _decomposed(spark, sf_dir).select("Station", "measurement", "coeff_1", "coeff_2", "res_1", "res_2")
+    columns = ("Station", "measurement", "coeff_1", "coeff_2", "res_1", "res_2")
+    decomposed = _stored(spark, _decomposed(spark, sf_dir)[0].select(*columns), "decomposed")
     first = dc.well_described(decomposed, 1, below=0.9).withColumn("by", F.lit(1))
     second = dc.well_described(decomposed, 2, below=0.8, above_previous=0.85).withColumn("by", F.lit(2))
     rows = first.unionByName(second).select("by", "Station", "measurement", "coeff_1", "coeff_2")
@@ -107,14 +126,15 @@ def w07_residual_filter(spark, sf_dir):
 
 
 def w08_extremes(spark, sf_dir):
-    decomposed = _decomposed(spark, sf_dir).select("Station", "measurement", "coeff_1", "coeff_2")
+    columns = ("Station", "measurement", "coeff_1", "coeff_2")
+    decomposed = _stored(spark, _decomposed(spark, sf_dir)[0].select(*columns), "decomposed")
     ends = dc.extremes(decomposed, "coeff_1", ["Station", "measurement"])
     best = dc.highest(decomposed, "coeff_2").withColumn("side", F.lit("best_2"))
     return _rounded(ends.unionByName(best), ["coeff_1", "coeff_2"], 4)
 
 
 def w09_station_means(spark, sf_dir):
-    means = st.station_means(_decomposed(spark, sf_dir))
+    means = st.station_means(_decomposed(spark, sf_dir)[0])
     means = means.toDF("Station", "coeff_1", "coeff_2", "Longitude", "Latitude")
     return _rounded(means, ["coeff_1", "coeff_2", "Longitude", "Latitude"], 4)
 
@@ -124,7 +144,7 @@ def w10_station_counts(spark, sf_dir):
 
 
 def w11_stations(spark, sf_dir):
-    rows = st.stations(_decomposed(spark, sf_dir)).withColumnRenamed("count", "n")
+    rows = st.stations(_decomposed(spark, sf_dir)[0]).withColumnRenamed("count", "n")
     return _rounded(rows, ["coeff_1", "coeff_2", "Longitude", "Latitude"], 4)
 
 
@@ -146,8 +166,7 @@ def w15_markers(spark, sf_dir):
 
 
 def w16_group_rows(spark, sf_dir):
-    decoded = _decoded(spark, sf_dir)
-    rows = pf.grouped_rows(decoded, _stations(spark, sf_dir))
+    rows, _ = _grouped_rows(spark, sf_dir)
     return rows.select(
         "Station",
         "Year",
@@ -156,12 +175,8 @@ def w16_group_rows(spark, sf_dir):
     )
 
 
-def _profiles(spark, sf_dir):
-    return pf.profile(pf.grouped_rows(_decoded(spark, sf_dir), _stations(spark, sf_dir)))
-
-
 def w17_profile(spark, sf_dir):
-    return _rounded(_profiles(spark, sf_dir), ["value"], 6)
+    return _rounded(pf.profile(_grouped_rows(spark, sf_dir)[0]), ["value"], 6)
 
 
 def w18_scaled_series(spark, sf_dir):
@@ -170,15 +185,16 @@ def w18_scaled_series(spark, sf_dir):
 
 
 def w19_fit_moments(spark, sf_dir):
-    rows = weather(spark, sf_dir).select(decode_values(F.col("Values"), missing=MISSING).alias("v"))
-    means = dc.day_means(rows, "v")
-    spread = dc.covariance(rows, "v", dc.fetch_means(means))
+    rows = _stored(spark, weather(spark, sf_dir), "weather")
+    means = dc.day_means(rows, _values())
+    spread = dc.covariance(rows, _values(), dc.fetch_means(means))
     joined = spread.join(means.select(F.col("day").alias("i"), "mean"), "i")
     return joined.select("i", "j", F.round("mean", 6).alias("mean"), F.round("cov", 3).alias("cov"))
 
 
 def w20_profile_match(spark, sf_dir):
-    rows = pf.match_profiles(_profiles(spark, sf_dir), _basis(spark, sf_dir))
+    grouped, basis = _grouped_rows(spark, sf_dir)
+    rows = pf.match_profiles(pf.profile(grouped), basis)
     return _rounded(rows, ["coeff_1", "coeff_2"], 4)
 
 

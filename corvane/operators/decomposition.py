@@ -6,6 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ MAX_DAYS = 4096
 def day_means(rows: DataFrame, values: str | Column) -> DataFrame:
     """`day, mean` over the rows that have the day; one row a day."""
     return (
-        rows.select(F.posexplode(values).alias("pos", "value"))
+        rows.select(F.posexplode_outer(values).alias("pos", "value"))
         .filter(F.col("value").isNotNull())
         .groupBy((F.col("pos") + 1).alias("day"))
         .agg(F.avg("value").alias("mean"))
@@ -60,10 +62,11 @@ def covariance(rows: DataFrame, values: str | Column, mean: list[float]) -> Data
     partial = rows.select(F.col(values) if isinstance(values, str) else values).mapInArrow(
         products, "i int, n bigint, line array<double>"
     )
-    return (
-        partial.select("i", "n", F.posexplode("line").alias("pos", "s"))
-        .groupBy("i", (F.col("pos") + 1).alias("j"))
-        .agg((F.sum("s") / F.nullif(F.sum("n") - 1, F.lit(0))).alias("cov"))
+    lines = partial.groupBy("i").agg(
+        F.sum("n").alias("n"), Summarizer.sum(array_to_vector("line")).alias("line")
+    )
+    return lines.select("i", "n", F.posexplode(vector_to_array("line")).alias("pos", "s")).select(
+        "i", (F.col("pos") + 1).alias("j"), (F.col("s") / F.nullif(F.col("n") - 1, F.lit(0))).alias("cov")
     )
 
 
@@ -118,13 +121,17 @@ def scaled_series(basis_table: DataFrame, height: float = 0.2) -> DataFrame:
 
 
 def decompose(rows: DataFrame, values: str | Column, basis: Basis) -> DataFrame:
-    """`rows` with `coeff_1 .. coeff_k` and `res_0 .. res_k` added."""
+    """`rows` with `coeff_1 .. coeff_k` and `res_0 .. res_k` added.
+
+    `inline` keeps later filters on these columns above the projection;
+    pushed below it they would run it a second time.
+    """
     column = F.col(values) if isinstance(values, str) else values
-    split = rows.withColumn("_split", vx.project(column, basis))
+    split = rows.select(*rows.columns, F.inline(F.array(vx.project(column, basis))))
     return split.select(
         *rows.columns,
-        *[F.get("_split.coeff", F.lit(i)).alias(f"coeff_{i + 1}") for i in range(basis.k)],
-        *[F.get("_split.res", F.lit(i)).alias(f"res_{i}") for i in range(basis.k + 1)],
+        *[F.get("coeff", F.lit(i)).alias(f"coeff_{i + 1}") for i in range(basis.k)],
+        *[F.get("res", F.lit(i)).alias(f"res_{i}") for i in range(basis.k + 1)],
     )
 
 
@@ -132,8 +139,8 @@ def approximations(decomposed: DataFrame, keys: list[str], basis: Basis) -> Data
     """`keys, k, day, value`: every row's approximation by 0, 1, ... eigenvectors, in long form."""
     coeff = F.array(*[F.col(f"coeff_{i + 1}") for i in range(basis.k)])
     return (
-        decomposed.select(*keys, F.posexplode(vx.reconstruct(coeff, basis)).alias("k", "approx"))
-        .select(*keys, "k", F.posexplode("approx").alias("pos", "value"))
+        decomposed.select(*keys, F.posexplode_outer(vx.reconstruct(coeff, basis)).alias("k", "approx"))
+        .select(*keys, "k", F.posexplode_outer("approx").alias("pos", "value"))
         .select(*keys, "k", (F.col("pos") + 1).alias("day"), "value")
     )
 

@@ -30,7 +30,7 @@ def profile(rows: DataFrame) -> DataFrame:
     group and day, not per measurement.
     """
     return (
-        rows.select(F.col("group").alias("group_id"), F.posexplode("values").alias("pos", "value"))
+        rows.select(F.col("group").alias("group_id"), F.posexplode_outer("values").alias("pos", "value"))
         .filter(F.col("value").isNotNull())
         .groupBy("group_id", (F.col("pos") + 1).alias("day"))
         .agg(F.avg("value").alias("value"))
