@@ -41,15 +41,18 @@ def gcd(a: Column, b: Column) -> Column:
 
 
 def direction(dx: Column, dy: Column) -> Column:
-    """The direction in lowest terms, the same for (dx, dy) and (-dx, -dy)."""
+    """The direction in lowest terms, the same for (dx, dy) and (-dx, -dy).
+
+    Nulls for (0, 0): Spark may look at a pair of equal points before it drops it.
+    """
     sign = F.when((dx < 0) | ((dx == 0) & (dy < 0)), F.lit(-1)).otherwise(F.lit(1))
     parts = F.struct((sign * dx).alias("dx"), (sign * dy).alias("dy"), gcd(dx, dy).alias("g"))
     # A transform over one element, so that the fold in `g` runs once a pair.
     reduced = F.transform(
         F.array(parts),
         lambda p: F.struct(
-            F.call_function("div", p["dx"], p["g"]).alias("dx"),
-            F.call_function("div", p["dy"], p["g"]).alias("dy"),
+            F.call_function("div", p["dx"], F.nullif(p["g"], F.lit(0))).alias("dx"),
+            F.call_function("div", p["dy"], F.nullif(p["g"], F.lit(0))).alias("dy"),
         ),
     )
     return reduced[0]

@@ -1,0 +1,131 @@
+import json
+
+import pytest
+from conftest import plan_of
+from pyspark.sql import functions as F
+
+from corvane import schemas
+from corvane.operators import messages as ms
+from corvane.sources.lines import count_lines, lines_from, rows_to_frame
+
+FULL = '{"created_at":"x","id_str":"9","user":{"id_str":"1","name":"n"},"text":"hi"}'
+LINES = [
+    (FULL, "valid"),
+    (f"  {FULL}\t", "valid"),
+    ('{"created_at":null,"user":{"id_str":"1"},"text":"hi"}', "valid"),
+    ('{"created_at":"a","created_at":"b","user":{"id_str":"1"},"text":"hi"}', "valid"),
+    ('{"created_at":"x","user":{"id_str":"1"},"text":"hi","retweeted_status":{"text":"no","user":{"id_str":"2"}}}', "valid"),
+    ('{"created_at":"x","user":{"id_str":"1"},"text":"hi","n":1e999,"big":123456789012345678901234567890123456789}', "valid"),
+    ('{"limit":{"track":7}}', "not_a_message"),
+    ('{"a":{"created_at":"x"}}', "not_a_message"),
+    ('["created_at"]', "not_a_message"),
+    ('"created_at"', "not_a_message"),
+    ("12", "not_a_message"),
+    ("null", "not_a_message"),
+    ('{"created_at":"x","user":{"id_str":"1"', "broken"),
+    ("", "broken"),
+    ("   ", "broken"),
+    (None, "broken"),
+    (FULL + " junk", "broken"),
+    (FULL + "," + FULL, "broken"),
+    (FULL + "]  [" + FULL, "broken"),
+    (FULL + ",null", "broken"),
+    ("{'created_at':'x','user':{'id_str':'1'},'text':'hi'}", "broken"),
+    ('{"created_at":"x","text":"tab\there","user":{"id_str":"1"}}', "broken"),
+    ('{"created_at":"x",}', "broken"),
+    ('{"created_at":01}', "broken"),
+    ('{"created_at":"x","text":"hi"}', "incomplete"),
+    ('{"created_at":"x","user":"u","text":"hi"}', "incomplete"),
+    ('{"created_at":"x","user":{"id_str":"1"}}', "incomplete"),
+    ('{"created_at":"x","user":{"id_str":null},"text":"hi"}', "incomplete"),
+]
+
+
+@pytest.fixture
+def ingested(spark):
+    return ms.ingest(lines_from(spark, [line for line, _ in LINES]))
+
+
+def test_line_kinds(ingested):
+    found = {r["value"]: r["status"] for r in ingested.collect()}
+    assert found == dict(LINES)
+
+
+def test_kinds_agree_with_a_python_reader(ingested):
+    def readable(line):
+        try:
+            json.loads(line)["created_at"]
+            return True
+        except Exception:
+            return False
+
+    for r in ingested.collect():
+        assert readable(r["value"]) == (r["status"] in (ms.VALID, ms.INCOMPLETE)), r["value"]
+
+
+def test_valid_and_quarantined_lines_are_all_lines(spark, ingested):
+    valid, bad = ms.valid_messages(ingested), ms.quarantine(ingested)
+    assert {tuple(r) for r in valid.collect()} == {("1", "hi")}
+    assert valid.count() + bad.count() == len(LINES)
+    assert count_lines(ingested).first()["n"] == len(LINES)
+
+
+def test_strict_fails_on_an_incomplete_message(spark, ingested):
+    with pytest.raises(Exception, match="without user.id_str or text"):
+        ms.valid_messages(ingested, strict=True).collect()
+    good = ms.ingest(lines_from(spark, [FULL, "junk"]))
+    assert ms.valid_messages(good, strict=True).count() == 1
+
+
+def test_a_line_is_parsed_once(ingested):
+    plan = plan_of(ms.valid_messages(ingested))
+    assert plan.count("parseJson") == 1
+
+
+def messages(spark, rows):
+    return rows_to_frame(spark, rows, schemas.MESSAGES)
+
+
+def groups(spark, rows):
+    return rows_to_frame(spark, rows, schemas.USER_GROUPS)
+
+
+def test_posts_per_group(spark):
+    posts = messages(spark, [("a", "1"), ("a", "2"), ("b", "3"), ("z", "4"), ("y", "5")])
+    table = groups(spark, [("a", 0), ("b", 3), ("unused", 6)])
+    assert [tuple(r) for r in ms.posts_per_group(posts, table).collect()] == [(0, 2), (3, 1), (7, 2)]
+    assert ms.count_users(posts).first()["n"] == 4
+
+
+def test_small_group_table_is_broadcast(spark, tmp_path):
+    path = str(tmp_path / "groups")
+    groups(spark, [("a", 0)]).write.parquet(path)
+    plan = plan_of(ms.with_group(messages(spark, [("a", "1")]), spark.read.parquet(path)))
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+
+
+def test_hot_user_is_split_when_the_group_table_is_large(spark, settings, tmp_path):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.5",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+    )
+    rows = spark.range(0, 6000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), F.col("id"))).alias("user_id"),
+        F.sha2(F.col("id").cast("string"), 512).alias("text"),
+    )
+    table = spark.range(4000).select(
+        F.concat(F.lit("u"), F.col("id")).alias("user_id"), (F.col("id") % 7).cast("int").alias("group_id")
+    )
+    table = table.union(spark.createDataFrame([("hot", 2)], "user_id string, group_id int"))
+    pairs = ms.with_group(rows, table).select("user_id", "group_id", "text").distinct()
+    counts = {r["group_id"]: r["n"] for r in pairs.groupBy("group_id").agg(F.count("*").alias("n")).collect()}
+    expected = {g: 0 for g in range(8)}
+    for i in range(6000):
+        expected[2 if i % 3 == 0 else i % 7 if i < 4000 else 7] += 1
+    assert counts == expected
+    frame = pairs.groupBy("group_id").count()
+    frame.collect()
+    assert "skew=true" in plan_of(frame)

@@ -1,0 +1,99 @@
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from corvane.functions import tokens as tk
+
+CASES = {
+    "Call +1 (800) 555-1234 now": ["call", "+1 (800) 555-1234", "now"],
+    "800 555 1234567": ["800 555 1234", "567"],
+    "HTTP://X.com/AbC?d=1#Frag hi": ["HTTP://X.com/AbC?d=1", "#frag", "hi"],
+    "see https://t.co/Ab%2F, OK": ["see", "https://t.co/Ab%2F,", "ok"],
+    "http": ["http"],
+    "Nice :D =) (: d8 <:-)": ["nice", ":d", "=)", "(:", "d8", "<:-)"],
+    "8pm 10:30": ["8p", "m", "10:30"],
+    "<b>Bold</B> < >": ["<b>", "bold", "</b>", "< >"],
+    '<a href="http://X.y/Z">': ['<a href="http://X.y/Z">'],
+    "@User_1 @ #Tag-x #a ##bb #x--": ["@user_1", "@", "#tag-x", "#", "a", "##bb", "#", "x", "-", "-"],
+    "don't well-known it's": ["don't", "well-known", "it's"],
+    "l'été naïve abcé": ["l", "'", "été", "naïve", "abc", "é"],
+    "3/4 1,000 -5.5+ 12": ["3/4", "1,000", "-5.5+", "12"],
+    "wait... . . .. … .": ["wait", "... . . ..", "…", "."],
+    "a &amp; b": ["a", "&", "amp", ";", "b"],
+    "a &amp; b &lt; c": ["a", "and", "b", "&", "lt", ";", "c"],
+    "&#39;x": ["&", "#39", ";", "x"],
+    "हिन्दी": ["ह", "ि", "न", "्", "द", "ी"],
+    "x²½ Ⅷ": ["x²½", "ⅷ"],
+    "tab\u0085nel　end": ["tab", "nel", "end"],
+    "😀a": ["😀", "a"],
+    "": [],
+    " \n ": [],
+}
+
+
+def tokens(spark, texts, **options):
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    return {r["text"]: r["t"] for r in df.select("text", tk.tokens(F.col("text"), **options).alias("t")).collect()}
+
+
+def test_token_classes(spark):
+    assert tokens(spark, CASES) == CASES
+
+
+def test_first_character_checks_change_nothing(spark):
+    df = spark.createDataFrame([(t,) for t in CASES], "text string")
+    plain = F.regexp_extract_all("text", F.lit(tk.PLAIN_TOKEN), F.lit(0))
+    fast = F.regexp_extract_all("text", F.lit(tk.TOKEN), F.lit(0))
+    assert df.filter(plain != fast).count() == 0
+
+
+def test_emoticons_keep_case_on_request(spark):
+    assert tokens(spark, ["So :D HTTP://A.b"], keep_case="emoticon") == {"So :D HTTP://A.b": ["so", ":D", "HTTP://A.b"]}
+
+
+def test_entities_are_decoded_on_request(spark):
+    text = "a &amp; b &lt; &#39;&#233;&#128512; &eacute; &nosuch; &#99999999999999999999;"
+    df = spark.createDataFrame([(text,)], "text string")
+    out = df.select(tk.normalise_entities(F.col("text"), decode=True)).first()[0]
+    assert out == "a  and  b < 'é😀 é &nosuch; &#99999999999999999999;"
+
+
+@pytest.mark.parametrize(
+    "text, expected",
+    [
+        ("x &amp; y", "x &amp; y"),
+        ("x &amp; &AMP; y", "x  and  &AMP; y"),
+        ("&a&amp;b;", "&a&amp;b;"),
+        ("&amp;&gt;", " and &gt;"),
+        (None, None),
+    ],
+)
+def test_ampersand_rule(spark, text, expected):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(tk.normalise_entities(F.col("text"))).first()[0] == expected
+
+
+def test_long_texts_do_not_overflow_the_matcher(spark):
+    texts = ["." * 200_000, "a-" * 100_000 + "a", "http://" + "x" * 200_000, "#" + "y" * 200_000, "1" + " " * 50_000]
+    sizes = {k[:2]: len(v) for k, v in tokens(spark, texts).items()}
+    assert sizes == {"..": 1, "a-": 1, "ht": 1, "#y": 1, "1 ": 1}
+
+
+def test_character_classes_are_those_of_unicode_aware_python(spark):
+    # Up to the end of the BMP's older blocks, where both Unicode versions agree.
+    chars = [chr(c) for c in range(1, 0x600)] + [chr(c) for c in range(0x1E00, 0x2C00)]
+    df = spark.createDataFrame([(c,) for c in chars], "c string")
+    ours = df.select(
+        "c",
+        F.col("c").rlike(f"^[{tk.WORD}]$").alias("word"),
+        F.col("c").rlike(f"^[{tk.SPACE}]$").alias("space"),
+        F.col("c").rlike(f"^[{tk.DIGIT}]$").alias("digit"),
+        F.col("c").rlike(f"^[{tk.LETTER}]$").alias("letter"),
+        F.lower("c").alias("lower"),
+    ).collect()
+    for r in ours:
+        c = r["c"]
+        expected = [bool(re.fullmatch(p, c)) for p in (r"\w", r"\s", r"\d")] + [bool(re.fullmatch("[a-z]", c, re.I))]
+        assert [r["word"], r["space"], r["digit"], r["letter"]] == expected, hex(ord(c))
+        assert r["lower"] == c.lower(), hex(ord(c))
