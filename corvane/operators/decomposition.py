@@ -11,8 +11,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corvane.functions import vectors as vx
-from corvane.functions.vectors import Basis
+from corvane.functions.vectors import Basis, as_matrix, project, reconstruct
 
 MAX_DAYS = 4096
 
@@ -49,7 +48,7 @@ def covariance(rows: DataFrame, values: str | Column, mean: list[float]) -> Data
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros((len(mu), len(mu))), 0
         for batch in batches:
-            x, _ = vx.as_matrix(batch.column(0), len(mu))
+            x, _ = as_matrix(batch.column(0), len(mu))
             centred = np.nan_to_num(x - mu)
             total += centred.T @ centred
             n += len(x)
@@ -127,7 +126,7 @@ def decompose(rows: DataFrame, values: str | Column, basis: Basis) -> DataFrame:
     pushed below it they would run it a second time.
     """
     column = F.col(values) if isinstance(values, str) else values
-    split = rows.select(*rows.columns, F.inline(F.array(vx.project(column, basis))))
+    split = rows.select(*rows.columns, F.inline(F.array(project(column, basis))))
     return split.select(
         *rows.columns,
         *[F.get("coeff", F.lit(i)).alias(f"coeff_{i + 1}") for i in range(basis.k)],
@@ -139,7 +138,7 @@ def approximations(decomposed: DataFrame, keys: list[str], basis: Basis) -> Data
     """`keys, k, day, value`: every row's approximation by 0, 1, ... eigenvectors, in long form."""
     coeff = F.array(*[F.col(f"coeff_{i + 1}") for i in range(basis.k)])
     return (
-        decomposed.select(*keys, F.posexplode_outer(vx.reconstruct(coeff, basis)).alias("k", "approx"))
+        decomposed.select(*keys, F.posexplode_outer(reconstruct(coeff, basis)).alias("k", "approx"))
         .select(*keys, "k", F.posexplode_outer("approx").alias("pos", "value"))
         .select(*keys, "k", (F.col("pos") + 1).alias("day"), "value")
     )

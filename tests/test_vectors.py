@@ -1,3 +1,7 @@
+import os
+import subprocess
+import sys
+
 import numpy as np
 import pytest
 from conftest import plan_of
@@ -161,3 +165,26 @@ def test_projection_runs_once_with_decoding_inside(frame):
     plan = plan_of(dc.well_described(split, 1, below=0.5))
     assert plan.count("ArrowEvalPython") == 1 and "BatchEvalPython" not in plan
     assert plan_of(dc.day_means(frame, vx.decode_values(F.col("Values")))).count("ArrowEvalPython") == 1
+
+
+def test_workers_need_not_have_the_package(tmp_path):
+    """A session started elsewhere, with the package on the driver's path alone."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession, functions as F
+from corvane.functions.vectors import Basis, decode_values
+from corvane.operators import decomposition as dc
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+df = spark.createDataFrame([(bytearray(b"\\x01\\x00\\x02\\x00"),), (bytearray(b"\\x03\\x00\\x02\\x00"),)], "Values binary")
+values = decode_values(F.col("Values"))
+basis = dc.fit_basis(df, values, 1)
+split = dc.decompose(df, values, basis)
+assert dc.approximations(split, [], basis).count() == 8
+assert sorted(round(r["coeff_1"], 9) for r in split.collect()) == [-1, 1]
+print("done")
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
