@@ -69,16 +69,14 @@ def token_table(pairs: DataFrame, groups: tuple[int, ...] = GROUPS) -> DataFrame
     shuffled once, already combined, and no join back to the frequent tokens
     is needed. A group outside `groups` fails the job rather than being lost.
     """
-    known = F.col("group_id").isin(*groups)
-    group_id = F.when(known, F.col("group_id")).otherwise(
-        F.raise_error(F.concat(F.lit("unknown group "), F.col("group_id").cast("string"))).cast("int")
-    )
-    counters = [F.count(F.when(group_id == g, 1)) for g in groups]
-    return pairs.groupBy("token").agg(
-        F.count("*").alias("n_all"),
-        F.array(*[F.struct(F.lit(g).alias("group_id"), n.alias("n_k")) for g, n in zip(groups, counters)]).alias(
-            "n_by_group"
-        ),
+    unknown = F.raise_error(F.concat(F.lit("unknown group "), F.col("group_id").cast("string")))
+    checked = F.when(F.col("group_id").isin(*groups), F.col("group_id")).otherwise(unknown.cast("int"))
+    counters = [F.count(F.when(F.col("group_id") == g, 1)) for g in groups]
+    by_group = [F.struct(F.lit(g).alias("group_id"), n.alias("n_k")) for g, n in zip(groups, counters)]
+    return (
+        pairs.select("token", checked.alias("group_id"))
+        .groupBy("token")
+        .agg(F.count("*").alias("n_all"), F.array(*by_group).alias("n_by_group"))
     )
 
 

@@ -92,11 +92,15 @@ def with_group(rows: DataFrame, user_groups: DataFrame) -> DataFrame:
     return looked_up.withColumn("group_id", F.coalesce("group_id", F.lit(NO_GROUP)))
 
 
-def posts_per_group(messages: DataFrame, user_groups: DataFrame) -> DataFrame:
-    """`group_id, n_posts` in group order. Only one row per author meets the group table."""
+def group_posts(per_user: DataFrame, user_groups: DataFrame) -> DataFrame:
+    """`group_id, n_posts` in group order, from `posts_per_user`. Only one row per author meets the group table."""
     return (
-        with_group(posts_per_user(messages), user_groups)
+        with_group(per_user, user_groups)
         .groupBy("group_id")
         .agg(F.sum("n_posts").alias("n_posts"))
         .orderBy("group_id")
     )
+
+
+def posts_per_group(messages: DataFrame, user_groups: DataFrame) -> DataFrame:
+    return group_posts(posts_per_user(messages), user_groups)

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from corvane.functions import geometry
 
 PAIRS_PER_BLOCK = 20_000_000
+ANCHORS_PER_BLOCK = 64
 POINTS_PER_ROW = 1_000_000
 TOKEN = "[^ \\t-\\r\\x1C-\\x1F\\x85\\p{Z}]+"
 
@@ -33,7 +34,9 @@ class PointStats:
 
     @property
     def blocks(self) -> int:
-        return max(8, math.ceil(self.count * self.count / PAIRS_PER_BLOCK))
+        """Blocks of even work, but not so many that copying the points to each outweighs it."""
+        even = math.ceil(self.count * self.count / PAIRS_PER_BLOCK)
+        return max(8, min(even, math.ceil(self.count / ANCHORS_PER_BLOCK)))
 
     @property
     def exact_as_double(self) -> bool:

@@ -29,23 +29,24 @@ def message_report(
 ) -> dict[str, DataFrame]:
     """Run the whole job and return the stored result tables by name.
 
-    Two tables are written on the way: the ingested lines, in a folder per
-    status, and one row per token with its counts. Every result is then read
-    from those, so the text is parsed once and tokenised once, and losing an
-    executor later costs no recomputation of either.
+    Three tables are written on the way: the ingested lines, in a folder per
+    status, one row per author, and one row per token with its counts. Every
+    result is then read from those, so lines are parsed once, and messages
+    tokenised once; losing an executor later recomputes neither.
     """
     ingested = ms.ingest(lines).withColumn("value", F.when(F.col("status") != ms.VALID, F.col("value")))
     ingested = store.write("ingested", ingested, partition_by="status")
     messages = ms.valid_messages(ingested, strict)
 
+    users = store.write("users", ms.posts_per_user(messages))
     grouped = ms.with_group(messages, user_groups)
     tokens = store.write("tokens", mn.token_table(mn.user_tokens(grouped)))
     frequent = mn.frequent(tokens, min_users)
 
     results = {
         "num_tweets": ingested.agg(F.count("*").alias("n")),
-        "num_unique_users": ms.count_users(messages),
-        "counts_per_part": ms.posts_per_group(messages, user_groups),
+        "num_unique_users": users.agg(F.count("*").alias("n")),
+        "counts_per_part": ms.group_posts(users, user_groups),
         "num_of_tokens": mn.count_tokens(tokens),
         "num_freq_tokens": mn.count_tokens(frequent),
         "top20": mn.top_tokens(frequent),
