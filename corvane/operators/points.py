@@ -1,26 +1,45 @@
 """Points, pairs of points, and the lines through three or more of them.
 
 All pairs must be looked at: that is the nature of the problem. What can be
-chosen is where. Points are spread over blocks by hash, and every block meets
-a stream of all points in one equi-join on the block number. Work is the same
-for every block however the points lie, a line that holds a third of all
-points included. As each anchor point sits in one block, the counts per
-(anchor, slope) are complete inside the block's own task, so no pair is ever
-shuffled; what leaves the stage is one row per point and line.
+chosen is where, and in what form.
+
+* To find lines, anchors are dealt out to tasks, and each is held against all
+  points at once as numpy arrays. The points are broadcast, if a count shows
+  them to be few enough (64 MB); no pair ever becomes a row.
+* Beyond that, and where pairs are what is asked for, points are spread over
+  blocks by hash, and every block meets a stream of all points in one
+  equi-join on the block number. As each anchor sits in one block, the counts
+  per (anchor, slope) are complete inside the block's own task, so no pair is
+  shuffled.
+
+Either way the work is the same for every task however the points lie, a line
+that holds a third of all points included, and what leaves the stage is one
+row per point and line.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import geometry
+from corvane.functions.rays import rays_by_direction, rays_by_slope
 
-PAIRS_PER_BLOCK = 20_000_000
+# Small blocks keep the hash tables of their counts small: 9,000 points took
+# 17 s in blocks of 500,000 pairs, and 153 s in blocks of 10 million.
+PAIRS_PER_BLOCK = 500_000
 ANCHORS_PER_BLOCK = 64
+
+# 64 MB as two arrays of int64.
+BROADCAST_POINTS = 4_000_000
+PAIRS_PER_TASK = 200_000_000
+ROWS_PER_BATCH = 50_000
 POINTS_PER_ROW = 1_000_000
 TOKEN = "[^ \\t-\\r\\x1C-\\x1F\\x85\\p{Z}]+"
 
@@ -151,6 +170,67 @@ def distinct_sets(sets: DataFrame) -> DataFrame:
     return sets.filter("first").drop("first")
 
 
+def _lines_by_block_join(points: DataFrame, stats: PointStats) -> DataFrame:
+    """`ax, ay, slope, n_points, dx`: a hash aggregate in generated code, on top of the block join.
+
+    With large coordinates also `unit`, the exact direction. `dx` is the
+    distance along x to some other point of the line.
+    """
+    pairs, key = _keyed_pairs(points, stats)
+    return (
+        pairs.groupBy("block", "ax", "ay", *key)
+        .agg((F.count("*") + 1).alias("n_points"), F.min(F.col("bx") - F.col("ax")).alias("dx"))
+        .filter("n_points >= 3")
+        .drop("block")
+    )
+
+
+def _lines_by_broadcast(points: DataFrame, stats: PointStats) -> DataFrame:
+    """The same columns, each task holding its anchors against the broadcast points."""
+    if stats.count > BROADCAST_POINTS:
+        raise ValueError(f"{stats.count} points are too many to broadcast")
+    spark = points.sparkSession
+    table = points.select("x", "y").toArrow()
+    everything = spark.sparkContext.broadcast(tuple(table[c].to_numpy() for c in ("x", "y")))
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(stats.count**2 / PAIRS_PER_TASK))
+    narrow = stats.exact_as_double
+
+    def rows(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        ax, ay, first, second, n = (np.concatenate(column) for column in zip(*found))
+        if narrow:
+            columns, dx = {"slope": first}, second
+        else:
+            steep = np.where(first == 0, np.inf, second / np.where(first == 0, 1, first)) + 0.0
+            unit = pa.StructArray.from_arrays([pa.array(first), pa.array(second)], names=["dx", "dy"])
+            columns, dx = {"unit": unit, "slope": steep}, first
+        return pa.RecordBatch.from_pydict({"ax": ax, "ay": ay, **columns, "n_points": n + 1, "dx": dx})
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        all_x, all_y = everything.value
+        found, size = [], 0
+        for batch in batches:
+            for ax, ay in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
+                dx, dy = all_x - ax, all_y - ay
+                other = (dx != 0) | (dy != 0)
+                first, second, n = (rays_by_slope if narrow else rays_by_direction)(dx[other], dy[other])
+                if len(n):
+                    found.append((np.full(len(n), ax, "i8"), np.full(len(n), ay, "i8"), first, second, n))
+                    size += len(n)
+                # A batch of its own for each anchor would cost more than finding its lines.
+                if size >= ROWS_PER_BATCH:
+                    yield rows(found)
+                    found, size = [], 0
+        if found:
+            yield rows(found)
+
+    unit = "" if narrow else "unit struct<dx: bigint, dy: bigint>, "
+    schema = f"ax bigint, ay bigint, {unit}slope double, n_points bigint, dx bigint"
+    # By an expression: a repartition by x and y themselves would be dropped in
+    # favour of the one that made the points unique, which may be a single task.
+    dealt = points.select("x", "y").repartition(tasks, F.xxhash64("x", "y"))
+    return dealt.mapInArrow(lines, schema)
+
+
 def lines_through_points(points: DataFrame, stats: PointStats | None = None) -> DataFrame:
     """One row per point and line of three or more points: `slope, intercept, n_points, x, y`.
 
@@ -159,13 +239,8 @@ def lines_through_points(points: DataFrame, stats: PointStats | None = None) ->
     """
     points = unique_points(points)
     stats = stats or point_stats(points)
-    pairs, key = _keyed_pairs(points, stats)
-    # Only counts and one number per group: a hash aggregate in generated code.
-    counted = (
-        pairs.groupBy("block", "ax", "ay", *key)
-        .agg((F.count("*") + 1).alias("n_points"), F.min(F.col("bx") - F.col("ax")).alias("dx"))
-        .filter("n_points >= 3")
-    )
+    find = _lines_by_broadcast if stats.count <= BROADCAST_POINTS else _lines_by_block_join
+    found = find(points, stats)
     x, y, dx = F.col("ax"), F.col("ay"), F.col("dx")
     if stats.exact_as_double:
         # dy = slope * dx is an integer, and the product is off by far less than 1/2.
@@ -178,7 +253,7 @@ def lines_through_points(points: DataFrame, stats: PointStats | None = None) ->
             F.when(dx == 0, x.cast("double")).otherwise(meets).alias("intercept"),
             F.struct("unit", offset.alias("offset")).alias("line"),
         ]
-    return counted.select("slope", *line, "n_points", x.alias("x"), y.alias("y"))
+    return found.select("slope", *line, "n_points", x.alias("x"), y.alias("y"))
 
 
 def collinear_sets(members: DataFrame, width: int = POINTS_PER_ROW) -> DataFrame:

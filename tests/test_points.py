@@ -39,6 +39,14 @@ def brute_force(rows):
     return lines
 
 
+@pytest.fixture(params=["broadcast", "block join"], autouse=True)
+def way(request, monkeypatch):
+    """Every test runs both ways of finding lines."""
+    if request.param == "block join":
+        monkeypatch.setattr(pt, "BROADCAST_POINTS", -1)
+    return request.param
+
+
 def job(spark, rows):
     return pt.collinear_sets(pt.lines_through_points(frame(spark, rows)))
 
@@ -180,8 +188,19 @@ def test_same_sets(spark):
     assert not pt.same_sets(a, job(spark, EIGHT))
 
 
-def test_pairs_are_aggregated_where_they_are_made(spark):
+def test_pairs_are_aggregated_where_they_are_made(spark, way):
     plan = plan_of(pt.lines_through_points(frame(spark, NINE)))
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "SortAggregate" not in plan
-    above_join = plan[: plan.index("ShuffledHashJoin")]
-    assert "HashAggregate" in above_join and "Exchange" not in above_join
+    if way == "broadcast":
+        assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Exchange")
+    else:
+        above_join = plan[: plan.index("ShuffledHashJoin")]
+        assert "HashAggregate" in above_join and "Exchange" not in above_join
+
+
+def test_too_many_points_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(pt, "BROADCAST_POINTS", 5)
+    points = pt.unique_points(frame(spark, NINE))
+    with pytest.raises(ValueError, match="too many to broadcast"):
+        pt._lines_by_broadcast(points, pt.point_stats(points))
+    assert "ShuffledHashJoin" in plan_of(pt.lines_through_points(points))
