@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from checkset.standins import DAYS, MISSING, WEATHER_SQL, table, wave_basis, weather
+from checkset.standins import MISSING, WEATHER_SQL, table, wave_basis, weather
 from corvane import schemas
 from corvane.functions.vectors import decode_values
 from corvane.operators import decomposition as dc

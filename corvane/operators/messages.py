@@ -84,6 +84,8 @@ def count_users(messages: DataFrame) -> DataFrame:
 def with_group(rows: DataFrame, user_groups: DataFrame) -> DataFrame:
     """`rows` with the `group_id` of their user; users in no group get 7.
 
+    `user_groups` names each user once.
+
     Spark broadcasts the group table while it is known to be under
     `spark.sql.autoBroadcastJoinThreshold`. A larger one is joined by shuffle,
     and a hot user's partition is split at run time (see `session`).

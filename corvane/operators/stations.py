@@ -37,8 +37,12 @@ def stations(decomposed: DataFrame) -> DataFrame:
 
 
 def centre_table(spark: SparkSession, centres: Sequence[tuple[float, float]] = CENTRES) -> DataFrame:
-    rows = [(i, float(a), float(b)) for i, (a, b) in enumerate(centres)]
-    return spark.createDataFrame(rows, schemas.CENTRES)
+    """The centres as a table, written as constants: no Python worker is needed to make it."""
+    rows = [
+        F.struct(F.lit(i).alias("group_id"), F.lit(float(a)).alias("c1"), F.lit(float(b)).alias("c2"))
+        for i, (a, b) in enumerate(centres)
+    ]
+    return spark.range(1).select(F.inline(F.array(*rows))).to(schemas.CENTRES)
 
 
 def nearest_centre(c1: Column, c2: Column, centres: Sequence[tuple[float, float]] = CENTRES) -> Column:

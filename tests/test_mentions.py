@@ -71,7 +71,8 @@ def test_counts_match_brute_force(frames, posts):
 
 
 def test_threshold_is_inclusive_and_ties_are_in_token_order(spark):
-    table = spark.createDataFrame([("of", 149), ("for", 149), ("he", 100), ("no", 99), ("B", 149)], "token string, n_all bigint")
+    rows = [("of", 149), ("for", 149), ("he", 100), ("no", 99), ("B", 149)]
+    table = spark.createDataFrame(rows, "token string, n_all bigint")
     top = mn.top_tokens(mn.frequent(table, 100)).collect()
     assert [tuple(r) for r in top] == [("B", 149), ("for", 149), ("of", 149), ("he", 100)]
 

@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 from conftest import plan_of
-from pyspark.sql import functions as F
 
 from corvane import schemas
 from corvane.functions.vectors import Basis
