@@ -48,6 +48,8 @@ def ingest(lines: DataFrame) -> DataFrame:
     `inline` keeps later filters on `status` above the parse, so that a line
     is parsed once however the result is used.
     """
+    if lines.sparkSession.conf.get("spark.sql.variant.allowDuplicateKeys") != "true":
+        raise RuntimeError("repeated keys would make a line broken: call session.configure first")
     return lines.select("value", F.inline(_extract(F.col("value"))))
 
 

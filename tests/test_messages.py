@@ -77,6 +77,12 @@ def test_strict_fails_on_an_incomplete_message(spark, ingested):
     assert ms.valid_messages(good, strict=True).count() == 1
 
 
+def test_session_settings_are_checked(spark, settings):
+    settings(spark__sql__variant__allowDuplicateKeys="false")
+    with pytest.raises(RuntimeError, match="configure"):
+        ms.ingest(lines_from(spark, [FULL]))
+
+
 def test_a_line_is_parsed_once(ingested):
     plan = plan_of(ms.valid_messages(ingested))
     assert plan.count("parseJson") == 1
