@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -40,20 +38,13 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return configure(builder.getOrCreate())
 
 
-@functools.cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix=f"corvane-{application_id}-")
-
-
 def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder name for one run's tables, below the folder the cluster names.
+    """A new folder name for one run's tables, on storage that every executor sees.
 
-    `spark.checkpoint.dir` names storage every executor sees. Only a local
-    session may do without it; it then gets a temporary folder of its own.
+    `spark.checkpoint.dir` names it; where that is unset, as in tests, the
+    folder lies below the warehouse, which Spark shares by definition.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = _local_folder(spark.sparkContext.applicationId)
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
