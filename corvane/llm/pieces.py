@@ -108,16 +108,20 @@ def merged(text: str, scores: dict[str, float]) -> list[str]:
 
 
 class Bounded(dict):
-    """A dictionary that computes what it lacks and starts anew when full."""
+    """A dictionary that computes what it lacks; when full, only what is used again is kept."""
 
     def __init__(self, make, entries: int = CACHE_ENTRIES):
         super().__init__()
-        self.make, self.entries = make, entries
+        self.make, self.entries, self.old = make, entries, {}
 
     def __missing__(self, key):
         if len(self) >= self.entries:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -139,6 +143,9 @@ class Encoder:
         self.reached = Bounded(lambda piece: merged(piece, vocabulary.scores) == [piece])
         self.packed = Bounded(lambda part: np.array(self.ids(self.part(part)), "<i4").tobytes())
         self.cut = re.compile(self._cuts())
+        self.words = Bounded(lambda word: b"".join(map(self.packed.__getitem__, self.cut.findall(word))))
+        # Words begin with the space before them, and a line break is no part of any piece.
+        self.by_word = not any(re.search(f"[^{SPACE}]{SPACE}|\n", p) for p in vocabulary.ids)
 
     def _cuts(self) -> str:
         """A pattern for parts that no piece crosses, as far as this vocabulary allows."""
@@ -197,6 +204,9 @@ class Encoder:
         if not text:
             return b""
         whole = (SPACE if self.v.dummy_prefix else "") + text.replace(" ", SPACE)
+        if self.by_word and SPACE * 2 not in whole:
+            words = whole.replace(SPACE, " " + SPACE).replace("\n", " \n ").split(" ")
+            return b"".join(map(self.words.__getitem__, words))
         return b"".join(map(self.packed.__getitem__, self.cut.findall(whole)))
 
 

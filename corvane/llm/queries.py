@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import pieces
+from corvane.llm.sharding import assign_shards
 from corvane.llm.tables import table
 
 
@@ -23,5 +24,13 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_pieces": op4_pieces}
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard and slot, near-equal bytes in 24 shards, equal texts together."""
+    placed = assign_shards(table(spark, sf_dir, "documents"), shards=24)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+QUERIES = {"op4_pieces": op4_pieces, "op7_shards": op7_shards}
 SQL: dict[str, str] = {}
