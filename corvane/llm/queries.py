@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import pieces
+from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
 from corvane.llm.tables import table
 
@@ -32,5 +33,12 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op4_pieces": op4_pieces, "op7_shards": op7_shards}
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's base figures and verdict."""
+    judged = table(spark, sf_dir, "documents").select("doc_id", judge_text(F.col("text")).alias("q"))
+    figures = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return judged.select("doc_id", *(f"q.{name}" for name in figures))
+
+
+QUERIES = {"op4_pieces": op4_pieces, "op7_shards": op7_shards, "op10_quality": op10_quality}
 SQL: dict[str, str] = {}
