@@ -141,6 +141,8 @@ class Encoder:
         self.automaton.make_automaton()
         self.fits = Bounded(lambda pair: merged(pair[0] + pair[1], vocabulary.scores) == [*pair])
         self.reached = Bounded(lambda piece: merged(piece, vocabulary.scores) == [piece])
+        self.first = Bounded(self.longest)
+        self.shorter = Bounded(lambda piece: self.longest(piece[:-1]))
         self.packed = Bounded(lambda part: np.array(self.ids(self.part(part)), "<i4").tobytes())
         self.cut = re.compile(self._cuts())
         self.words = Bounded(lambda word: b"".join(map(self.packed.__getitem__, self.cut.findall(word))))
@@ -159,35 +161,38 @@ class Encoder:
         cuts = [alone, rf"{s}*[^{s}{alone}{re.escape(ends)}]*[^\W\d_](?=[{re.escape(ends)}])"] if ends else [alone]
         return "|".join([c for c in cuts if c] + [rf"{s}*[^{s}{alone}]+", rf"{s}+"])
 
-    def longest(self, text: str, at: int, most: int) -> str | None:
-        """The longest piece of at most `most` characters that matches here; a lone character if none does."""
-        most = min(most, self.automaton.longest_prefix(text[at : at + self.widest]))
-        for n in range(most, 1, -1):
-            piece = text[at : at + n]
+    def longest(self, text: str) -> str:
+        """The longest piece that `text` begins with; a lone character if none does."""
+        for n in range(self.automaton.longest_prefix(text), 1, -1):
+            piece = text[:n]
             if piece in self.v.ids and self.reached[piece]:
                 return piece
-        return text[at]
+        return text[0]
 
     def part(self, text: str) -> list[str]:
         """The pieces of one part, by backtracking."""
         if self.tied is not None and self.tied.search(text):
             return merged(text, self.v.scores)
+        first, shorter, fits = self.first, self.shorter, self.fits
         end, at, failed = len(text), 0, 0
         chosen: list[str] = []
-        piece = self.longest(text, 0, end)
+        piece = first[text[: self.widest]]
+        last = None
         while True:
-            if not failed >> (at + len(piece)) & 1 and (not chosen or self.fits[chosen[-1], piece]):
+            after = at + len(piece)
+            if (last is None or fits[last, piece]) and not (failed and failed >> after & 1):
                 chosen.append(piece)
-                at += len(piece)
-                if at == end:
+                if after == end:
                     return chosen
-                piece = self.longest(text, at, end)
+                at, last = after, piece
+                piece = first[text[at : at + self.widest]]
             else:
                 while len(piece) == 1:  # nothing shorter: no piece leads on from here
                     failed |= 1 << at
                     piece = chosen.pop()
                     at -= len(piece)
-                piece = self.longest(text, at, len(piece) - 1)
+                    last = chosen[-1] if chosen else None
+                piece = shorter[piece]
 
     def ids(self, pieces: Iterable[str]) -> list[int]:
         found = []
@@ -214,17 +219,24 @@ class Decoder:
     def __init__(self, vocabulary: Vocabulary):
         self.v = vocabulary
         self.bytes = {i: b for b, i in enumerate(vocabulary.byte_ids)}
-        # Byte pieces take part as lone surrogates until they are joined to characters.
-        self.surface = [chr(0xDC00 + self.bytes[i]) if i in self.bytes else s for i, s in enumerate(vocabulary.surfaces)]
+        # Bytes of longer characters take part as lone surrogates until they are joined.
+        self.surface = list(vocabulary.surfaces)
+        for i, b in self.bytes.items():
+            self.surface[i] = chr(b if b < 128 else 0xDC00 + b)
         self.unknown = vocabulary.unknown
-        self.runs = re.compile("[\udc00-\udcff]+")
-
-    def decode(self, ids: Iterable[int]) -> str:
-        surfaces = [s for s in map(self.surface.__getitem__, ids) if s]
-        if self.v.dummy_prefix and surfaces and surfaces[0][0] == " " and surfaces[0] != self.unknown:
-            surfaces[0] = surfaces[0][1:]
-        text = "".join(surfaces)
-        return self.runs.sub(lambda run: self._characters(bytes(ord(c) - 0xDC00 for c in run[0])), text)
+        self.runs = re.compile("[\udc80-\udcff]+")
+
+    def decode(self, ids: list[int]) -> str:
+        text = "".join(map(self.surface.__getitem__, ids))
+        if text[:1] == " " and self.v.dummy_prefix:
+            first = next(i for i in ids if self.surface[i])
+            if first not in self.bytes and self.surface[first] != self.unknown:
+                text = text[1:]
+        try:
+            text.encode()
+        except UnicodeEncodeError:
+            text = self.runs.sub(lambda run: self._characters(bytes(ord(c) - 0xDC00 for c in run[0])), text)
+        return text
 
     @staticmethod
     def _characters(raw: bytes) -> str:
