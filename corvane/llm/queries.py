@@ -5,10 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corvane.llm import pieces
+from corvane.llm import pieces, warc
 from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
 from corvane.llm.tables import table
+from corvane.session import shared_folder
+
+OP1 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+h AS (SELECT page_id, octet_length(b) AS n, sha256(b) AS d FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM h)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to
+FROM f"""
+
+
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives and read back: length, digest and kind of its record."""
+    path = shared_folder(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archive(warc.mark_revisits(pages, "page_id", "url", "html"), path)
+    ends = warc.read_archive(spark, path, with_data=False).where("last")
+    return ends.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        F.col("bytes_so_far").alias("payload_bytes"),
+        F.col("sha256_so_far").alias("payload_digest"),
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
 
 
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,5 +65,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op4_pieces": op4_pieces, "op7_shards": op7_shards, "op10_quality": op10_quality}
-SQL: dict[str, str] = {}
+QUERIES = {"op1_warc": op1_warc, "op4_pieces": op4_pieces, "op7_shards": op7_shards, "op10_quality": op10_quality}
+SQL: dict[str, str] = {"op1_warc": OP1}
