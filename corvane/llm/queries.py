@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import pieces, warc
+from corvane.llm.contamination import measure
 from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
 from corvane.llm.tables import table
@@ -20,6 +21,25 @@ SELECT page_id, n AS payload_bytes, d AS payload_digest,
   CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to
 FROM f"""
 
+# Windows of ten words of both sides, by position, joined on their words.
+OP2 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+g AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i FROM b WHERE len(w) > 0)),
+k AS (SELECT DISTINCT k FROM g),
+s AS (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, k WHERE len(w) >= k)),
+h AS (SELECT s.doc_id, s.i, s.k, g.item_id FROM s JOIN g ON s.gram = g.gram AND s.k = g.k),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back: length, digest and kind of its record."""
@@ -36,6 +56,19 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far every document consists of windows of ten words from benchmark items, and of which items."""
+    measured = measure(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return measured.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SentencePiece ids and the text they decode to, as digests."""
     import public_tokenizers
@@ -65,5 +98,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op1_warc": op1_warc, "op4_pieces": op4_pieces, "op7_shards": op7_shards, "op10_quality": op10_quality}
-SQL: dict[str, str] = {"op1_warc": OP1}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op7_shards": op7_shards, "op10_quality": op10_quality}
+SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2}
