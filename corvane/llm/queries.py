@@ -9,6 +9,7 @@ from corvane.llm import pieces, warc
 from corvane.llm.contamination import measure
 from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
+from corvane.llm.similar import similar_groups
 from corvane.llm.tables import table
 from corvane.session import shared_folder
 
@@ -91,6 +92,12 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's n-gram count and the smallest document that links of similarity 0.85 lead to."""
+    groups = similar_groups(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return groups.select("doc_id", F.col("n_ngrams").alias("n_shingles"), "component_id")
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's base figures and verdict."""
     judged = table(spark, sf_dir, "documents").select("doc_id", judge_text(F.col("text")).alias("q"))
@@ -98,5 +105,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op7_shards": op7_shards, "op10_quality": op10_quality}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op7_shards": op7_shards, "op9_similar": op9_similar, "op10_quality": op10_quality}
 SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2}
