@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.llm import pieces, warc
 from corvane.llm.contamination import measure
+from corvane.llm.line_templates import drop_recurring_lines
 from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
 from corvane.llm.similar import similar_groups
@@ -41,6 +42,26 @@ SELECT d.doc_id, len(d.w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_it
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (doc_id) LEFT JOIN t USING (doc_id)"""
 
+OP6 = r"""
+WITH l AS (SELECT doc_id, generate_subscripts(a, 1) - 1 AS line_no, unnest(a) AS line
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents WHERE text IS NOT NULL)),
+w AS (SELECT doc_id, line_no, list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+f AS (SELECT *, len(words) || ' ' || array_to_string(
+    list_transform(words[1:3], lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '<*>' ELSE x END), ' ') AS leaf FROM w),
+c AS (SELECT * FROM f WHERE leaf IN (SELECT leaf FROM f GROUP BY leaf HAVING count(DISTINCT doc_id) >= 10)),
+e AS (SELECT doc_id, line_no, leaf, generate_subscripts(words, 1) AS place, unnest(words) AS word FROM c),
+k AS (SELECT leaf, place, word FROM e GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
+t AS (SELECT doc_id, line_no, string_agg(coalesce(k.word, '<*>'), ' ' ORDER BY place) AS template, count(k.word) AS n_fixed, count(*) AS n
+    FROM e LEFT JOIN k USING (leaf, place, word) GROUP BY doc_id, line_no),
+q AS (SELECT * FROM t WHERE n_fixed >= 3 AND 2 * n_fixed >= n),
+r AS (SELECT template, min(doc_id) AS first FROM q GROUP BY template HAVING count(DISTINCT doc_id) >= 10),
+d AS (SELECT doc_id, line_no FROM q JOIN r USING (template) WHERE doc_id <> first)
+SELECT x.doc_id, count(line_no) AS n_lines, count(d.doc_id) AS n_dropped,
+  coalesce(string_agg(CASE WHEN d.doc_id IS NOT NULL THEN line_no END::VARCHAR, ',' ORDER BY line_no), '') AS dropped,
+  sha256(coalesce(string_agg(CASE WHEN d.doc_id IS NULL THEN line END, chr(10) ORDER BY line_no), '')) AS kept_sha256
+FROM documents x LEFT JOIN l USING (doc_id) LEFT JOIN d USING (doc_id, line_no) GROUP BY x.doc_id"""
+
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back: length, digest and kind of its record."""
@@ -84,6 +105,19 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines whose template recurs in ten documents or more, and a digest of the text without them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"))
+    kept = drop_recurring_lines(docs, keep_lines="dropped")
+    return kept.select(
+        "doc_id",
+        "n_lines",
+        F.size("dropped").cast("long").alias("n_dropped"),
+        F.array_join("dropped", ",").alias("dropped"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot, near-equal bytes in 24 shards, equal texts together."""
     placed = assign_shards(table(spark, sf_dir, "documents"), shards=24)
@@ -105,5 +139,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op7_shards": op7_shards, "op9_similar": op9_similar, "op10_quality": op10_quality}
-SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op9_similar": op9_similar, "op10_quality": op10_quality}
+SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6}
