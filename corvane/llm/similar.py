@@ -91,7 +91,7 @@ def class_key(grams: np.ndarray) -> bytes:
 
 
 def classes(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, class_key (empty without words), n_ngrams of every row."""
+    """doc_id, text_hash, class_key (empty without words), n_ngrams of every row."""
 
     @F.arrow_udf("struct<class_key: binary, n_ngrams: bigint>")
     def name(column: pa.Array) -> pa.Array:
@@ -101,8 +101,8 @@ def classes(docs: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
             [pa.array([class_key(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64())], ["class_key", "n_ngrams"]
         )
 
-    named = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", name("text").alias("c"))
-    return named.select("doc_id", "c.class_key", "c.n_ngrams")
+    named = narrow(docs, doc_id=id_col, text=text_col).select("doc_id", F.xxhash64("text").alias("text_hash"), name("text").alias("c"))
+    return named.select("doc_id", "text_hash", "c.class_key", "c.n_ngrams")
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -325,7 +325,7 @@ def linked_classes(ordered: DataFrame, percent: int, neighbours: int = 3) -> Dat
 
 
 def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, class_key, n_ngrams, component_id: of every row, its set's size and the smallest id that links reach."""
+    """doc_id, text_hash, class_key, n_ngrams, component_id: of every row, its set's size and the smallest id that links reach."""
     spark = docs.sparkSession
     folder = shared_folder(spark, "similar")
     bits = min(16, max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
@@ -334,9 +334,28 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     groups = linked_classes(spark.read.parquet(f"{folder}/classes"), percent)
     rows = classes(docs, n, id_col, text_col)
     named = rows.join(groups, rows.class_key == groups.node, "left").select(
-        "doc_id", "class_key", "n_ngrams", F.when(F.col("n_ngrams") > 0, F.coalesce("label", "class_key")).alias("label")
+        "doc_id", "text_hash", "class_key", "n_ngrams", F.when(F.col("n_ngrams") > 0, F.coalesce("label", "class_key")).alias("label")
     )
     ids = named.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return named.join(ids, "label", "left").select(
-        "doc_id", "class_key", "n_ngrams", F.when(F.col("n_ngrams") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id",
+        "text_hash",
+        "class_key",
+        "n_ngrams",
+        F.when(F.col("n_ngrams") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents, with all their columns, of which each group keeps the one with the smallest id.
+
+    Rows of equal id and text count as one document. Of documents without words
+    all stay, and so do those without an id unless one with an id links with them.
+    """
+    groups = similar_groups(docs, n, percent, id_col, text_col)
+    keepers = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id")) | F.col("component_id").isNull())
+    keepers = keepers.select(F.struct(F.col("doc_id").alias("id"), F.col("text_hash").alias("hash")).alias("__key")).distinct()
+    keyed = docs.withColumn("__own_key", F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash")))
+    kept = keyed.join(keepers, keyed["__own_key"] == keepers["__key"], "left_semi")
+    again = F.row_number().over(Window.partitionBy("__own_key").orderBy("__own_key"))
+    return kept.withColumn("__again", again).where(F.col("__again") == 1).select(*(F.col(f"`{c}`") for c in docs.columns))
