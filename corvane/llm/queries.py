@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane.llm import pieces, warc
 from corvane.llm.contamination import measure
+from corvane.llm.disclosure import PATTERNS, document_spans
 from corvane.llm.line_templates import drop_recurring_lines
 from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
@@ -126,6 +127,15 @@ def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data, and the terms that disclose it, as spans."""
+    docs = document_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = '{kind}')) as long)").alias(f"n_{kind}") for kind in PATTERNS]
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "term")
+    return docs.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 def op9_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's n-gram count and the smallest document that links of similarity 0.85 lead to."""
     groups = similar_groups(table(spark, sf_dir, "documents"), n=4, percent=85)
@@ -139,5 +149,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op9_similar": op9_similar, "op10_quality": op10_quality}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality}
 SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6}
