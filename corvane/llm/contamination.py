@@ -20,14 +20,15 @@ from pyspark.sql import functions as F
 
 from corvane.llm.tables import ascii_lower, narrow
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Between words of [^\x00-\x2F\x3A-\x60\x7B-\x7F].
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 # The same words where upper-case letters are still in the text.
 CASED_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column) -> Column:
     """The words of a text, A-Z in lower case; none for null."""
-    return F.coalesce(F.regexp_extract_all(ascii_lower(text), F.lit(f"({WORD})"), F.lit(1)), F.array().cast("array<string>"))
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN, -1), "")
 
 
 def benchmark_windows(items: DataFrame, n: int, item_id: str, text: str) -> DataFrame:
@@ -40,7 +41,7 @@ def benchmark_windows(items: DataFrame, n: int, item_id: str, text: str) -> Data
         .select("item_id", "width", F.expr("slice(words, at, width)").alias("window"))
         .groupBy("window", "width")
         .agg(F.collect_set(F.col("item_id").cast("string")).alias("item_ids"))
-        .withColumn("hash", F.xxhash64("window"))
+        .withColumn("hash", F.xxhash64(F.transform("window", lambda word: F.xxhash64(word))))
     )
 
 
@@ -53,12 +54,22 @@ def hits(docs: DataFrame, items: DataFrame, n: int = 10, doc_id: str = "doc_id",
     # At most n different widths.
     widths = sorted(row.width for row in windows.select("width").distinct().collect())
     words = narrow(docs, doc_id=doc_id, text=text).select(document_key("doc_id", "text").alias("doc_key"), words_of(F.col("text")).alias("words"))
+    hashed = words.withColumn("hashes", F.transform("words", lambda word: F.xxhash64(word)))
     found = None
     for width in widths:
-        hashes = F.expr(f"transform(sequence(1, size(words) - {width - 1}), at -> xxhash64(slice(words, at, {width})))")
-        scanned = words.where(F.size("words") >= width).select("doc_key", "words", F.posexplode(hashes).alias("place", "hash"))
+        # Not a filter on the number of words: it would split the text once more.
+        windows_of = F.expr(
+            f"if(size(hashes) >= {width}, transform(sequence(1, size(hashes) - {width - 1}), at -> xxhash64(slice(hashes, at, {width}))), array())"
+        )
+        # The array is a column of its own, so that generating its rows and looking them up is one compiled
+        # loop, in which the words are only touched for a hit. The outer form keeps the planner from testing
+        # the array's size beforehand, which would compute it twice, and the two comparisons keep the words
+        # out of the join's key.
+        windowed = hashed.select("doc_key", "words", windows_of.alias("hashes"))
+        scanned = windowed.select("doc_key", "words", F.posexplode_outer("hashes").alias("place", "hash"))
         known = windows.where(F.col("width") == width)
-        matched = scanned.join(known, "hash").where(F.slice("words", F.col("place") + 1, width) == F.col("window"))
+        words_there = F.slice("words", F.col("place") + 1, width)
+        matched = scanned.join(known, "hash").where((words_there >= F.col("window")) & (words_there <= F.col("window")))
         part = matched.select("doc_key", (F.col("place") + 1).alias("at"), F.lit(width).alias("width"), "item_ids")
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -88,7 +99,7 @@ def measure(docs: DataFrame, items: DataFrame, n: int = 10, doc_id: str = "doc_i
     every = narrow(docs, doc_id=doc_id, text=text).select(
         "doc_id",
         document_key("doc_id", "text").alias("doc_key"),
-        F.coalesce(F.regexp_count(ascii_lower(F.col("text")), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"),
+        F.size(words_of(F.col("text"))).cast("long").alias("n_words"),
     )
     joined = every.join(found, every.doc_key == found.doc_key, "left")
     return joined.select(
