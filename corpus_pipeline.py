@@ -60,8 +60,8 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = pieces.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
-    encoded = docs.select("doc_id", "lang", "source", pieces.encode(F.col("text"), vocabulary).alias("ids"))
-    return encoded.select("*", F.size("ids").cast("long").alias("n_tokens"), pieces.decode(F.col("ids"), vocabulary).alias("text"))
+    encoded = docs.select("doc_id", "lang", "source", pieces.round_trip(F.col("text"), vocabulary).alias("r"))
+    return encoded.select("doc_id", "lang", "source", "r.ids", F.size("r.ids").cast("long").alias("n_tokens"), "r.text")
 
 
 STAGES = [

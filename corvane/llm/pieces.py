@@ -12,6 +12,9 @@ Texts are cut where no piece of the vocabulary reaches across, and each
 different part is encoded once per worker (in a cache of bounded size), so the
 work per text is a scan for its parts.
 
+Workers import this module by name, so it has to be installed on the executors
+or sent along (`--py-files`).
+
 Defined results: null and empty texts have no ids and decode to the empty text;
 characters that the vocabulary lacks become their UTF-8 bytes' pieces; a text of
 any length is encoded whole. Each row is a result of its own, so repeated rows
@@ -20,8 +23,8 @@ give repeated results, and other columns are not looked at.
 
 from __future__ import annotations
 
+import hashlib
 import re
-import sys
 from collections import Counter
 from collections.abc import Iterable
 from dataclasses import dataclass
@@ -29,15 +32,12 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 SPACE = "▁"
 # Entries of a worker's caches; beyond that they start anew.
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 150_000
 
 
 @dataclass(frozen=True)
@@ -50,6 +50,7 @@ class Vocabulary:
     byte_ids: tuple[int, ...]
     dummy_prefix: bool
     unknown: str
+    digest: str
 
 
 def load_vocabulary(path: str) -> Vocabulary:
@@ -58,7 +59,8 @@ def load_vocabulary(path: str) -> Vocabulary:
 
     model = sentencepiece_model_pb2.ModelProto()
     with open(path, "rb") as file:
-        model.ParseFromString(file.read())
+        raw = file.read()
+    model.ParseFromString(raw)
     trainer, normalizer = model.trainer_spec, model.normalizer_spec
     if trainer.model_type != trainer.BPE or not trainer.byte_fallback:
         raise ValueError("needs a BPE model with byte fallback")
@@ -77,6 +79,7 @@ def load_vocabulary(path: str) -> Vocabulary:
         tuple(byte_ids[b] for b in range(256)),
         normalizer.add_dummy_prefix,
         trainer.unk_surface.replace(SPACE, " "),
+        hashlib.sha256(raw).hexdigest(),
     )
 
 
@@ -252,39 +255,55 @@ class Decoder:
         return "".join(found)
 
 
-def _per_worker(kind, vocabulary: Vocabulary):
-    """One encoder or decoder for all batches of a task."""
-    made = []
+_MADE: dict = {}
+
 
-    def get():
-        if not made:
-            made.append(kind(vocabulary))
-        return made[0]
+def _shared(kind, vocabulary: Vocabulary):
+    """One encoder or decoder for all tasks of a worker process, so that later tasks find its caches filled."""
+    key = kind, vocabulary.digest
+    if key not in _MADE:
+        _MADE[key] = kind(vocabulary)
+    return _MADE[key]
 
-    return get
+
+def _id_lists(packed: list[bytes]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype("i4")
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
 
 
 def encode(text: Column, vocabulary: Vocabulary) -> Column:
     """The ids of a text, `array<int>`, as the sentencepiece library gives them; never null."""
-    get = _per_worker(Encoder, vocabulary)
 
     @F.arrow_udf("array<int>")
     def ids_of(column: pa.Array) -> pa.Array:
-        encoder = get()
-        packed = [encoder.encode(t.as_py()) if t.is_valid else b"" for t in column]
-        offsets = np.concatenate([[0], np.cumsum([len(p) // 4 for p in packed])]).astype("i4")
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), "<i4"), pa.int32()))
+        encoder = _shared(Encoder, vocabulary)
+        return _id_lists([encoder.encode(t.as_py()) if t.is_valid else b"" for t in column])
 
     return ids_of(text)
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
     """The text of `array<int>` ids; empty for null."""
-    get = _per_worker(Decoder, vocabulary)
 
     @F.arrow_udf("string")
     def text_of(column: pa.Array) -> pa.Array:
-        decoder = get()
+        decoder = _shared(Decoder, vocabulary)
         return pa.array([decoder.decode(v.values.to_pylist()) if v.is_valid else "" for v in column], pa.string())
 
     return text_of(ids)
+
+
+def round_trip(text: Column, vocabulary: Vocabulary) -> Column:
+    """`struct<ids array<int>, text string>`: a text's ids and what they decode to, in one pass over the workers.
+
+    Asked for one after the other, Spark would encode twice: once for the ids and once within the decoding.
+    """
+
+    @F.arrow_udf("struct<ids: array<int>, text: string>")
+    def there_and_back(column: pa.Array) -> pa.Array:
+        encoder, decoder = _shared(Encoder, vocabulary), _shared(Decoder, vocabulary)
+        packed = [encoder.encode(t.as_py()) if t.is_valid else b"" for t in column]
+        texts = pa.array([decoder.decode(np.frombuffer(p, "<i4").tolist()) for p in packed], pa.string())
+        return pa.StructArray.from_arrays([_id_lists(packed), texts], ["ids", "text"])
+
+    return there_and_back(text)

@@ -97,12 +97,12 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     vocabulary = pieces.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", pieces.encode(F.col("text"), vocabulary).alias("ids"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", pieces.round_trip(F.col("text"), vocabulary).alias("r"))
     return docs.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2(pieces.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"),
+        F.size("r.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("r.ids", ","), 256).alias("ids_sha256"),
+        F.sha2("r.text", 256).alias("decoded_sha256"),
     )
 
 

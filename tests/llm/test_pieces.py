@@ -5,7 +5,7 @@ from hypothesis import strategies as st
 sentencepiece = pytest.importorskip("sentencepiece")
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
-from corvane.llm.pieces import Decoder, Encoder, decode, encode, load_vocabulary, merged  # noqa: E402
+from corvane.llm.pieces import Decoder, Encoder, decode, encode, load_vocabulary, merged, round_trip  # noqa: E402
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
 VOCABULARY = load_vocabulary(PATH)
@@ -63,6 +63,8 @@ def test_rows(spark):
     rows = ids.select("ids", decode(ids.ids, VOCABULARY).alias("back")).collect()
     assert [r.ids for r in rows] == [LIBRARY.encode(t or "") for t in texts]
     assert [r.back for r in rows] == [t or "" for t in texts]
+    both = [r.r for r in df.select(round_trip(df.text, VOCABULARY).alias("r")).collect()]
+    assert [(r.ids, r.text) for r in both] == [(r.ids, r.back) for r in rows]
     assert df.limit(0).select(encode(df.text, VOCABULARY)).collect() == []
 
 
