@@ -9,6 +9,7 @@ from corvane.llm import pieces, warc
 from corvane.llm.contamination import measure
 from corvane.llm.disclosure import PATTERNS, document_spans
 from corvane.llm.line_templates import drop_recurring_lines
+from corvane.llm.main_text import main_text
 from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
 from corvane.llm.similar import similar_groups
@@ -92,6 +93,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's main text."""
+    return main_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's SentencePiece ids and the text they decode to, as digests."""
     import public_tokenizers
@@ -149,5 +155,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op4_pieces": op4_pieces, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality}
 SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6}
