@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.llm.tables import narrow
+from corvane.session import shared_folder
 
 DEPTH = 3
 VARIABLE = "<*>"
@@ -51,26 +52,37 @@ def document_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, line_no, template, n_docs, first_doc of each line whose template recurs."""
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "templates")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        """Written once: read several times below, and of a size that the planner then knows."""
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.parquet(f"{folder}/{name}")
+
     leading = F.transform(F.slice("words", 1, DEPTH), general)
     lines = document_lines(docs, id_col, text_col).withColumn("leaf", F.xxhash64(F.size("words"), leading))
     # Leaves that enough documents share; a document's lines of a leaf count once.
     leaves = lines.groupBy("leaf", "doc").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    candidates = lines.join(leaves.select("leaf"), "leaf", "left_semi")
+    candidates = kept(lines.join(kept(leaves.select("leaf"), "leaves"), "leaf", "left_semi"), "candidates")
     words = candidates.select("leaf", "doc", F.posexplode("words").alias("place", "word"))
     seen = words.groupBy("leaf", "place", "word", "doc").agg(F.lit(1).alias("one"))
+    # For each leaf, the constants of each place: as many sets as its lines have words, some of them empty.
     constants = (
         seen.groupBy("leaf", "place", "word")
         .agg(F.count("*").alias("n"))
-        .where(F.col("n") >= min_docs)
+        .groupBy("leaf", "place")
+        .agg(F.collect_set(F.when(F.col("n") >= min_docs, F.col("word"))).alias("fixed"))
         .groupBy("leaf")
-        .agg(F.collect_set(F.struct("place", "word")).alias("constants"))
+        .agg(F.array_sort(F.collect_list(F.struct("place", "fixed"))).alias("places"))
+        .select("leaf", F.col("places.fixed").alias("constants"))
     )
-    fixed = F.transform("words", lambda w, i: F.array_contains("constants", F.struct(i.alias("place"), w.alias("word"))))
+    fixed = F.zip_with("words", "constants", lambda w, c: F.array_contains(c, w))
     marked = candidates.join(constants, "leaf").withColumn("fixed", fixed)
     n_fixed = F.size(F.filter("fixed", lambda x: x))
-    templated = marked.where((n_fixed >= 3) & (2 * n_fixed >= F.size("words"))).select(
+    templated = kept(marked.where((n_fixed >= 3) & (2 * n_fixed >= F.size("words"))).select(
         "doc", "line_no", F.array_join(F.transform("words", lambda w, i: F.when(F.get("fixed", i), w).otherwise(VARIABLE)), " ").alias("template")
-    )
+    ), "templated")
     by_doc = templated.groupBy("template", "doc").agg(F.lit(1).alias("one"))
     recurring = by_doc.groupBy("template").agg(F.count("*").alias("n_docs"), F.min("doc").alias("first_doc")).where(F.col("n_docs") >= min_docs)
     return templated.join(recurring, "template").select("doc", "line_no", "template", "n_docs", "first_doc")
