@@ -12,7 +12,7 @@ each, if both are ordered alike; ordered by rarity, hardly any other pair does.
    first. As an n-gram that only one class has is rarer than all of them, the
    prefix holds only what the class's own n-grams leave of it.
 4. Classes are joined on prefix hashes. Length and positional filters, and the
-   suffix filter on the hashes behind the match, leave few pairs; each is kept
+   suffix filter on bitmaps of the hashes, leave few pairs; each is kept
    once, whatever number of hashes it shares, and verified on the shared
    hashes, which hold every n-gram that two classes can have in common.
 5. Linked classes get the smallest document id within reach, by rounds of
@@ -119,7 +119,7 @@ def _packed_rows(group: np.ndarray, owner: np.ndarray, keys: np.ndarray, sizes:
     """Rows of packed arrays, one for each run of `group`: its owners' keys, sizes and counts, and the values themselves."""
     out: dict[str, list] = {name: [] for name in ("bucket", "keys", "sizes", "counts", *values)}
     firsts = _runs(group)
-    for a, b in zip(firsts, np.r_[firsts[1:], len(group)], strict=True):
+    for a, b in zip(firsts, np.r_[firsts[1:], len(group)][: len(firsts)], strict=True):
         starts = _runs(owner[a:b]) + a
         own = owner[starts]
         out["bucket"].append(int(group[a]))
@@ -141,7 +141,7 @@ def _numbered(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.lexsort((halves["b"], halves["a"]))
     starts = _runs(halves["a"][order], halves["b"][order])
     number = np.empty(len(keys), "i8")
-    number[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(keys)]))
+    number[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(keys)][: len(starts) + 1]))
     return number, order[starts]
 
 
@@ -207,10 +207,10 @@ def shared_hashes(dealt: DataFrame, bits: int) -> DataFrame:
 
 
 def ordered_classes(shared: DataFrame, percent: int) -> DataFrame:
-    """class_key, n_ngrams, grams (its shared hashes, rare ones first), n_prefix, sketch.
+    """class_key, n_ngrams, grams (its shared hashes, rare ones first), n_prefix, bitmap.
 
-    Only classes whose prefix holds a shared hash: no other can link. `sketch`
-    counts the shared hashes by 16 ranges of their lowest bits.
+    Only classes whose prefix holds a shared hash: no other can link. `bitmap`
+    has a bit for each value that nine bits of a shared hash take: 512 bits in 8 numbers.
     """
 
     def arrange(table: pa.Table) -> pa.Table:
@@ -221,8 +221,8 @@ def ordered_classes(shared: DataFrame, percent: int) -> DataFrame:
         order = np.lexsort((grams, df, owner))
         grams, owner = grams[order], owner[order]
         starts = _runs(owner)
-        out: dict[str, list] = {c: [] for c in ("class_key", "n_ngrams", "grams", "n_prefix", "sketch")}
-        for a, b in zip(starts, np.r_[starts[1:], len(owner)], strict=True):
+        out: dict[str, list] = {c: [] for c in ("class_key", "n_ngrams", "grams", "n_prefix", "bitmap")}
+        for a, b in zip(starts, np.r_[starts[1:], len(owner)][: len(starts)], strict=True):
             i = place[owner[a]]
             size = int(sizes[i])
             own = size - int(b - a)  # n-grams that no other class has: rarer than any of these
@@ -232,15 +232,17 @@ def ordered_classes(shared: DataFrame, percent: int) -> DataFrame:
                 out["n_ngrams"].append(size)
                 out["grams"].append(grams[a:b].tobytes())
                 out["n_prefix"].append(min(prefix, int(b - a)))
-                out["sketch"].append(np.bincount((grams[a:b] & np.uint64(15)).astype("i8"), minlength=16).astype("u4").tobytes())
-        kinds = {"n_ngrams": pa.int32(), "n_prefix": pa.int32()}
+                bits_set = np.zeros(512, "u1")
+                bits_set[(grams[a:b] & np.uint64(511)).astype("i8")] = 1
+                out["bitmap"].append(np.packbits(bits_set).view("i8").tolist())
+        kinds = {"n_ngrams": pa.int32(), "n_prefix": pa.int32(), "bitmap": pa.list_(pa.int64())}
         return pa.table({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in out.items()})
 
-    return shared.groupBy("bucket").applyInArrow(arrange, "class_key binary, n_ngrams int, grams binary, n_prefix int, sketch binary")
+    return shared.groupBy("bucket").applyInArrow(arrange, "class_key binary, n_ngrams int, grams binary, n_prefix int, bitmap array<bigint>")
 
 
 def prefix_rows(ordered: DataFrame) -> DataFrame:
-    """gram, class_key, n_ngrams, pos (its place among all n-grams of the class, rare ones first), sketch."""
+    """gram, class_key, n (n-grams), pos (the gram's place among them, rare ones first), shared (n-grams that other classes have), bitmap."""
 
     @F.arrow_udf("array<struct<gram: bigint, pos: int>>")
     def prefixes(grams: pa.Array, n_prefix: pa.Array, n_ngrams: pa.Array) -> pa.Array:
@@ -250,25 +252,36 @@ def prefix_rows(ordered: DataFrame) -> DataFrame:
             rows.append([{"gram": g, "pos": own + i} for i, g in enumerate(np.frombuffer(raw, "i8")[:p].tolist())])
         return pa.array(rows, pa.list_(pa.struct([("gram", pa.int64()), ("pos", pa.int32())])))
 
-    inner = ordered.select("class_key", "n_ngrams", "sketch", F.explode(prefixes("grams", "n_prefix", "n_ngrams")).alias("p"))
-    return inner.select("p.gram", "class_key", "n_ngrams", "p.pos", "sketch")
+    inner = ordered.select(
+        "class_key", F.col("n_ngrams").alias("n"), (F.length("grams") / 8).cast("int").alias("shared"), "bitmap", F.explode(prefixes("grams", "n_prefix", "n_ngrams")).alias("p")
+    )
+    return inner.select("p.gram", "class_key", "n", "p.pos", "shared", "bitmap")
 
 
-def may_link(a: str, b: str, percent: int) -> Column:
-    """Length and positional filters for a prefix hash that two classes share."""
-    n, m = F.col(f"{a}_n").cast("long"), F.col(f"{b}_n").cast("long")
-    behind = F.least(n - F.col(f"{a}_pos"), m - F.col(f"{b}_pos"))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * behind >= percent * (n + m))
+def may_link(percent: int) -> Column:
+    """Length, positional and suffix filters for a prefix hash that two classes, a_... and b_..., share.
 
+    The suffix filter bounds what the classes can have in common from above: a bit
+    that only one bitmap has stands for an n-gram that the other class lacks.
+    """
+    n, m = F.col("a_n").cast("long"), F.col("b_n").cast("long")
+    least = percent * (n + m)
+    behind = F.least(n - F.col("a_pos"), m - F.col("b_pos"))
+
+    def alone(x: str, y: str) -> Column:
+        parts = [F.bit_count(F.get(f"{x}_bitmap", F.lit(i)).bitwiseAND(F.bitwise_not(F.get(f"{y}_bitmap", F.lit(i))))) for i in range(8)]
+        return sum(parts[1:], parts[0])
+
+    return (
+        (100 * F.least(n, m) >= percent * F.greatest(n, m))
+        & ((100 + percent) * behind >= least)
+        & ((100 + percent) * (F.col("a_shared") - alone("a", "b")) >= least)
+        & ((100 + percent) * (F.col("b_shared") - alone("b", "a")) >= least)
+    )
 
-def verified(pairs: DataFrame, ordered: DataFrame, percent: int) -> DataFrame:
-    """a, b: the pairs (a, b, with a_n, b_n, a_sketch, b_sketch) that reach the threshold; each pair comes once."""
 
-    @F.arrow_udf("boolean")
-    def suffixes_allow(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
-        left, right = (np.frombuffer(b"".join(c.to_pylist()), "u4").reshape(-1, 16).astype("i8") for c in (a, b))
-        total = n.to_numpy().astype("i8") + m.to_numpy()
-        return pa.array((100 + percent) * np.minimum(left, right).sum(axis=1) >= percent * total)
+def verified(pairs: DataFrame, ordered: DataFrame, percent: int) -> DataFrame:
+    """a, b: the pairs that reach the threshold; each pair is verified once."""
 
     @F.arrow_udf("boolean")
     def reaches(a: pa.Array, b: pa.Array, n: pa.Array, m: pa.Array) -> pa.Array:
@@ -278,48 +291,43 @@ def verified(pairs: DataFrame, ordered: DataFrame, percent: int) -> DataFrame:
             found.append(100 * both >= percent * (i + j - both))
         return pa.array(found, pa.bool_())
 
-    once = pairs.groupBy("a", "b").agg(*(F.first(c).alias(c) for c in ("a_n", "b_n", "a_sketch", "b_sketch")))
-    left = once.where(suffixes_allow("a_sketch", "b_sketch", "a_n", "b_n")).select("a", "b", "a_n", "b_n")
-    sets = ordered.select("class_key", "grams")
-    with_a = left.join(sets.withColumnsRenamed({"class_key": "a", "grams": "a_grams"}), "a")
-    with_b = with_a.join(sets.withColumnsRenamed({"class_key": "b", "grams": "b_grams"}), "b")
+    once = pairs.select(F.least("a_class_key", "b_class_key").alias("a"), F.greatest("a_class_key", "b_class_key").alias("b")).distinct()
+    sets = ordered.select("class_key", "grams", "n_ngrams")
+    with_a = once.join(sets.withColumnsRenamed({"class_key": "a", "grams": "a_grams", "n_ngrams": "a_n"}), "a")
+    with_b = with_a.join(sets.withColumnsRenamed({"class_key": "b", "grams": "b_grams", "n_ngrams": "b_n"}), "b")
     return with_b.where(reaches("a_grams", "b_grams", "a_n", "b_n")).select("a", "b")
 
 
-def linked_classes(ordered: DataFrame, percent: int, neighbours: int = 3) -> DataFrame:
+def linked_classes(ordered: DataFrame, percent: int) -> DataFrame:
     """node (class key), label: the groups of classes that links connect.
 
-    First each class meets its next few in each of its prefix hashes only, in
-    the order of their sizes; that joins most of a group of near copies at a
-    cost in proportion to its members. Then the pairs across the groups so found
-    follow: of a hash's classes, those outside its commonest group meet all.
+    First each class meets one other in each of its prefix hashes only, the next
+    in an order that differs from hash to hash; that joins most of a group of
+    near copies at a cost in proportion to its members. Then the pairs across the
+    groups so found follow: of a hash's classes, those outside its commonest
+    group meet all.
     """
-    folder = shared_folder(ordered.sparkSession, "similar")
     spark = ordered.sparkSession
+    folder = shared_folder(spark, "similar")
     rows = prefix_rows(ordered)
-    in_order = Window.partitionBy("gram").orderBy("n_ngrams", "class_key")
-    sides = ("class_key", "n_ngrams", "pos", "sketch")
-    names = dict(zip(sides, ("", "_n", "_pos", "_sketch"), strict=True))
-    near = None
-    for k in range(1, neighbours + 1):
-        other = [F.lead(c, k).over(in_order).alias(f"b{names[c]}") for c in sides]
-        part = rows.select(*(F.col(c).alias(f"a{names[c]}") for c in sides), *other).where("b is not null")
-        near = part if near is None else near.unionByName(part)
-    first = verified(near.where(may_link("a", "b", percent)), ordered, percent)
-    first.write.parquet(f"{folder}/first")
+
+    def side(name: str) -> list[Column]:
+        return [F.col(c).alias(f"{name}_{c}") for c in rows.columns if c != "gram"]
+
+    in_order = Window.partitionBy("gram").orderBy(F.xxhash64("gram", "class_key"), "class_key")
+    others = [F.lead(c).over(in_order).alias(f"b_{c}") for c in rows.columns if c != "gram"]
+    near = rows.select(*side("a"), *others).where("b_class_key is not null")
+    verified(near.where(may_link(percent)), ordered, percent).write.parquet(f"{folder}/first")
     first = spark.read.parquet(f"{folder}/first")
     groups = smallest_label(first)
     placed = rows.join(groups, rows.class_key == groups.node, "left").select(*rows.columns, F.coalesce("label", "class_key").alias("label"))
     common = placed.groupBy("gram").agg(F.mode("label", True).alias("common"), F.min("label").alias("low"), F.max("label").alias("high"))
     mixed = placed.join(common.where("low <> high").select("gram", "common"), "gram")
-    a = mixed.select("gram", "common", *(F.col(c).alias(f"a{names[c]}") for c in sides), F.col("label").alias("a_label"))
-    b = mixed.where("label <> common").select("gram", *(F.col(c).alias(f"b{names[c]}") for c in sides), F.col("label").alias("b_label"))
+    a = mixed.select("gram", "common", *side("a"), F.col("label").alias("a_label"))
+    b = mixed.where("label <> common").select("gram", *side("b"), F.col("label").alias("b_label"))
     # Of two classes outside the commonest group, the smaller is on the left.
-    met = (F.col("a_label") != F.col("b_label")) & ((F.col("a_label") == F.col("common")) | (F.col("a") < F.col("b")))
-    across = a.join(b, (a.gram == b.gram) & met & may_link("a", "b", percent)).select(
-        F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), *(F.when(F.col("a") < F.col("b"), F.col(f"{p}_{c}")).otherwise(F.col(f"{q}_{c}")).alias(f"{s}_{c}") for s, p, q in (("x", "a", "b"), ("y", "b", "a")) for c in ("n", "sketch"))
-    )
-    across = across.withColumnsRenamed({f"x{c}": f"a{c}" for c in ("", "_n", "_sketch")} | {f"y{c}": f"b{c}" for c in ("", "_n", "_sketch")})
+    met = (F.col("a_label") != F.col("b_label")) & ((F.col("a_label") == F.col("common")) | (F.col("a_class_key") < F.col("b_class_key")))
+    across = a.join(b, (a.gram == b.gram) & met & may_link(percent))
     verified(across, ordered, percent).write.parquet(f"{folder}/second")
     return smallest_label(first.unionByName(spark.read.parquet(f"{folder}/second")))
 
@@ -328,7 +336,7 @@ def similar_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str =
     """doc_id, text_hash, class_key, n_ngrams, component_id: of every row, its set's size and the smallest id that links reach."""
     spark = docs.sparkSession
     folder = shared_folder(spark, "similar")
-    bits = min(16, max(4, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
+    bits = min(16, max(6, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()))
     dealt = dealt_hashes(docs, n, bits, text_col)
     ordered_classes(shared_hashes(dealt, bits), percent).write.parquet(f"{folder}/classes")
     groups = linked_classes(spark.read.parquet(f"{folder}/classes"), percent)
