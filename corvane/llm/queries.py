@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corvane.llm import pieces, warc
 from corvane.llm.contamination import measure
 from corvane.llm.disclosure import PATTERNS, document_spans
+from corvane.llm.licences import scan
 from corvane.llm.line_templates import drop_recurring_lines
 from corvane.llm.main_text import main_text
 from corvane.llm.quality import judge_text
@@ -112,6 +113,13 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licence notices: families, and lines with the family of each."""
+    found = scan(table(spark, sf_dir, "documents"))
+    places = F.array_join(F.transform("places", lambda p: F.concat_ws(":", p["line_no"], p["family"])), ",")
+    return found.select("doc_id", "n_candidates", "n_confirmed", F.array_join("families", ",").alias("families"), places.alias("places"))
+
+
 def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines whose template recurs in ten documents or more, and a digest of the text without them."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.size(F.split(F.coalesce("text", F.lit("")), "\n", -1)).cast("long").alias("n_lines"))
@@ -155,5 +163,5 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op5_licences": op5_licences, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality}
 SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6}
