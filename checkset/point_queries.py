@@ -57,7 +57,7 @@ def p03_slope(spark, sf_dir):
 def p04_anchor_groups(spark, sf_dir):
     groups = pt.anchor_groups(points(spark, sf_dir))
     return groups.select(
-        "ax", "ay", "slope", "part", F.size("others").cast("bigint").alias("n_others"), _text("others").alias("others")
+        "ax", "ay", "slope", F.size("others").cast("bigint").alias("n_others"), _text("others").alias("others")
     )
 
 
@@ -106,8 +106,7 @@ SQL = {
     "p02_pairs": f'{PAIRS_SQL} SELECT ax, ay, bx, "by" FROM pairs',
     "p03_slope": f'{PAIRS_SQL} SELECT ax, ay, bx, "by", slope FROM pairs',
     "p04_anchor_groups": f"""{PAIRS_SQL}
-SELECT ax, ay, slope, (CASE WHEN ax = bx THEN "by" - ay ELSE bx - ax END) // {pt.POINTS_PER_ROW} AS part,
-       count(*) AS n_others, string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS others
+SELECT ax, ay, slope, count(*) AS n_others, string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS others
 FROM pairs GROUP BY ALL""",
     "p05_min3": f"""{PAIRS_SQL}
 SELECT ax, ay, slope, count(*) + 1 AS n_points,

@@ -72,7 +72,8 @@ def normalise_entities(text: Column, decode: bool = False) -> Column:
     entities stay as they are; `decode=True` also turns `&#233;` and `&eacute;`
     into the characters they name. Unknown names and impossible codes stay.
     """
-    has_other = F.replace(text, F.lit(AMP), F.lit(" ")).rlike(NAMED_ENTITY)
+    # Most texts hold no `&` at all and need no look for entities.
+    has_other = text.contains("&") & F.replace(text, F.lit(AMP), F.lit(" ")).rlike(NAMED_ENTITY)
     decoded = _decode_named(_decode_numeric(text)) if decode else text
     return F.when(has_other, F.replace(decoded, F.lit(AMP), F.lit(" and "))).otherwise(decoded)
 
@@ -108,8 +109,8 @@ def raw_tokens(text: Column, decode_entities: bool = False) -> Column:
 
 def fold_case(token: Column, keep_case: str = "url") -> Column:
     """Lower-case one token unless it holds a URL (or, on request, an emoticon)."""
-    kept = {"url": URL, "emoticon": EMOTICON}[keep_case]
-    return F.when(token.rlike(kept), token).otherwise(F.lower(token))
+    kept = {"url": token.contains("://") & token.rlike(URL), "emoticon": token.rlike(EMOTICON)}[keep_case]
+    return F.when(kept, token).otherwise(F.lower(token))
 
 
 def tokens(text: Column, keep_case: str = "url", decode_entities: bool = False) -> Column:

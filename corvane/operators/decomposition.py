@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from corvane.functions.vectors import Basis, as_matrix, project, reconstruct
 
-MAX_DAYS = 4096
-
-
 def day_means(rows: DataFrame, values: str | Column) -> DataFrame:
     """`day, mean` over the rows that have the day; one row a day."""
     return (
@@ -28,9 +25,7 @@ def day_means(rows: DataFrame, values: str | Column) -> DataFrame:
 
 def fetch_means(means: DataFrame) -> list[float]:
     """The day means as a list. There are as many as days, however many rows they came from."""
-    rows = means.orderBy("day").limit(MAX_DAYS + 1).collect()
-    if len(rows) > MAX_DAYS:
-        raise ValueError(f"vectors of more than {MAX_DAYS} values are not supported")
+    rows = means.orderBy("day").collect()
     if [r["day"] for r in rows] != list(range(1, len(rows) + 1)):
         raise ValueError("some day has no value in any row")
     return [r["mean"] for r in rows]
@@ -168,6 +163,6 @@ def extremes(rows: DataFrame, column: str, ties: list[str], n: int = 12) -> Data
 
 
 def highest(rows: DataFrame, column: str) -> DataFrame:
-    """The one row with the largest value of `column`."""
+    """The one row with the largest value of `column`; of equal ones, that whose columns come last in order."""
     whole = F.struct(*[F.col(c) for c in rows.columns])
-    return rows.agg(F.max_by(whole, F.col(column)).alias("row")).select("row.*")
+    return rows.agg(F.max_by(whole, F.struct(F.col(column), whole)).alias("row")).select("row.*")

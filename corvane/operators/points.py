@@ -122,42 +122,28 @@ def _keyed_pairs(points: DataFrame, stats: PointStats) -> tuple[DataFrame, list[
     return pairs.withColumn("unit", geometry.direction(dx, dy)), ["unit", "slope"]
 
 
-def anchor_groups(points: DataFrame, width: int = POINTS_PER_ROW) -> DataFrame:
-    """The points B seen from A at one slope: `ax, ay, slope, part, others`.
-
-    A row holds the points whose distance from A along x (along y on a
-    vertical line) lies in one band of `width`, so at most `2 * width` of
-    them; `part` numbers the bands. Points within `width` of A, all points on
-    any ordinary input, are in part 0.
-    """
-    stats = point_stats(unique_points(points))
-    pairs, key = _keyed_pairs(points, stats)
-    reach = F.when(F.col("bx") == F.col("ax"), F.col("by") - F.col("ay")).otherwise(F.col("bx") - F.col("ax"))
-    part = F.call_function("div", reach, F.lit(width))
-    groups = pairs.groupBy("block", "ax", "ay", *key, part.alias("part")).agg(
+def anchor_groups(points: DataFrame) -> DataFrame:
+    """The points B seen from A at one slope: `ax, ay, slope, others`."""
+    pairs, key = _keyed_pairs(points, point_stats(unique_points(points)))
+    groups = pairs.groupBy("block", "ax", "ay", *key).agg(
         F.array_sort(F.collect_list(F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))).alias("others")
     )
-    return groups.select("ax", "ay", *key, "part", "others")
+    return groups.select("ax", "ay", *key, "others")
 
 
 def anchor_sets(groups: DataFrame) -> DataFrame:
     """Groups with their anchor put in, where that makes three points or more.
 
-    `ax, ay, slope, part, n_points, first, points`: `n_points` counts the
-    whole line, `first` tells whether A is its smallest point.
+    `ax, ay, slope, n_points, first, points`: `first` tells whether A is the
+    line's smallest point. All of it follows from the group's own row.
     """
-    key = [c for c in groups.columns if c not in ("part", "others")]
-    totals = groups.groupBy(*key).agg(
-        (F.sum(F.size("others")) + 1).alias("n_points"),
-        F.min(F.col("others")[0]).alias("least_other"),
-    )
     anchor = F.struct(F.col("ax").alias("x"), F.col("ay").alias("y"))
-    points = F.when(F.col("part") == 0, F.array_append("others", anchor)).otherwise(F.col("others"))
     return (
-        groups.join(totals.filter("n_points >= 3"), key)
-        .withColumn("first", anchor < F.col("least_other"))
-        .withColumn("points", points)
-        .drop("others", "least_other")
+        groups.filter(F.size("others") >= 2)
+        .withColumn("n_points", (F.size("others") + 1).cast("bigint"))
+        .withColumn("first", anchor < F.col("others")[0])
+        .withColumn("points", F.array_append("others", anchor))
+        .drop("others")
     )
 
 
