@@ -81,7 +81,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id",
     marked = candidates.join(constants, "leaf").withColumn("fixed", fixed)
     n_fixed = F.size(F.filter("fixed", lambda x: x))
     templated = kept(marked.where((n_fixed >= 3) & (2 * n_fixed >= F.size("words"))).select(
-        "doc", "line_no", F.array_join(F.transform("words", lambda w, i: F.when(F.get("fixed", i), w).otherwise(VARIABLE)), " ").alias("template")
+        "doc", "line_no", F.array_join(F.zip_with("words", "fixed", lambda w, f: F.when(f, w).otherwise(VARIABLE)), " ").alias("template")
     ), "templated")
     by_doc = templated.groupBy("template", "doc").agg(F.lit(1).alias("one"))
     recurring = by_doc.groupBy("template").agg(F.count("*").alias("n_docs"), F.min("doc").alias("first_doc")).where(F.col("n_docs") >= min_docs)
