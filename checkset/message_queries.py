@@ -18,7 +18,7 @@ from checkset.standins import (
 from corvane.functions import tokens as tk
 from corvane.operators import mentions as mn
 from corvane.operators import messages as ms
-from corvane.operators.spread import spread
+from checkset.spread import spread
 from corvane.plans.message_report import message_report
 from corvane.session import shared_folder
 from corvane.sources import lines as ln

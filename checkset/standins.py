@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.functions.vectors import Basis
-from corvane.operators.spread import spread
+from checkset.spread import spread
 
 DAYS = 30
 MISSING = -9999

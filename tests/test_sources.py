@@ -1,7 +1,7 @@
 import pytest
 
 from corvane import session
-from corvane.operators.spread import spread
+from checkset.spread import spread
 from corvane.sources.lines import count_lines, lines_from, read_lines
 from corvane.sources.results import ResultStore
 from corvane.sources.tables import read_user_groups
