@@ -210,7 +210,7 @@ def ordered_classes(shared: DataFrame, percent: int) -> DataFrame:
     """class_key, n_ngrams, grams (its shared hashes, rare ones first), n_prefix, bitmap.
 
     Only classes whose prefix holds a shared hash: no other can link. `bitmap`
-    has a bit for each value that nine bits of a shared hash take: 512 bits in 8 numbers.
+    has a bit for each value that ten bits of a shared hash take: 1,024 bits in 16 numbers.
     """
 
     def arrange(table: pa.Table) -> pa.Table:
@@ -232,8 +232,8 @@ def ordered_classes(shared: DataFrame, percent: int) -> DataFrame:
                 out["n_ngrams"].append(size)
                 out["grams"].append(grams[a:b].tobytes())
                 out["n_prefix"].append(min(prefix, int(b - a)))
-                bits_set = np.zeros(512, "u1")
-                bits_set[(grams[a:b] & np.uint64(511)).astype("i8")] = 1
+                bits_set = np.zeros(1024, "u1")
+                bits_set[(grams[a:b] & np.uint64(1023)).astype("i8")] = 1
                 out["bitmap"].append(np.packbits(bits_set).view("i8").tolist())
         kinds = {"n_ngrams": pa.int32(), "n_prefix": pa.int32(), "bitmap": pa.list_(pa.int64())}
         return pa.table({c: pa.array(v, kinds.get(c, pa.binary())) for c, v in out.items()})
@@ -269,7 +269,7 @@ def may_link(percent: int) -> Column:
     behind = F.least(n - F.col("a_pos"), m - F.col("b_pos"))
 
     def alone(x: str, y: str) -> Column:
-        parts = [F.bit_count(F.get(f"{x}_bitmap", F.lit(i)).bitwiseAND(F.bitwise_not(F.get(f"{y}_bitmap", F.lit(i))))) for i in range(8)]
+        parts = [F.bit_count(F.get(f"{x}_bitmap", F.lit(i)).bitwiseAND(F.bitwise_not(F.get(f"{y}_bitmap", F.lit(i))))) for i in range(16)]
         return sum(parts[1:], parts[0])
 
     return (
