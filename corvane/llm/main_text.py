@@ -1,23 +1,29 @@
-"""Main text of web pages, with boilerplate found by a suffix array per host.
+"""Main text of web pages, with boilerplate found by what the pages of a host repeat.
 
 A page is cut into blocks: runs of text between tags that begin or end one. Tags
 and the names of classes and ids tell what many blocks are: inside `article` or
 `main` they belong to the article, inside `nav`, `footer`, adverts, forms,
-comments and the like they do not. What they leave open is decided by the other
-pages of the host: the token streams of a host's pages are put end to end, and a
-substring of `min_tokens` tokens that stands on `min_pages` pages or more is
-boilerplate. A block goes if such substrings cover more than `covered` percent of
-its tokens, and stays as it is otherwise. A declared article is never searched
-for repeats, as copied articles are articles too.
-
-The suffix array is sorted to the depth of `min_tokens` only, which is all that
-the question needs: suffixes with that prefix in common are one run of the array.
-Spark holds it as rows of (host, hash of the prefix); runs are counted with sums
-combined inside each task, so a host with a third of all pages, and a menu on
-each of them, is no hot key. Pages whose blocks are all clear add no row.
-
-Defined results: null and empty pages have an empty text; a page that declares no
-article is made of its open blocks; a page without a host is a host of its own
+comments and the like they do not. All others, those of the article too, are
+searched for repeats among the pages of the host. A block goes if substrings that
+stand in `min_pages` sources or more cover more than `covered` percent of its
+tokens, and stays as it is otherwise. Open blocks, beside an article or not, are
+searched for substrings of `min_tokens` tokens, with equal pages as one source;
+then the token stream of all blocks of a page for long ones of `long_tokens`, with
+equal articles as one source, so that copied articles stay. An article most of which such
+repeats cover is a copy with changes and keeps its blocks; its headings, and blocks
+that say the same, are its own and no part of the stream.
+
+Repeats of open blocks are runs of a suffix array sorted to the depth of
+`min_tokens`, held as rows of (host, hash of the prefix); runs are counted with
+sums combined inside each task, so a host with a third of all pages, and a menu
+on each of them, is no hot key. For long substrings no array of all suffixes is
+built: the smallest hash of `part_tokens` tokens in each `long_tokens` in a row is
+kept (equal substrings keep the same), and only the substrings around parts that
+enough sources share are written out and counted by their text. None is missed,
+and no hash decides.
+
+Defined results: null and empty pages have an empty text; open blocks stand where
+the page has them, before, after or without an article; a page without a host is a host of its own
 kind; unclosed and stray tags are taken as browsers do, roughly: a block's context
 is that of the open elements around it, and a page's end closes all. White space
 is that of Unicode. Equal rows count as one page for the repeats, each gets its
@@ -29,9 +35,11 @@ from __future__ import annotations
 import html
 import re
 import sys
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -51,6 +59,7 @@ BLOCK_TAGS = frozenset(
 VOID_TAGS = frozenset("area base br col embed hr img input link meta source track wbr".split())
 RAW_TAGS = frozenset("iframe math noembed noframes noscript object script style svg template textarea xmp".split())
 CHROME_TAGS = frozenset("aside button dialog footer form head header menu nav option select title".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 ARTICLE_TAGS = frozenset("article main".split())
 CHROME_NAMES = frozenset(
     "ad ads advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer header "
@@ -90,9 +99,14 @@ def _is_chrome(tag: str, attributes: str, in_article: bool) -> bool:
 
 def blocks(page: str) -> Iterator[tuple[str, int]]:
     """(text, place) of each block with text, in page order; place: in an article, open, or in a page's furniture."""
+    return ((text, place) for text, place, _ in placed_blocks(page))
+
+
+def placed_blocks(page: str) -> Iterator[tuple[str, int, bool]]:
+    """As `blocks`, and whether a block is a heading."""
     stack: list[tuple[str, int]] = []  # open elements with their places
     parts: list[str] = []
-    at, place = 0, OPEN
+    at, place, heading = 0, OPEN, False
     end = len(page)
 
     def flush():
@@ -113,7 +127,7 @@ def blocks(page: str) -> Iterator[tuple[str, int]]:
             continue  # a comment or declaration, which parts no words
         if tag in BLOCK_TAGS or tag in RAW_TAGS:
             if text := flush():
-                yield text, place
+                yield text, place, heading
         if closing:
             if any(name == tag for name, _ in stack):
                 while stack.pop()[0] != tag:
@@ -134,8 +148,9 @@ def blocks(page: str) -> Iterator[tuple[str, int]]:
             if not attributes.rstrip().endswith("/") or tag in BLOCK_TAGS:
                 stack.append((tag, inside))
         place = stack[-1][1] if stack else OPEN
+        heading = any(name in HEADINGS for name, _ in stack)
     if text := flush():
-        yield text, place
+        yield text, place, heading
 
 
 @dataclass(frozen=True)
@@ -143,22 +158,51 @@ class Repeats:
     min_tokens: int = 6
     min_pages: int = 3
     covered: int = 50
+    # Of substrings of the whole stream, and of the parts by which they are found.
+    long_tokens: int = 16
+    part_tokens: int = 6
+
 
+BLOCKS = "struct<blocks: array<struct<text: string, open: boolean, headline: boolean>>, parts: array<bigint>>"
+_BLOCKS = pa.struct([("blocks", pa.list_(pa.struct([("text", pa.string()), ("open", pa.bool_()), ("headline", pa.bool_())]))), ("parts", pa.list_(pa.int64()))])
 
-BLOCKS = "struct<article: array<string>, open: array<string>>"
 
+def part_hashes(tokens: list[str], k: int) -> np.ndarray:
+    """A hash of each `k` tokens in a row."""
+    n = len(tokens) - k + 1
+    if n < 1:
+        return np.empty(0, np.uint64)
+    single = np.fromiter((zlib.crc32(t.encode()) for t in tokens), np.uint64, len(tokens)) * np.uint64(0x9E3779B97F4A7C15)
+    single ^= single >> np.uint64(29)
+    total = np.zeros(n, np.uint64)
+    for i in range(k):
+        total = total * np.uint64(0xBF58476D1CE4E5B9) + single[i : i + n]
+    return total ^ (total >> np.uint64(31))
 
-def page_blocks(page: Column) -> Column:
-    """A page's article blocks, and its open blocks if it declares no article; chrome is left out."""
+
+def chosen_parts(tokens: list[str], rule: Repeats) -> np.ndarray:
+    """The smallest part of each `long_tokens` tokens in a row: equal substrings of that length have one in common."""
+    hashes = part_hashes(tokens, rule.part_tokens)
+    width = rule.long_tokens - rule.part_tokens + 1
+    if len(hashes) < width:
+        return np.empty(0, np.int64)
+    return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, width).min(axis=1)).view(np.int64)
+
+
+def page_blocks(page: Column, rule: Repeats = Repeats()) -> Column:
+    """A page's blocks, without those of its furniture, in order, and the chosen parts of their token stream."""
 
     @F.arrow_udf(BLOCKS)
     def cut(column: pa.Array) -> pa.Array:
         rows = []
         for value in column:
-            found = list(blocks(value.as_py())) if value.is_valid else []
-            article = [text for text, place in found if place == ARTICLE]
-            rows.append({"article": article, "open": [] if article else [text for text, place in found if place == OPEN]})
-        return pa.array(rows, pa.struct([("article", pa.list_(pa.string())), ("open", pa.list_(pa.string()))]))
+            found = [b for b in placed_blocks(value.as_py()) if b[1] != CHROME] if value.is_valid else []
+            said = [text.rstrip(" .,:;!?…") for text, _, _ in found]
+            headlines = {s for s, (_, place, heading) in zip(said, found, strict=True) if heading and place == ARTICLE}
+            made = [{"text": t, "open": p == OPEN, "headline": p == ARTICLE and s in headlines} for s, (t, p, _) in zip(said, found, strict=True)]
+            tokens = [token for b in made if not b["headline"] for token in b["text"].split(" ")]
+            rows.append({"blocks": made, "parts": chosen_parts(tokens, rule).tolist()})
+        return pa.array(rows, _BLOCKS)
 
     return cut(page)
 
@@ -170,33 +214,96 @@ def host_of(url: Column) -> Column:
 
 
 def boilerplate_blocks(opened: DataFrame, rule: Repeats) -> DataFrame:
-    """page, block: the open blocks (page, host, block, text) that substrings of several pages of the host cover."""
+    """page, block: the open blocks (page, host, source, block, text) that substrings of several sources of the host cover."""
     k = rule.min_tokens
     tokens = F.split("text", " ")
     # Blocks shorter than a substring are compared whole: their suffix is the block itself.
     starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - k, F.lit(0)))
     suffixes = opened.withColumn("tokens", tokens).select(
-        "page", "host", "block", F.size("tokens").alias("n"), F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("tokens", i + 1, k)).alias("prefix")))).alias("s")
+        "page", "host", "source", "block", F.size("tokens").alias("n"), F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("tokens", i + 1, k)).alias("prefix")))).alias("s")
     )
-    suffixes = suffixes.select("page", "host", "block", "n", "s.at", "s.prefix")
-    runs = suffixes.groupBy("host", "prefix", "page").agg(F.lit(1).alias("one")).groupBy("host", "prefix").agg(F.count("*").alias("pages"))
+    suffixes = suffixes.select("page", "host", "source", "block", "n", "s.at", "s.prefix")
+    runs = suffixes.groupBy("host", "prefix", "source").agg(F.lit(1).alias("one")).groupBy("host", "prefix").agg(F.count("*").alias("pages"))
     repeated = suffixes.join(runs.where(F.col("pages") >= rule.min_pages), ["host", "prefix"], "left_semi")
     places = F.explode(F.sequence("at", F.least(F.col("at") + (k - 1), F.col("n") - 1)))
     covered = repeated.select("page", "block", "n", places.alias("token")).distinct().groupBy("page", "block").agg(F.count("*").alias("hit"), F.first("n").alias("n"))
     return covered.where(100 * F.col("hit") > rule.covered * F.col("n")).select("page", "block")
 
 
+def stream_windows(texts: Column, parts: Column, rule: Repeats) -> Column:
+    """array<struct<at, window>>: the `long_tokens` tokens in a row, as text, that hold one of the given parts."""
+
+    @F.arrow_udf("array<struct<at: int, window: string>>")
+    def windows(texts: pa.Array, parts: pa.Array) -> pa.Array:
+        rows = []
+        reach = rule.long_tokens - rule.part_tokens
+        for text, part in zip(texts, parts, strict=True):
+            tokens = [token for t in text.as_py() for token in t.split(" ")]
+            hit = np.isin(part_hashes(tokens, rule.part_tokens).view(np.int64), part.values.to_numpy(zero_copy_only=False))
+            before = np.concatenate([[0], np.cumsum(hit)])
+            starts = np.arange(max(0, len(tokens) - rule.long_tokens + 1))
+            starts = starts[before[starts + reach + 1] > before[starts]]
+            rows.append([{"at": int(i), "window": " ".join(tokens[i : i + rule.long_tokens])} for i in starts])
+        return pa.array(rows, pa.list_(pa.struct([("at", pa.int32()), ("window", pa.string())])))
+
+    return windows(texts, parts)
+
+
+def stream_repeats(stored: DataFrame, rule: Repeats, folder: str) -> DataFrame:
+    """page, gone: the places of the blocks that long substrings of several sources of the host cover."""
+    spark = stored.sparkSession
+    # Copies of an article are one source.
+    sources = stored.where(F.size("parts") > 0).groupBy("host", "source").agg(F.first("parts").alias("parts"))
+    keys = lambda df: df.withColumn("part", F.explode("parts")).withColumn("key", F.xxhash64("host", "part"))
+    counts = keys(sources).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= rule.min_pages)
+    counts.select("key").write.parquet(f"{folder}/parts")
+    shared = keys(stored.select("page", "host", "parts")).join(spark.read.parquet(f"{folder}/parts"), "key", "left_semi")
+    shared = shared.select("page", "part").distinct().groupBy("page").agg(F.collect_list("part").alias("shared"))
+    held = stored.select("page", "host", "source", "blocks").dropDuplicates(["page"]).join(shared, "page")
+    held.withColumn("windows", stream_windows(F.filter("blocks", lambda b: ~b["headline"])["text"], F.col("shared"), rule)).drop("shared").write.parquet(f"{folder}/windows")
+    held = spark.read.parquet(f"{folder}/windows")
+    windows = held.select("page", "host", "source", F.explode("windows").alias("w")).select("page", "host", "source", "w.at", "w.window")
+    by_source = windows.groupBy("host", "window", "source").agg(F.lit(1).alias("one"))
+    repeated = by_source.groupBy("host", "window").agg(F.count("*").alias("n")).where(F.col("n") >= rule.min_pages)
+    starts = windows.join(repeated, ["host", "window"], "left_semi").groupBy("page").agg(F.collect_list("at").alias("starts"))
+
+    @F.arrow_udf("array<int>")
+    def gone(blocks: pa.Array, starts: pa.Array) -> pa.Array:
+        rows = []
+        for found, start in zip(blocks, starts, strict=True):
+            found = found.as_py()
+            sizes = [0 if b["headline"] else b["text"].count(" ") + 1 for b in found]
+            change = np.zeros(sum(sizes) + 1, np.int64)
+            start = np.array(start.as_py())
+            np.add.at(change, start, 1)
+            np.add.at(change, start + rule.long_tokens, -1)
+            ends = np.cumsum(sizes)
+            sums = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
+            hits = sums[ends] - sums[ends - sizes]
+            article = np.array([not b["open"] for b in found])
+            copied = 100 * hits[article].sum() > rule.covered * np.array(sizes)[article].sum()
+            rows.append([i for i, b in enumerate(found) if 100 * hits[i] > rule.covered * sizes[i] and (b["open"] or not copied)])
+        return pa.array(rows, pa.list_(pa.int32()))
+
+    return held.join(starts, "page").select("page", gone("blocks", "starts").alias("gone"))
+
+
 def main_text(pages: DataFrame, rule: Repeats = Repeats(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text of every page."""
     spark = pages.sparkSession
     folder = shared_folder(spark, "pages")
-    cut = narrow(pages, page_id=id_col, url=url_col, page=html_col).select("page_id", "url", page_blocks(F.col("page")).alias("b"))
-    cut.select("page_id", "url", "b.article", "b.open").write.parquet(f"{folder}/blocks")
-    stored = spark.read.parquet(f"{folder}/blocks")
-    clear = stored.where(F.size("open") == 0).select("page_id", "url", F.array_join("article", " ").alias("text"))
-    unclear = stored.where(F.size("open") > 0).withColumn("page", F.struct("page_id", F.xxhash64("url", "open").alias("hash")))
-    opened = unclear.select("page", host_of(F.col("url")).alias("host"), F.posexplode("open").alias("block", "text")).distinct()
-    gone = boilerplate_blocks(opened, rule).groupBy("page").agg(F.collect_list("block").alias("gone"))
-    rest = F.filter("open", lambda text, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    decided = unclear.join(gone, "page", "left").select("page_id", "url", F.array_join(rest, " ").alias("text"))
-    return clear.unionByName(decided)
+    cut = narrow(pages, page_id=id_col, url=url_col, page=html_col).select("page_id", "url", page_blocks(F.col("page"), rule).alias("b"))
+    cut.select("page_id", "url", "b.blocks", "b.parts").write.parquet(f"{folder}/blocks")
+    stored = spark.read.parquet(f"{folder}/blocks").withColumn("host", host_of(F.col("url")))
+    article = F.filter("blocks", lambda b: ~b["open"])
+    # An article is the same source whatever stands around it.
+    source = F.xxhash64(F.when(F.size(article) > 0, article).otherwise(F.col("blocks")))
+    stored = stored.withColumn("page", F.struct("page_id", F.xxhash64("url", "blocks").alias("hash"))).withColumn("source", source)
+    opened = stored.where(F.exists("blocks", lambda b: b["open"])).select("page", "host", F.xxhash64("blocks").alias("source"), F.posexplode("blocks").alias("block", "b"))
+    opened = opened.where("b.open").select("page", "host", "source", "block", F.col("b.text").alias("text")).distinct()
+    short = boilerplate_blocks(opened, rule).groupBy("page").agg(F.collect_list("block").alias("gone"))
+    gone = short.unionByName(stream_repeats(stored, rule, folder)).groupBy("page").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    gone.write.parquet(f"{folder}/gone")
+    rest = F.filter("blocks", lambda b, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
+    decided = stored.join(spark.read.parquet(f"{folder}/gone"), "page", "left").withColumn("rest", rest)
+    return decided.select("page_id", "url", F.array_join("rest.text", " ").alias("text"))

@@ -92,3 +92,23 @@ def test_copied_articles_stay(spark):
 
 def test_empty_table(spark):
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+def test_repeats_inside_articles(spark):
+    notice = "Subscribe to our weekly letter and get all the stories of the week in your inbox before anybody else does."
+    own = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(i, "http://h.example/", f"<article><p>{own(i, 40)}</p><p class='x'>{notice}</p><p>{own(i + 100, 9)}</p></article>") for i in range(4)]
+    # Two of them elsewhere: not enough.
+    rows += [(10 + i, "http://other.example/", f"<article><p>{own(i + 200, 40)}</p><p>{notice}</p></article>") for i in range(2)]
+    # A copy with changes stays whole.
+    rows += [(20 + i, "http://copies.example/", f"<article><p>{own(300, 60)}</p><p>{own(301, 60)} changed{i}</p></article>") for i in range(5)]
+    out = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(out[i] == f"{own(i, 40)} {own(i + 100, 9)}" for i in range(4))
+    assert all(out[10 + i] == f"{own(i + 200, 40)} {notice}" for i in range(2))
+    assert all(out[20 + i] == f"{own(300, 60)} {own(301, 60)} changed{i}" for i in range(5))
+
+
+def test_main_text_beside_a_teaser(spark):
+    rows = [(i, "http://h.example/", f"<article>Teaser {i}</article><div>Long story {i} in a plain element.</div><div>Menu of the site</div>") for i in range(3)]
+    out = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in out} == {i: f"Teaser {i} Long story {i} in a plain element." for i in range(3)}
