@@ -1,21 +1,23 @@
 """Personal data, and the terms that disclose it.
 
-Four kinds of values are found by patterns. The words within `reach` characters
-on either side, on the same line, are a value's context. How strongly a term t reveals a value e is
-their pointwise mutual information over documents, log(N n(e,t) / (n(e) n(t))),
-against the information of the value itself, log(N / n(e)): at a share of 1 the
-term gives the value away. Terms that stand beside a value in `min_docs`
-documents at least and reach `threshold` of its information are marked, in each
-context of that value, and generalised along with the values.
+Four kinds of values are found by patterns. All words of a document that holds a
+value are the value's context. How strongly a term t reveals a value e is their
+pointwise mutual information over documents, log(N n(e,t) / (n(e) n(t))), against
+the information of the value itself, log(N / n(e)): at a share of 1 the term gives
+the value away. Of a value in one document that is the information of the term
+itself, log(N / n(t)). Terms that reach `threshold` of a value's information are
+marked wherever they stand in the documents of that value, and generalised along
+with the values.
 
 All of it is built-in functions. The spans of a text come from one pass per
-kind over the text between and within the matches; contexts are a bounded number
-of words per value, and the counts are grouped by (value, term), by value and
-by term, combined within each task before they are sent.
+kind over the text between and within the matches. Of documents with a value,
+each word becomes a row with its place; terms so frequent that no count with a
+value could make them telling are left out before (value, term) pairs are
+counted, combined within each task before they are sent.
 
 Defined results: a null text has no spans; values and terms in texts of any
 length are found; equal values count once per document for the statistics, and
-documents of equal id and text count as one; other columns stay as they are in
+documents of equal id and text count as one, in all counts; other columns stay as they are in
 `sanitise`. Every start is the position of a code point from 0, every end is
 exclusive. The patterns are written so that no text makes them backtrack: a
 run of word characters is left at its end or not entered at all.
@@ -48,8 +50,6 @@ TERM = r"(?<![\p{L}\p{N}@._%+-])\p{L}{2,}+(?![\p{N}@_%+-]|\.[\p{L}\p{N}])"
 
 @dataclass(frozen=True)
 class Disclosure:
-    reach: int = 60
-    min_docs: int = 3
     threshold: float = 0.8
 
 
@@ -75,25 +75,15 @@ def _holds(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def matches(docs: DataFrame, kind: str, reach: int) -> DataFrame:
-    """doc, kind, start, end, value, before, after: the valid matches of a kind in (doc, text) rows.
-
-    `before` and `after` are up to `reach` characters beside the match, on its
-    line, without a word that the limit cuts.
-    """
+def matches(docs: DataFrame, kind: str) -> DataFrame:
+    """doc, kind, start, end, value: the valid matches of a kind in (doc, text) rows."""
     text = F.col("text")
     found = F.regexp_extract_all(text, F.lit(f"({PATTERNS[kind]})"), F.lit(1))
     gaps = F.split(text, PATTERNS[kind], -1)
     sign = text.contains(SIGN[kind]) if kind in SIGN else text.rlike("[0-9]")
     parts = docs.where(sign).select("doc", found.alias("found"), gaps.alias("gaps")).where(F.size("found") > 0)
-    gap, follows = F.get("gaps", F.col("i")), F.get("gaps", F.col("i") + 1)
     rows = parts.select("doc", "gaps", F.posexplode("found").alias("i", "value")).select(
-        "doc",
-        "i",
-        "value",
-        F.length(gap).alias("gap"),
-        F.when(F.length(gap) > reach, F.regexp_replace(F.right(gap, F.lit(reach)), r"^\S*", "")).otherwise(gap).alias("before"),
-        F.when(F.length(follows) > reach, F.regexp_replace(F.left(follows, F.lit(reach)), r"\S*$", "")).otherwise(follows).alias("after"),
+        "doc", "i", "value", F.length(F.get("gaps", F.col("i"))).alias("gap")
     )
     # Rows of the same id and text say the same; one of them is enough. A text's matches are summed up in order.
     so_far = Window.partitionBy("doc").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -104,18 +94,18 @@ def matches(docs: DataFrame, kind: str, reach: int) -> DataFrame:
         (F.col("end") - F.length("value")).alias("start"),
         "end",
         "value",
-        F.regexp_extract("before", r"[^\n]*$", 0).alias("before"),
-        F.regexp_extract("after", r"^[^\n]*", 0).alias("after"),
     )
 
 
-def _terms(snippet: Column, origin: Column) -> Column:
-    """array<struct<term, start, end>> of the words of a short snippet that begins at `origin`."""
-    words, gaps = F.regexp_extract_all(snippet, F.lit(f"({TERM})"), F.lit(1)), F.split(snippet, TERM, -1)
-    place = lambda i: origin + F.length(F.array_join(F.slice(gaps, F.lit(1), i + 1), "")) + F.length(F.array_join(F.slice(words, F.lit(1), i), ""))
-    return F.transform(
-        words, lambda w, i: F.struct(ascii_lower(w).alias("term"), place(i).alias("start"), (place(i) + F.length(w)).alias("end"))
-    )
+def _words(docs: DataFrame) -> DataFrame:
+    """doc, term, start, end: each word of (doc, text) rows."""
+    found, gaps = F.regexp_extract_all("text", F.lit(f"({TERM})"), F.lit(1)), F.split("text", TERM, -1)
+    both = F.zip_with(found, gaps, lambda w, g: F.struct(w.alias("word"), F.length(g).alias("gap")))
+    # One gap more than words: the last pair has none.
+    rows = docs.select("doc", F.posexplode(both).alias("i", "w")).where("w.word is not null").select("doc", "i", "w.word", "w.gap")
+    so_far = Window.partitionBy("doc").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = rows.withColumn("end", F.sum(F.col("gap") + F.length("word")).over(so_far).cast("int"))
+    return ends.select("doc", ascii_lower(F.col("word")).alias("term"), (F.col("end") - F.length("word")).alias("start"), "end")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -134,27 +124,29 @@ def find_spans(docs: DataFrame, rule: Disclosure = Disclosure(), id_col: str = "
         return spark.read.parquet(f"{folder}/{name}")
 
     keyed = _keyed(docs, id_col, text_col)
-    parts = [matches(keyed, kind, rule.reach) for kind in PATTERNS]
+    n_docs = keyed.select("doc").distinct().count()
+    if n_docs < keyed.count():
+        keyed = keyed.dropDuplicates(["doc"])
+    parts = [matches(keyed, kind) for kind in PATTERNS]
     values = kept(parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3]), "values")
-    terms = values.select(
-        "doc",
-        F.struct("kind", "value").alias("entity"),
-        F.explode(F.concat(_terms(F.col("before"), F.col("start") - F.length("before")), _terms(F.col("after"), F.col("end")))).alias("t"),
-    ).select("doc", "entity", "t.*")
-    together = terms.groupBy("entity", "term", "doc").agg(F.lit(1).alias("one")).groupBy("entity", "term").agg(F.count("*").alias("n_both"))
-    together = kept(together.where(F.col("n_both") >= rule.min_docs), "together")
-    n_entity = (
-        values.select(F.struct("kind", "value").alias("entity"), "doc").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    )
-    words = keyed.select(F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"({TERM})"), F.lit(1)))).alias("term"))
-    n_term = words.join(together.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count("*").alias("n_term"))
-    n_docs = docs.count()
+    holding = values.select("doc", F.struct("kind", "value").alias("entity")).distinct()
+    holding = kept(holding.join(holding.groupBy("entity").agg(F.count("*").alias("n_entity")), "entity"), "holding")
+    words = kept(_words(keyed.join(holding.select("doc").distinct(), "doc", "left_semi")), "words")
+    every = keyed.select(F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"({TERM})"), F.lit(1)))).alias("term"))
+    n_term = every.groupBy("term").agg(F.count("*").alias("n_term"))
     information = F.log(F.lit(n_docs) / F.col("n_entity"))
+    # n_both is n_entity at most: no term above this count can be telling of a value. The margin is for rounding.
+    can_tell = lambda n_entity: F.log(F.lit(n_docs) / F.col("n_term")) >= rule.threshold * F.log(F.lit(n_docs) / n_entity) - 1e-9
+    most = holding.agg(F.max("n_entity")).first()[0] or 1
+    doc_terms = words.select("doc", "term").distinct().join(n_term.where(can_tell(F.lit(most))), "term")
+    pairs = kept(holding.join(doc_terms, "doc").where((information > 0) & can_tell(F.col("n_entity"))), "pairs")
+    together = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(F.count("*").alias("n_both"))
     shared = F.log(F.lit(n_docs) * F.col("n_both") / (F.col("n_entity") * F.col("n_term")))
-    telling = together.join(n_entity, "entity").join(n_term, "term").where((information > 0) & (shared >= rule.threshold * information))
-    disclosed = terms.join(telling.select("entity", "term"), ["entity", "term"], "left_semi")
+    telling = together.where(shared >= rule.threshold * information).select("entity", "term")
+    marked = pairs.join(telling, ["entity", "term"], "left_semi").select("doc", "term").distinct()
+    disclosed = words.join(marked, ["doc", "term"], "left_semi")
     return values.select("doc", "kind", "start", "end").unionByName(
-        disclosed.select("doc", F.lit("term").alias("kind"), "start", "end").distinct()
+        disclosed.select("doc", F.lit("term").alias("kind"), "start", "end")
     )
 
 

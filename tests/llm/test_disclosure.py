@@ -83,3 +83,14 @@ def test_sanitise_keeps_rows_and_columns(spark):
 
 def test_kinds():
     assert list(PATTERNS) == list(PLAIN)
+
+
+def test_terms_of_values_of_one_document(spark):
+    far = "and the day went on as days do " * 5
+    told = [(1, f"Zaphod wrote from zb@heart.example.org today.\n{far}\nIt was zaphod and the day."), (2, "Call +49 30 1234567 and the day."), (3, "Trillian wrote and the day went on.")]
+    others = [(100 + i, f"{far} It was from today, wrote and call {i}.") for i in range(60)]
+    df = spark.createDataFrame(told + others, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in sanitise(df).collect()}
+    assert out[1] == f"[term] wrote from [email] today.\n{far}\nIt was [term] and the day."
+    assert out[2] == "Call [phone] and the day."
+    assert all(out[i] == t for i, t in [told[2], *others])
