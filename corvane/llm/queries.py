@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corvane.llm import pieces, warc
 from corvane.llm.contamination import measure
 from corvane.llm.disclosure import PATTERNS, document_spans
+from corvane.llm.filter_audit import audit, flag_documents
 from corvane.llm.licences import scan
 from corvane.llm.line_templates import drop_recurring_lines
 from corvane.llm.main_text import main_text
@@ -66,6 +67,35 @@ SELECT x.doc_id, count(line_no) AS n_lines, count(d.doc_id) AS n_dropped,
 FROM documents x LEFT JOIN l USING (doc_id) LEFT JOIN d USING (doc_id, line_no) GROUP BY x.doc_id"""
 
 
+# The masks of all documents, then every order of the five filters as it stands.
+OP11 = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w, coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false) AS copy FROM d),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN copy THEN 16 ELSE 0 END AS mask
+    FROM w LEFT JOIN l USING (doc_id)),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, mask),
+f AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(f, b)),
+o AS (SELECT f1.f || f2.f || f3.f || f4.f || f5.f AS filter_order, [f1.b, f2.b, f3.b, f4.b, f5.b] AS bits
+    FROM f f1, f f2, f f3, f f4, f f5 WHERE f1.b | f2.b | f3.b | f4.b | f5.b = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS before
+    FROM (SELECT *, unnest(range(1, 6)) AS step FROM o)),
+r AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (before | bit) = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & before > 0 AND mask & bit > 0 THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & before = 0 AND mask & bit > 0 THEN toxic ELSE 0 END) AS toxic_lost
+    FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r"""
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back: length, digest and kind of its record."""
     path = shared_folder(spark, "warc")
@@ -163,5 +193,11 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *(f"q.{name}" for name in figures))
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op5_licences": op5_licences, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality}
-SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6}
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in every order of them, by language."""
+    steps = audit(flag_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+    return steps.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
+
+
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op5_licences": op5_licences, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality, "op11_filter_audit": op11_filter_audit}
+SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6, "op11_filter_audit": OP11}
