@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import pieces, warc
+from corvane.llm.collocations import frequent_phrases, score, top_phrases
 from corvane.llm.contamination import measure
 from corvane.llm.disclosure import PATTERNS, document_spans
 from corvane.llm.filter_audit import audit, flag_documents
@@ -96,6 +97,28 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
   (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r"""
 
 
+# All windows of one to five words counted, without any pruning.
+OP13 = r"""
+WITH p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p
+    FROM (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)),
+w AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k)) GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM g WHERE k >= 2),
+s AS (SELECT lang, phrase, k, a, array_to_string(w[i:i + m - 1], ' ') AS inner_phrase
+    FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM c)) WHERE k > m),
+x AS (SELECT lang, phrase FROM c WHERE NOT EXISTS (
+    SELECT 1 FROM s WHERE s.lang = c.lang AND s.inner_phrase = c.phrase AND 100 * s.a >= 100 * c.a)),
+u AS (SELECT lang, phrase, a, array_to_string(w[1:m], ' ') AS first, array_to_string(w[m + 1:], ' ') AS rest, m
+    FROM (SELECT c.*, unnest(range(1, k)) AS m FROM c JOIN x USING (lang, phrase))),
+v AS (SELECT u.lang, u.phrase, a, l.f AS l, r.f AS r, n, m, (1000::HUGEINT * a * n::HUGEINT) // (l.f::HUGEINT * r.f) AS score
+    FROM u JOIN g l ON l.lang = u.lang AND l.phrase = u.first JOIN g r ON r.lang = u.lang AND r.phrase = u.rest JOIN t ON t.lang = u.lang),
+z AS (SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, m) = 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM o WHERE rank <= 2000"""
+
+
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives and read back: length, digest and kind of its record."""
     path = shared_folder(spark, "warc")
@@ -199,5 +222,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op5_licences": op5_licences, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality, "op11_filter_audit": op11_filter_audit}
-SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6, "op11_filter_audit": OP11}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's 2000 strongest phrases of two to five words."""
+    ranked = top_phrases(score(frequent_phrases(table(spark, sf_dir, "documents"))))
+    return ranked.select(F.col("part").alias("lang"), F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op5_licences": op5_licences, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality, "op11_filter_audit": op11_filter_audit, "op13_collocations": op13_collocations}
+SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6, "op11_filter_audit": OP11, "op13_collocations": OP13}
