@@ -15,7 +15,7 @@ Toivonen's algorithm, for phrases of up to `max_words` words in a row:
    from the second step on, so the sample decides about the work, not the result.
 
 Proposed phrases are looked up in a bit array of fixed size (`SET_BITS`), the
-only thing that is broadcast. A phrase taken for a proposed one by chance, or
+only thing that is broadcast (compressed). A phrase taken for a proposed one by chance, or
 by a full array when there are very many, is counted in vain; none is missed.
 Windows are counted within a task on numbers of words, compared exactly,
 before they become rows; rows are summed in the task again, then shuffled by part
@@ -37,6 +37,7 @@ looked at.
 from __future__ import annotations
 
 import sys
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -165,13 +166,22 @@ def _texts_by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list
         yield held
 
 
+def _packed(bits: np.ndarray | None) -> bytes | None:
+    """A bit array as it travels: mostly empty, it is small as compressed bytes."""
+    return None if bits is None else zlib.compress(bits, 1)
+
+
+def _unpacked(packed: bytes | None) -> np.ndarray | None:
+    return None if packed is None else np.frombuffer(zlib.decompress(packed), "u8")
+
+
 def _counts(texts: DataFrame, lengths: list[int], asked: np.ndarray | None = None, done: np.ndarray | None = None) -> DataFrame:
     """part, k, phrase, n: how often each window asked for occurs; with single words, k = 0 has their total."""
     share = texts.sparkSession.sparkContext.broadcast
-    sets = [None if bits is None else share(bits) for bits in (asked, done)]
+    sets = [share(_packed(bits)) for bits in (asked, done)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, done = (None if bits is None else bits.value for bits in sets)
+        asked, done = (_unpacked(packed.value) for packed in sets)
         for held in _texts_by_part(batches):
             for part, own in held.items():
                 for k, phrases, n in count_windows(own, part, lengths, asked, done):
@@ -217,10 +227,10 @@ def _bit_set(phrases: DataFrame) -> np.ndarray:
 
 def _outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
     """The phrases that are not in the bit array."""
-    shared = phrases.sparkSession.sparkContext.broadcast(bits)
+    shared = phrases.sparkSession.sparkContext.broadcast(_packed(bits))
 
     def missing(batch: pa.RecordBatch, part: str, k: int) -> pa.RecordBatch:
-        return batch.filter(pa.array(~_holds(shared.value, _phrase_hashes(batch.column("phrase"), k), part, k)))
+        return batch.filter(pa.array(~_holds(_unpacked(shared.value), _phrase_hashes(batch.column("phrase"), k), part, k)))
 
     return _by_set(phrases.select("part", "k", "phrase", "n"), COUNTS, missing)
 
