@@ -59,7 +59,9 @@ NO_PART = "und"
 
 SET_BITS = 1 << 27
 # Text that a task takes up at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+# Rows that leave or enter a task at once.
+BATCH_ROWS = 1 << 16
 COUNTS = "part string, k int, phrase string, n bigint"
 
 _STOP = b"."
@@ -68,10 +70,23 @@ _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 MOST_WORDS = len(_PLACES)
 
 
-def _word_hashes(words: pa.Array) -> np.ndarray:
-    import xxhash
+# Multipliers of the bytes of a word by their place in it.
+_BYTES = np.random.default_rng(0).integers(0, 1 << 63, 1024, "u8") * np.uint64(2) + np.uint64(1)
 
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words.cast(pa.large_binary()).to_pylist()), "u8", len(words))
+
+def _word_hashes(words: pa.Array) -> np.ndarray:
+    """64-bit hashes of words, none of them empty, without a Python object for each."""
+    if not len(words):
+        return np.zeros(0, "u8")
+    column = words.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, "i8")[column.offset : column.offset + len(column) + 1]
+    text = np.frombuffer(data, "u1")[ends[0] : ends[-1]]
+    starts, lengths = ends[:-1] - ends[0], np.diff(ends)
+    place = np.arange(len(text)) - np.repeat(starts, lengths)
+    hashes = np.add.reduceat((text + np.uint64(1)) * _BYTES[place & 1023], starts) + lengths.astype("u8")
+    hashes ^= hashes >> np.uint64(31)
+    return hashes * np.uint64(0x94D049BB133111EB)
 
 
 def _spots(hashes: np.ndarray, part: str, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -156,9 +171,10 @@ def _texts_by_part(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, list
     """Texts of some megabytes at a time, by part."""
     held, size = {}, 0
     for batch in batches:
-        for part, text in zip(batch.column("part").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), strict=True):
-            held.setdefault(part, []).append(text)
-            size += len(text)
+        parts, texts = batch.column("part").to_pylist(), batch.column("text").cast(pa.binary())
+        for part, text in zip(parts, texts, strict=True):
+            held.setdefault(part, []).append(text.as_py())
+            size += len(held[part][-1])
             if size >= BATCH_BYTES:
                 yield held
                 held, size = {}, 0
@@ -187,7 +203,8 @@ def _counts(texts: DataFrame, lengths: list[int], asked: np.ndarray | None = Non
                 for k, phrases, n in count_windows(own, part, lengths, asked, done):
                     if k == 1:
                         yield rows(part, 0, pa.array([""]), np.array([n.sum()]))
-                    yield rows(part, k, phrases, n)
+                    for i in range(0, len(n), BATCH_ROWS):
+                        yield rows(part, k, phrases[i : i + BATCH_ROWS], n[i : i + BATCH_ROWS])
 
     def rows(part: str, k: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
         parts, ks = pa.array([part], pa.string()), pa.array([k], pa.int32())
@@ -235,7 +252,7 @@ def _outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
     return _by_set(phrases.select("part", "k", "phrase", "n"), COUNTS, missing)
 
 
-def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, sample: float = 1 / 8, slack: float = 0.25, text_col: str = "text", part_col: str = "lang") -> DataFrame:
+def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, sample: float = 1 / 8, slack: float = 0.5, text_col: str = "text", part_col: str = "lang") -> DataFrame:
     """part, k, phrase, n: every phrase of 1 to `max_words` words that occurs `min_count` times or more, with its count.
 
     Also one row a part with k = 0: the number of all its words. A phrase is
