@@ -192,7 +192,10 @@ def _unpacked(packed: bytes | None) -> np.ndarray | None:
 
 
 def _counts(texts: DataFrame, lengths: list[int], asked: np.ndarray | None = None, done: np.ndarray | None = None) -> DataFrame:
-    """part, k, phrase, n: how often each window asked for occurs; with single words, k = 0 has their total."""
+    """part, k, phrase, n: how often each window asked for occurs; with single words, k = 0 has their total.
+
+    Part and phrase are shuffled as one string, split at its last tab, which no phrase holds.
+    """
     share = texts.sparkSession.sparkContext.broadcast
     sets = [share(_packed(bits)) for bits in (asked, done)]
 
@@ -202,16 +205,19 @@ def _counts(texts: DataFrame, lengths: list[int], asked: np.ndarray | None = Non
             for part, own in held.items():
                 for k, phrases, n in count_windows(own, part, lengths, asked, done):
                     if k == 1:
-                        yield rows(part, 0, pa.array([""]), np.array([n.sum()]))
+                        yield rows(part, pa.array([""]), np.array([n.sum()]))
                     for i in range(0, len(n), BATCH_ROWS):
-                        yield rows(part, k, phrases[i : i + BATCH_ROWS], n[i : i + BATCH_ROWS])
+                        yield rows(part, phrases[i : i + BATCH_ROWS], n[i : i + BATCH_ROWS])
 
-    def rows(part: str, k: int, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
-        parts, ks = pa.array([part], pa.string()), pa.array([k], pa.int32())
-        same = pa.array(np.zeros(len(n), "i4"))
-        return pa.RecordBatch.from_arrays([parts.take(same), ks.take(same), phrases.cast(pa.string()), pa.array(n, pa.int64())], names=["part", "k", "phrase", "n"])
+    def rows(part: str, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+        keys = pc.binary_join_element_wise(pa.scalar(part), phrases.cast(pa.string()), "\t")
+        return pa.RecordBatch.from_arrays([keys, pa.array(n, pa.int64())], names=["key", "n"])
 
-    return texts.mapInArrow(count, COUNTS).groupBy("part", "k", "phrase").agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(count, "key string, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\t", -1)
+    part = F.left("key", F.length("key") - F.length(phrase) - 1)
+    k = F.when(phrase == "", 0).otherwise(F.size(F.split(phrase, " ")))
+    return counted.select(part.alias("part"), k.alias("k"), phrase.alias("phrase"), "n")
 
 
 def _by_set(phrases: DataFrame, schema: str, each: Callable[[pa.RecordBatch, str, int], pa.RecordBatch | None]) -> DataFrame:
@@ -252,7 +258,7 @@ def _outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
     return _by_set(phrases.select("part", "k", "phrase", "n"), COUNTS, missing)
 
 
-def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, sample: float = 1 / 8, slack: float = 0.5, text_col: str = "text", part_col: str = "lang") -> DataFrame:
+def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, sample: float = 1 / 16, slack: float = 0.8, text_col: str = "text", part_col: str = "lang") -> DataFrame:
     """part, k, phrase, n: every phrase of 1 to `max_words` words that occurs `min_count` times or more, with its count.
 
     Also one row a part with k = 0: the number of all its words. A phrase is
@@ -274,13 +280,13 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
     drawn = kept(texts.sample(sample, seed=0), "sample")
     enough = max(2, int(slack * sample * min_count))
     for k in range(1, max_words):
-        level = kept(_counts(drawn, [k], proposed).where((F.col("n") >= enough) & (F.col("k") > 0)), f"sample-{k}")
+        level = kept(_counts(drawn, [k], proposed).where((F.col("n") >= enough) & (F.col("phrase") != "")), f"sample-{k}")
         if level.isEmpty():
             break
         proposed |= _bit_set(level)
 
     lengths = list(range(1, max_words + 1))
-    frequent = kept(_counts(texts, lengths, proposed).where((F.col("n") >= min_count) | (F.col("k") == 0)), "pass-1")
+    frequent = kept(_counts(texts, lengths, proposed).where((F.col("n") >= min_count) | (F.col("phrase") == "")), "pass-1")
     fresh, counted, step = frequent, proposed, 1
     while True:
         failures = kept(_outside(fresh.where(F.col("k").between(1, max_words - 1)), counted), f"failures-{step}")
