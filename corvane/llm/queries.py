@@ -17,6 +17,7 @@ from corvane.llm.quality import judge_text
 from corvane.llm.sharding import assign_shards
 from corvane.llm.similar import similar_groups
 from corvane.llm.tables import table
+from corvane.llm.top_vectors import top_vectors
 from corvane.session import shared_folder
 
 OP1 = """
@@ -97,6 +98,15 @@ SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed:
   (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r"""
 
 
+# Every query against every row.
+OP12 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM s QUALIFY rank <= 5"""
+
 # All windows of one to five words counted, without any pruning.
 OP13 = r"""
 WITH p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p
@@ -222,11 +232,16 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return steps.select("part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley")
 
 
+def op12_top_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every fiftieth, by exact inner product."""
+    return top_vectors(table(spark, sf_dir, "embeddings"), asks="vec_id % 50 = 0", k=5)
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each language's 2000 strongest phrases of two to five words."""
     ranked = top_phrases(score(frequent_phrases(table(spark, sf_dir, "documents"))))
     return ranked.select(F.col("part").alias("lang"), F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
-QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op5_licences": op5_licences, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality, "op11_filter_audit": op11_filter_audit, "op13_collocations": op13_collocations}
-SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6, "op11_filter_audit": OP11, "op13_collocations": OP13}
+QUERIES = {"op1_warc": op1_warc, "op2_decontamination": op2_decontamination, "op3_main_text": op3_main_text, "op4_pieces": op4_pieces, "op5_licences": op5_licences, "op6_line_templates": op6_line_templates, "op7_shards": op7_shards, "op8_personal_data": op8_personal_data, "op9_similar": op9_similar, "op10_quality": op10_quality, "op11_filter_audit": op11_filter_audit, "op12_top_vectors": op12_top_vectors, "op13_collocations": op13_collocations}
+SQL: dict[str, str] = {"op1_warc": OP1, "op2_decontamination": OP2, "op6_line_templates": OP6, "op11_filter_audit": OP11, "op12_top_vectors": OP12, "op13_collocations": OP13}
