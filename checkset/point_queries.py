@@ -5,41 +5,34 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checkset.standins import POINTS_SQL, point_lines, points
-from corvane.functions import geometry
 from corvane.operators import points as pt
 from corvane.plans.collinear import collinear_job
 
 PAIRS_SQL = f"""WITH {POINTS_SQL},
+places AS (SELECT DISTINCT x, y FROM points),
 pairs AS (
   SELECT a.x AS ax, a.y AS ay, b.x AS bx, b.y AS "by",
          CASE WHEN a.x = b.x THEN 'Infinity'::DOUBLE ELSE CAST(b.y - a.y AS DOUBLE) / (b.x - a.x) + 0.0 END AS slope
-  FROM points a JOIN points b ON a.x <> b.x OR a.y <> b.y)"""
+  FROM places a JOIN places b ON a.x <> b.x OR a.y <> b.y)"""
 
-# Every anchor's set with its points in order, by an ordinary grouping of pairs.
-SETS_SQL = f"""{PAIRS_SQL},
-members AS (
-  SELECT ax, ay, slope, bx AS x, "by" AS y FROM pairs
-  UNION SELECT ax, ay, slope, ax, ay FROM pairs),
-sets AS (
-  SELECT ax, ay, slope, count(*) AS n_points, string_agg(x || ':' || y, ';' ORDER BY x, y) AS points
-  FROM members GROUP BY ALL HAVING count(*) >= 3)"""
+# Slopes as reduced fractions, as doubles do not tell all of these apart.
+GROUPS_SQL = f"""{PAIRS_SQL},
+units AS (SELECT *, (bx - ax) // gcd(bx - ax, "by" - ay) * CASE WHEN bx < ax OR (bx = ax AND "by" < ay) THEN -1 ELSE 1 END AS ux,
+                 ("by" - ay) // gcd(bx - ax, "by" - ay) * CASE WHEN bx < ax OR (bx = ax AND "by" < ay) THEN -1 ELSE 1 END AS uy FROM pairs)"""
 
-# Lines by direction in lowest terms and exact offset: a formula of its own.
-LINES_SQL = f"""WITH {POINTS_SQL},
-steps AS (
-  SELECT a.x AS ax, a.y AS ay, b.x AS bx, b.y AS "by", b.x - a.x AS dx, b.y - a.y AS dy
-  FROM points a JOIN points b ON (a.x < b.x) OR (a.x = b.x AND a.y < b.y)),
-units AS (SELECT *, dx // gcd(dx, dy) AS ux, dy // gcd(dx, dy) AS uy FROM steps),
-keyed AS (SELECT *, ux * ay - uy * ax AS c FROM units)"""
+# Lines by direction in lowest terms and exact offset, their points by an ordinary grouping of pairs.
+LINES_SQL = f"""{GROUPS_SQL},
+members AS (SELECT DISTINCT ux, uy, ux * ay - uy * ax AS c, ax AS x, ay AS y FROM units),
+lines AS (
+  SELECT *, count(*) OVER (PARTITION BY ux, uy, c) AS n_points, row_number() OVER (PARTITION BY ux, uy, c ORDER BY x, y) AS position,
+         CASE WHEN ux = 0 THEN 'Infinity'::DOUBLE ELSE CAST(uy AS DOUBLE) / ux + 0.0 END AS slope,
+         CASE WHEN ux = 0 THEN CAST(x AS DOUBLE) ELSE CAST(c AS DOUBLE) / ux + 0.0 END AS intercept
+  FROM members QUALIFY n_points >= 3)"""
 
 
-def _text(points: str = "points"):
-    pair = F.transform(points, lambda p: F.concat_ws(":", p["x"], p["y"]))
-    return F.array_join(pair, ";")
-
-
-def _anchor_sets(spark, sf_dir):
-    return pt.anchor_sets(pt.anchor_groups(points(spark, sf_dir)))
+def _ends(sets):
+    ends = [F.col(f"{end}.{c}").alias(f"{end}_{c}") for end in ("first", "last") for c in ("x", "y")]
+    return sets.select(*[c for c in sets.columns if c not in ("first", "last", "dx", "dy")], *ends)
 
 
 def p01_parse(spark, sf_dir):
@@ -47,43 +40,45 @@ def p01_parse(spark, sf_dir):
 
 
 def p02_pairs(spark, sf_dir):
-    return pt.ordered_pairs(points(spark, sf_dir)).drop("block")
+    return pt.ordered_pairs(points(spark, sf_dir))
 
 
 def p03_slope(spark, sf_dir):
-    return pt.with_slope(pt.ordered_pairs(points(spark, sf_dir))).drop("block")
+    return pt.with_slope(pt.ordered_pairs(points(spark, sf_dir)))
 
 
 def p04_anchor_groups(spark, sf_dir):
-    groups = pt.anchor_groups(points(spark, sf_dir))
-    return groups.select(
-        "ax", "ay", "slope", F.size("others").cast("bigint").alias("n_others"), _text("others").alias("others")
-    )
+    return _ends(pt.anchor_groups(pt.point_rays(points(spark, sf_dir))))
 
 
 def p05_min3(spark, sf_dir):
-    return _anchor_sets(spark, sf_dir).select("ax", "ay", "slope", "n_points", _text().alias("points"))
+    return _ends(pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2))))
 
 
 def p06_sorted(spark, sf_dir):
-    sets = pt.sort_points(_anchor_sets(spark, sf_dir))
-    return sets.select("ax", "ay", "slope", "n_points", _text().alias("points"))
+    return pt.lines_through_points(points(spark, sf_dir)).drop("line")
 
 
 def p07_distinct_sets(spark, sf_dir):
-    sets = pt.distinct_sets(pt.sort_points(_anchor_sets(spark, sf_dir)))
-    return sets.select(_text().alias("points"))
+    return pt.distinct_lines(pt.lines_through_points(points(spark, sf_dir))).select("x", "y", "slope", "n_points")
 
 
 def p08_collinear(spark, sf_dir):
-    sets = collinear_job(point_lines(spark, sf_dir))
-    return sets.select("slope", "intercept", "n_points", _text().alias("points"))
+    return collinear_job(point_lines(spark, sf_dir)).select("slope", "intercept", "n_points", "x", "y")
 
 
 def p09_line_params(spark, sf_dir):
-    pairs = pt.with_slope(pt.ordered_pairs(points(spark, sf_dir)))
-    x, y, dx, dy = F.col("ax"), F.col("ay"), F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    return pairs.select("ax", "ay", "bx", "by", "slope", geometry.intercept(x, y, dx, dy).alias("intercept"))
+    lines = pt.distinct_lines(pt.lines_through_points(points(spark, sf_dir)))
+    exact = [F.col(f"line.{c}").cast("bigint").alias(c) for c in ("dx", "dy", "offset")]
+    return lines.select("slope", "intercept", *exact)
+
+
+def p10_set_differences(spark, sf_dir):
+    """The sets of all points that change when every third column is left out, and those that come up instead."""
+    some = points(spark, sf_dir)
+    lines = [pt.lines_through_points(df) for df in (some, some.filter("x % 3 <> 0"))]
+    found = pt.set_differences(*lines)
+    return found.select("side", F.concat_ws(" ", "line.dx", "line.dy", "line.offset").alias("line"), "n_points")
 
 
 QUERIES = {
@@ -98,6 +93,7 @@ QUERIES = {
         p07_distinct_sets,
         p08_collinear,
         p09_line_params,
+        p10_set_differences,
     )
 }
 
@@ -105,24 +101,27 @@ SQL = {
     "p01_parse": f"WITH {POINTS_SQL} SELECT x, y FROM points",
     "p02_pairs": f'{PAIRS_SQL} SELECT ax, ay, bx, "by" FROM pairs',
     "p03_slope": f'{PAIRS_SQL} SELECT ax, ay, bx, "by", slope FROM pairs',
-    "p04_anchor_groups": f"""{PAIRS_SQL}
-SELECT ax, ay, slope, count(*) AS n_others, string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS others
-FROM pairs GROUP BY ALL""",
-    "p05_min3": f"""{PAIRS_SQL}
-SELECT ax, ay, slope, count(*) + 1 AS n_points,
-       string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") || ';' || ax || ':' || ay AS points
-FROM pairs GROUP BY ax, ay, slope HAVING count(*) >= 2""",
-    "p06_sorted": f"{SETS_SQL} SELECT ax, ay, slope, n_points, points FROM sets",
-    "p07_distinct_sets": f"{SETS_SQL} SELECT DISTINCT points FROM sets",
-    "p08_collinear": f"""{LINES_SQL},
-members AS (SELECT ux, uy, c, ax AS x, ay AS y FROM keyed UNION SELECT ux, uy, c, bx, "by" FROM keyed)
-SELECT CASE WHEN ux = 0 THEN 'Infinity'::DOUBLE ELSE CAST(uy AS DOUBLE) / ux END AS slope,
-       CASE WHEN ux = 0 THEN CAST(min(x) AS DOUBLE) ELSE CAST(c AS DOUBLE) / ux END AS intercept,
-       count(*) AS n_points, string_agg(x || ':' || y, ';' ORDER BY x, y) AS points
-FROM members GROUP BY ux, uy, c HAVING count(*) >= 3""",
-    "p09_line_params": f"""{PAIRS_SQL}
-SELECT ax, ay, bx, "by", slope,
-       CASE WHEN ax = bx THEN CAST(ax AS DOUBLE)
-            ELSE CAST(ay * (bx - ax) - ax * ("by" - ay) AS DOUBLE) / (bx - ax) + 0.0 END AS intercept
-FROM pairs""",
+    "p04_anchor_groups": f"""{GROUPS_SQL}
+SELECT ax, ay, any_value(slope) AS slope, count(*) AS n_others, first(bx ORDER BY bx, "by") AS first_x, first("by" ORDER BY bx, "by") AS first_y,
+       last(bx ORDER BY bx, "by") AS last_x, last("by" ORDER BY bx, "by") AS last_y
+FROM units GROUP BY ax, ay, ux, uy""",
+    "p05_min3": f"""{GROUPS_SQL},
+with_anchor AS (SELECT ax, ay, ux, uy, slope, bx, "by" FROM units UNION SELECT ax, ay, ux, uy, any_value(slope), ax, ay FROM units GROUP BY ALL)
+SELECT ax, ay, any_value(slope) AS slope, count(*) AS n_points, first(bx ORDER BY bx, "by") AS first_x, first("by" ORDER BY bx, "by") AS first_y,
+       last(bx ORDER BY bx, "by") AS last_x, last("by" ORDER BY bx, "by") AS last_y
+FROM with_anchor GROUP BY ax, ay, ux, uy HAVING count(*) >= 3""",
+    "p06_sorted": f"{LINES_SQL} SELECT slope, intercept, n_points, position, x, y FROM lines",
+    "p07_distinct_sets": f"""{GROUPS_SQL},
+sets AS (SELECT DISTINCT string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS points FROM (
+    SELECT ax, ay, ux, uy, bx, "by" FROM units UNION SELECT ax, ay, ux, uy, ax, ay FROM units) GROUP BY ax, ay, ux, uy HAVING count(*) >= 3),
+cut AS (SELECT [[CAST(c AS BIGINT) for c in string_split(p, ':')] for p in string_split(points, ';')] AS p FROM sets)
+SELECT p[1][1] AS x, p[1][2] AS y, len(p) AS n_points,
+       CASE WHEN p[1][1] = p[2][1] THEN 'Infinity'::DOUBLE ELSE CAST(p[2][2] - p[1][2] AS DOUBLE) / (p[2][1] - p[1][1]) + 0.0 END AS slope
+FROM cut""",
+    "p08_collinear": f"{LINES_SQL} SELECT slope, intercept, n_points, x, y FROM lines",
+    "p09_line_params": f'{LINES_SQL} SELECT DISTINCT slope, intercept, ux AS dx, uy AS dy, c AS "offset" FROM lines',
+    "p10_set_differences": f"""{LINES_SQL},
+held AS (SELECT ux, uy, c, count(*) AS n_all, count(*) FILTER (x % 3 <> 0) AS n_some FROM lines GROUP BY ux, uy, c),
+named AS (SELECT ux || ' ' || uy || ' ' || c AS line, n_all, n_some FROM held WHERE n_all <> n_some)
+SELECT 'a' AS side, line, n_all AS n_points FROM named UNION ALL SELECT 'b', line, n_some FROM named WHERE n_some >= 3""",
 }

@@ -22,8 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("bigint").alias("x"), F.col("s_nationkey").cast("bigint").alias("y")
+    """Every part as a point, some of them far out: past 1e6 along y, past 2**25 along x. Points repeat."""
+    k, size = F.col("p_partkey") % 40, F.col("p_size").cast("bigint")
+    return table(spark, sf_dir, "part").select(
+        F.when(k >= 32, k * 40_000_000).otherwise(k).cast("bigint").alias("x"),
+        F.when(k % 8 == 3, size * 3_000_000).otherwise(size).alias("y"),
     )
 
 
@@ -31,7 +34,10 @@ def point_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return points(spark, sf_dir).select(F.concat_ws(" ", "x", "y").alias("value"))
 
 
-POINTS_SQL = "points AS (SELECT CAST(s_suppkey AS BIGINT) AS x, CAST(s_nationkey AS BIGINT) AS y FROM supplier)"
+POINTS_SQL = """points AS (
+  SELECT CASE WHEN p_partkey % 40 >= 32 THEN p_partkey % 40 * 40000000 ELSE p_partkey % 40 END::BIGINT AS x,
+         CASE WHEN p_partkey % 8 = 3 THEN p_size::BIGINT * 3000000 ELSE p_size END::BIGINT AS y
+  FROM part)"""
 
 # --- messages -------------------------------------------------------------
 

@@ -5,59 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Below this magnitude the slope and the intercept, as correctly rounded
-# quotients of exact integers under 2**52, differ whenever two lines differ.
-EXACT_DOUBLE_BOUND = 1 << 25
-
 # Differences of coordinates below this magnitude cannot overflow a bigint.
 COORDINATE_BOUND = 1 << 62
 
-# A Euclid step count that covers every pair of 63-bit integers.
-EUCLID_STEPS = 92
-
 
 def slope(dx: Column, dy: Column) -> Column:
     """dy/dx as a double, +Infinity for a vertical line; never -0.0."""
     return F.when(dx == 0, F.lit(float("inf"))).otherwise(dy / dx + F.lit(0.0))
 
 
-def intercept(x: Column, y: Column, dx: Column, dy: Column) -> Column:
-    """y where the line meets x = 0; for a vertical line, its x."""
-    return F.when(dx == 0, x.cast("double")).otherwise((y * dx - x * dy) / dx + F.lit(0.0))
-
-
-def gcd(a: Column, b: Column) -> Column:
-    """Greatest common divisor, by folding Euclid's step over a fixed-length array."""
-    start = F.struct(F.abs(a).alias("a"), F.abs(b).alias("b"))
-
-    def step(acc: Column, _: Column) -> Column:
-        done = acc["b"] == 0
-        return F.struct(
-            F.when(done, acc["a"]).otherwise(acc["b"]).alias("a"),
-            F.when(done, acc["b"]).otherwise(acc["a"] % F.nullif(acc["b"], F.lit(0))).alias("b"),
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), F.lit(EUCLID_STEPS)), start, step, lambda acc: acc["a"])
-
-
-def direction(dx: Column, dy: Column) -> Column:
-    """The direction in lowest terms, the same for (dx, dy) and (-dx, -dy).
-
-    Nulls for (0, 0): Spark may look at a pair of equal points before it drops it.
-    """
-    sign = F.when((dx < 0) | ((dx == 0) & (dy < 0)), F.lit(-1)).otherwise(F.lit(1))
-    parts = F.struct((sign * dx).alias("dx"), (sign * dy).alias("dy"), gcd(dx, dy).alias("g"))
-    # A transform over one element, so that the fold in `g` runs once a pair.
-    reduced = F.transform(
-        F.array(parts),
-        lambda p: F.struct(
-            F.call_function("div", p["dx"], F.nullif(p["g"], F.lit(0))).alias("dx"),
-            F.call_function("div", p["dy"], F.nullif(p["g"], F.lit(0))).alias("dy"),
-        ),
-    )
-    return reduced[0]
-
-
 def exact_offset(x: Column, y: Column, unit: Column) -> Column:
     """dx*y - dy*x for a reduced direction: equal for all points of one line, exact at any size."""
 

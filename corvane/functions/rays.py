@@ -1,4 +1,4 @@
-"""The lines seen from one anchor point, as numpy over all other points."""
+"""Directions in which one anchor point sees others, in lowest terms, as numpy arrays."""
 
 from __future__ import annotations
 
@@ -11,34 +11,30 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _runs(same_as_before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and length of each run in a sorted sequence."""
-    starts = np.flatnonzero(~np.concatenate([[False], same_as_before]))
-    return starts, np.diff(np.append(starts, len(same_as_before) + 1))
-
-
-def rays_by_slope(dx: np.ndarray, dy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Slopes shared by two or more of the points at (dx, dy), one of their dx, and how many share each."""
-    vertical = dx == 0
-    slope = np.where(vertical, np.inf, dy / np.where(vertical, 1, dx)) + 0.0
-    ordered = np.sort(slope)
-    starts, sizes = _runs(ordered[1:] == ordered[:-1])
-    shared = ordered[starts[sizes >= 2]]
-    example = np.zeros(len(shared), dtype="i8")
-    if len(shared):
-        place = np.minimum(np.searchsorted(shared, slope), len(shared) - 1)
-        hit = shared[place] == slope
-        example[place[hit]] = dx[hit]
-    return shared, example, sizes[sizes >= 2]
-
-
-def rays_by_direction(dx: np.ndarray, dy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same by exact direction: reduced dx, reduced dy, how many share it."""
-    flip = np.where((dx < 0) | ((dx == 0) & (dy < 0)), -1, 1)
-    divisor = np.gcd(dx, dy) * flip
-    ux, uy = dx // divisor, dy // divisor
-    order = np.lexsort((uy, ux))
-    ux, uy = ux[order], uy[order]
-    starts, sizes = _runs((ux[1:] == ux[:-1]) & (uy[1:] == uy[:-1]))
-    kept = starts[sizes >= 2]
-    return ux[kept], uy[kept], sizes[sizes >= 2]
+def rays(dx: np.ndarray, dy: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ux, uy, t) with (dx, dy) = t (ux, uy), for steps other than (0, 0).
+
+    The direction is reduced and points to larger x (to larger y if vertical),
+    so t falls below 0 for points that come before the anchor in (x, y) order.
+    """
+    t = np.gcd(dx, dy) * np.where((dx < 0) | ((dx == 0) & (dy < 0)), -1, 1)
+    return dx // t, dy // t, t
+
+
+def ray_class(ux: np.ndarray, uy: np.ndarray, classes: int) -> np.ndarray:
+    """A number below `classes` for each direction."""
+    mixed = ux.view("u8") * np.uint64(0x9E3779B97F4A7C15) + uy.view("u8") * np.uint64(0xC2B2AE3D27D4EB4F)
+    mixed ^= mixed >> np.uint64(29)
+    return (mixed * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)) % np.uint64(classes)
+
+
+def shared_rays(ux: np.ndarray, uy: np.ndarray, t: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
+    """Directions of `least` or more steps: ux, uy, number of steps, of those with t < 0, smallest and largest t."""
+    order = np.lexsort((t, uy, ux))
+    ux, uy, t = ux[order], uy[order], t[order]
+    starts = np.flatnonzero(np.concatenate([[True], (ux[1:] != ux[:-1]) | (uy[1:] != uy[:-1])])[: len(t)])
+    ends = np.append(starts[1:], len(t))
+    kept = ends - starts >= least
+    starts, ends = starts[kept], ends[kept]
+    before = np.concatenate([[0], np.cumsum(t < 0)])
+    return ux[starts], uy[starts], ends - starts, before[ends] - before[starts], t[starts], t[ends - 1]

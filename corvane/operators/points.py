@@ -3,63 +3,48 @@
 All pairs must be looked at: that is the nature of the problem. What can be
 chosen is where, and in what form.
 
-* To find lines, anchors are dealt out to tasks, and each is held against all
-  points at once as numpy arrays. The points are broadcast, if a count shows
-  them to be few enough (64 MB); no pair ever becomes a row.
-* Beyond that, and where pairs are what is asked for, points are spread over
-  blocks by hash, and every block meets a stream of all points in one
-  equi-join on the block number. As each anchor sits in one block, the counts
-  per (anchor, slope) are complete inside the block's own task, so no pair is
-  shuffled.
-
-Either way the work is the same for every task however the points lie, a line
-that holds a third of all points included, and what leaves the stage is one
-row per point and line.
+* Where pairs are what is asked for, points are spread over a square grid of
+  blocks: every point goes to one row of blocks as A and to one column as B, so
+  each is copied as often as the grid is wide, and any pair meets in one block.
+* To find lines, no pair becomes a row. Points travel in packed chunks; anchors
+  are dealt out to blocks, and every block sees all chunks go by. It keeps the
+  reduced direction of each step, so the counts per anchor and direction are
+  complete where they are made, and what leaves is one row per anchor and line.
+  The directions held at once are bounded (`RAYS_HELD`): the more points there
+  are, the fewer anchors share a block, and then the directions are dealt out
+  to several classes, each of which sees the chunks go by on its own.
+
+A line is told by its direction in lowest terms and its offset, both exact, at
+any range of coordinates. An anchor knows how many points of its line come before
+it, which gives positions, first points and distinct lines without a sort or a
+comparison of sets. The work is the same for every task however the points
+lie, a line that holds a third of all points included, and no row grows
+with the length of a line.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corvane.functions import geometry
-from corvane.functions.rays import rays_by_direction, rays_by_slope
+from corvane.functions.rays import ray_class, rays, shared_rays
+from corvane.sources.fetch import fetch_one
 
-# Small blocks keep the hash tables of their counts small: 9,000 points took
-# 17 s in blocks of 500,000 pairs, and 153 s in blocks of 10 million.
+# Pairs of one block of the grid.
 PAIRS_PER_BLOCK = 500_000
-ANCHORS_PER_BLOCK = 64
-
-# 64 MB as two arrays of int64.
-BROADCAST_POINTS = 4_000_000
-PAIRS_PER_TASK = 200_000_000
+# Directions that one block holds, 24 bytes each, and blocks to aim at.
+RAYS_HELD = 1 << 20
+LEAST_BLOCKS = 32
 ROWS_PER_BATCH = 50_000
-POINTS_PER_ROW = 1_000_000
 TOKEN = "[^ \\t-\\r\\x1C-\\x1F\\x85\\p{Z}]+"
 
-
-@dataclass(frozen=True)
-class PointStats:
-    """What the pair step must know of its input: the size and the coordinate range."""
-
-    count: int
-    max_abs: int
-
-    @property
-    def blocks(self) -> int:
-        """Blocks of even work, but not so many that copying the points to each outweighs it."""
-        even = math.ceil(self.count * self.count / PAIRS_PER_BLOCK)
-        return max(8, min(even, math.ceil(self.count / ANCHORS_PER_BLOCK)))
-
-    @property
-    def exact_as_double(self) -> bool:
-        return self.max_abs < geometry.EXACT_DOUBLE_BOUND
+RAYS = "x bigint, y bigint, dx bigint, dy bigint, n_others bigint, n_before bigint, low bigint, high bigint"
 
 
 def parse_points(lines: DataFrame) -> DataFrame:
@@ -72,40 +57,27 @@ def parse_points(lines: DataFrame) -> DataFrame:
 
 
 def unique_points(points: DataFrame) -> DataFrame:
-    return points.select("x", "y").distinct()
+    """Each point once; coordinates from 2**62 on are refused, as their differences may overflow."""
+    far = F.greatest(F.abs("x"), F.abs("y")) >= geometry.COORDINATE_BOUND
+    error = F.raise_error(F.concat(F.lit("coordinates must stay below 2**62 in magnitude, found "), "x", F.lit(" "), "y"))
+    return points.select(F.when(far, error.cast("bigint")).otherwise(F.col("x")).alias("x"), "y").distinct()
 
 
-def point_stats(points: DataFrame) -> PointStats:
-    """One aggregate over the points, fetched as one row."""
-    row = points.agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.max(F.greatest(F.abs("x"), F.abs("y"))), F.lit(0)).alias("m"),
-    ).first()
-    if row["m"] >= geometry.COORDINATE_BOUND:
-        raise ValueError(f"coordinates must stay below 2**62 in magnitude, found {row['m']}")
-    return PointStats(row["n"], row["m"])
+def count_points(points: DataFrame) -> int:
+    return fetch_one(points.agg(F.count("*").alias("n")))["n"]
 
 
-def ordered_pairs(points: DataFrame, stats: PointStats | None = None) -> DataFrame:
-    """Every (A, B) with A and B distinct points: `block, ax, ay, bx, by`.
-
-    Rows are partitioned by `block`, a function of A alone.
-    """
+def ordered_pairs(points: DataFrame) -> DataFrame:
+    """Every (A, B) with A and B distinct points: `ax, ay, bx, by`."""
     points = unique_points(points)
-    blocks = (stats or point_stats(points)).blocks
-    anchors = points.select(
-        F.pmod(F.xxhash64("x", "y"), F.lit(blocks)).cast("int").alias("block"),
-        F.col("x").alias("ax"),
-        F.col("y").alias("ay"),
-    ).repartition(blocks, "block")
-    others = points.select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.col("x").alias("bx"),
-        F.col("y").alias("by"),
-    ).repartition(blocks, "block")
+    n = count_points(points)
+    width = max(3, math.ceil(n / math.sqrt(PAIRS_PER_BLOCK)))
+    line = F.pmod(F.xxhash64("x", "y"), F.lit(width)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(width - 1)))
+    anchors = points.select(line.alias("row"), F.col("x").alias("ax"), F.col("y").alias("ay")).select("*", every.alias("column"))
+    others = points.select(line.alias("column"), F.col("x").alias("bx"), F.col("y").alias("by")).select("*", every.alias("row"))
     same = (F.col("ax") == F.col("bx")) & (F.col("ay") == F.col("by"))
-    # The anchors of a block are its few, so they are the side that is hashed.
-    return others.join(anchors.hint("shuffle_hash"), "block").filter(~same).select("block", "ax", "ay", "bx", "by")
+    return others.join(anchors.hint("shuffle_hash"), ["row", "column"]).filter(~same).select("ax", "ay", "bx", "by")
 
 
 def with_slope(pairs: DataFrame) -> DataFrame:
@@ -113,152 +85,169 @@ def with_slope(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("slope", geometry.slope(dx, dy))
 
 
-def _keyed_pairs(points: DataFrame, stats: PointStats) -> tuple[DataFrame, list[str]]:
-    """Pairs with the columns that tell the lines through A apart."""
-    pairs = with_slope(ordered_pairs(points, stats))
-    if stats.exact_as_double:
-        return pairs, ["slope"]
-    dx, dy = F.col("bx") - F.col("ax"), F.col("by") - F.col("ay")
-    return pairs.withColumn("unit", geometry.direction(dx, dy)), ["unit", "slope"]
+def _packed(points: DataFrame) -> DataFrame:
+    """`chunk binary`: the coordinates of some thousand points a row, as they come."""
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xy = np.stack([batch.column(c).to_numpy() for c in ("x", "y")])
+            yield pa.RecordBatch.from_pydict({"chunk": pa.array([xy.astype("<i8").tobytes()], pa.binary())})
 
-def anchor_groups(points: DataFrame) -> DataFrame:
-    """The points B seen from A at one slope: `ax, ay, slope, others`."""
-    pairs, key = _keyed_pairs(points, point_stats(unique_points(points)))
-    groups = pairs.groupBy("block", "ax", "ay", *key).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("bx").alias("x"), F.col("by").alias("y")))).alias("others")
-    )
-    return groups.select("ax", "ay", *key, "others")
+    return points.mapInArrow(pack, "chunk binary")
 
 
-def anchor_sets(groups: DataFrame) -> DataFrame:
-    """Groups with their anchor put in, where that makes three points or more.
+def point_rays(points: DataFrame, least: int = 1) -> DataFrame:
+    """One row for each point and each direction in which it sees `least` or more others.
 
-    `ax, ay, slope, n_points, first, points`: `first` tells whether A is the
-    line's smallest point. All of it follows from the group's own row.
+    `x, y, dx, dy, n_others, n_before, low, high`: (dx, dy) is the reduced direction,
+    n_before counts the others that come before the point in (x, y) order, and
+    the outermost others lie `low` and `high` steps of (dx, dy) away.
     """
-    anchor = F.struct(F.col("ax").alias("x"), F.col("ay").alias("y"))
-    return (
-        groups.filter(F.size("others") >= 2)
-        .withColumn("n_points", (F.size("others") + 1).cast("bigint"))
-        .withColumn("first", anchor < F.col("others")[0])
-        .withColumn("points", F.array_append("others", anchor))
-        .drop("others")
+    points = unique_points(points)
+    n = max(1, count_points(points))
+    anchors_in_block = max(1, min(RAYS_HELD // n, math.ceil(n / LEAST_BLOCKS)))
+    blocks, classes = math.ceil(n / anchors_in_block), math.ceil(n / RAYS_HELD)
+    class_numbers = F.explode(F.sequence(F.lit(0), F.lit(classes - 1))).alias("class")
+    block_numbers = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")
+    block = F.pmod(F.xxhash64("x", "y"), F.lit(blocks)).cast("int").alias("block")
+    nothing = F.lit(None)
+    anchors = points.select("x", "y", block).select("block", class_numbers, "x", "y", nothing.cast("binary").alias("chunk"))
+    chunks = _packed(points).select(block_numbers, "chunk").select(
+        "block", class_numbers, nothing.cast("bigint").alias("x"), nothing.cast("bigint").alias("y"), "chunk"
     )
+    # Within a block and class, its anchors come before the chunks.
+    dealt = anchors.unionByName(chunks).repartition(blocks * classes, "block", "class").sortWithinPartitions("block", "class", F.col("chunk").isNotNull())
+
+    def counted(anchor: tuple[int, int], seen: list[tuple[np.ndarray, ...]]) -> list[np.ndarray]:
+        found = shared_rays(*(np.concatenate(part) for part in zip(*seen)), least)
+        return [np.full(len(found[0]), v, "i8") for v in anchor] + list(found)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, anchors, rows, size = None, {}, [], 0
+
+        def finished() -> None:
+            nonlocal size
+            for anchor, seen in anchors.items():
+                if seen:
+                    rows.append(counted(anchor, seen))
+                    size += len(rows[-1][0])
+            anchors.clear()
+
+        def taken() -> pa.RecordBatch:
+            nonlocal size
+            names = [field.split()[0] for field in RAYS.split(", ")]
+            columns = [pa.array(np.concatenate(column).astype("i8")) for column in zip(*rows)]
+            rows.clear()
+            size = 0
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
+        for batch in batches:
+            for row in batch.to_pylist():
+                if key != (key := (row["block"], row["class"])):
+                    finished()
+                if row["chunk"] is None:
+                    anchors[row["x"], row["y"]] = []
+                    continue
+                px, py = np.frombuffer(row["chunk"], "<i8").reshape(2, -1)
+                for (x, y), seen in anchors.items():
+                    dx, dy = px - x, py - y
+                    other = (dx != 0) | (dy != 0)
+                    ray = rays(dx[other], dy[other])
+                    if classes > 1:
+                        mine = ray_class(ray[0], ray[1], classes) == key[1]
+                        ray = tuple(part[mine] for part in ray)
+                    if len(ray[0]):
+                        seen.append(ray)
+                # A batch of its own for each anchor would cost more than finding its lines.
+                if size >= ROWS_PER_BATCH:
+                    yield taken()
+        finished()
+        if rows:
+            yield taken()
 
-def sort_points(sets: DataFrame) -> DataFrame:
-    return sets.withColumn("points", F.array_sort("points"))
+    return dealt.mapInArrow(search, RAYS)
 
 
-def distinct_sets(sets: DataFrame) -> DataFrame:
-    """Each line once, seen from its smallest point; no comparison of sets is needed."""
-    return sets.filter("first").drop("first")
+def _moved(steps: Column | str) -> tuple[Column, Column]:
+    """The point that many steps of (dx, dy) from (x, y)."""
+    t = F.col(steps) if isinstance(steps, str) else steps
+    return F.col("x") + t * F.col("dx"), F.col("y") + t * F.col("dy")
 
 
-def _lines_by_block_join(points: DataFrame, stats: PointStats) -> DataFrame:
-    """`ax, ay, slope, n_points, dx`: a hash aggregate in generated code, on top of the block join.
+def anchor_groups(rays_seen: DataFrame) -> DataFrame:
+    """The points seen from each anchor at one slope, a row a group: `ax, ay, dx, dy, slope, n_others, first, last`.
 
-    With large coordinates also `unit`, the exact direction. `dx` is the
-    distance along x to some other point of the line.
+    The members of a group are the points of its line but the anchor; `first` and `last` are its outermost.
     """
-    pairs, key = _keyed_pairs(points, stats)
-    return (
-        pairs.groupBy("block", "ax", "ay", *key)
-        .agg((F.count("*") + 1).alias("n_points"), F.min(F.col("bx") - F.col("ax")).alias("dx"))
-        .filter("n_points >= 3")
-        .drop("block")
+    ends = [F.struct(*(c.alias(n) for c, n in zip(_moved(end), ("x", "y")))).alias(name) for end, name in (("low", "first"), ("high", "last"))]
+    return rays_seen.select(
+        F.col("x").alias("ax"), F.col("y").alias("ay"), "dx", "dy", geometry.slope(F.col("dx"), F.col("dy")).alias("slope"), "n_others", *ends
     )
 
 
-def _lines_by_broadcast(points: DataFrame, stats: PointStats) -> DataFrame:
-    """The same columns, each task holding its anchors against the broadcast points."""
-    if stats.count > BROADCAST_POINTS:
-        raise ValueError(f"{stats.count} points are too many to broadcast")
-    spark = points.sparkSession
-    table = points.select("x", "y").toArrow()
-    everything = spark.sparkContext.broadcast(tuple(table[c].to_numpy() for c in ("x", "y")))
-    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(stats.count**2 / PAIRS_PER_TASK))
-    narrow = stats.exact_as_double
-
-    def rows(found: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-        ax, ay, first, second, n = (np.concatenate(column) for column in zip(*found))
-        if narrow:
-            columns, dx = {"slope": first}, second
-        else:
-            steep = np.where(first == 0, np.inf, second / np.where(first == 0, 1, first)) + 0.0
-            unit = pa.StructArray.from_arrays([pa.array(first), pa.array(second)], names=["dx", "dy"])
-            columns, dx = {"unit": unit, "slope": steep}, first
-        return pa.RecordBatch.from_pydict({"ax": ax, "ay": ay, **columns, "n_points": n + 1, "dx": dx})
-
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        all_x, all_y = everything.value
-        found, size = [], 0
-        for batch in batches:
-            for ax, ay in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                dx, dy = all_x - ax, all_y - ay
-                other = (dx != 0) | (dy != 0)
-                first, second, n = (rays_by_slope if narrow else rays_by_direction)(dx[other], dy[other])
-                if len(n):
-                    found.append((np.full(len(n), ax, "i8"), np.full(len(n), ay, "i8"), first, second, n))
-                    size += len(n)
-                # A batch of its own for each anchor would cost more than finding its lines.
-                if size >= ROWS_PER_BATCH:
-                    yield rows(found)
-                    found, size = [], 0
-        if found:
-            yield rows(found)
-
-    unit = "" if narrow else "unit struct<dx: bigint, dy: bigint>, "
-    schema = f"ax bigint, ay bigint, {unit}slope double, n_points bigint, dx bigint"
-    # By an expression: a repartition by x and y themselves would be dropped in
-    # favour of the one that made the points unique, which may be a single task.
-    dealt = points.select("x", "y").repartition(tasks, F.xxhash64("x", "y"))
-    return dealt.mapInArrow(lines, schema)
+def anchor_sets(groups: DataFrame) -> DataFrame:
+    """Groups with their anchor put in, where that makes three points or more: `n_points` for `n_others`."""
+    anchor = F.struct(F.col("ax").alias("x"), F.col("ay").alias("y"))
+    return groups.filter("n_others >= 2").select(
+        "ax", "ay", "dx", "dy", "slope", (F.col("n_others") + 1).alias("n_points"),
+        F.least("first", anchor).alias("first"), F.greatest("last", anchor).alias("last"),
+    )
 
 
-def lines_through_points(points: DataFrame, stats: PointStats | None = None) -> DataFrame:
-    """One row per point and line of three or more points: `slope, intercept, n_points, x, y`.
+def line_points(rays_seen: DataFrame) -> DataFrame:
+    """Every line of three points or more, one row for each of its points in order.
 
-    From 2**25 up in coordinates a `line` column (exact direction and offset)
-    tells the lines apart, as the doubles no longer do.
-    """
-    points = unique_points(points)
-    stats = stats or point_stats(points)
-    find = _lines_by_broadcast if stats.count <= BROADCAST_POINTS else _lines_by_block_join
-    found = find(points, stats)
-    x, y, dx = F.col("ax"), F.col("ay"), F.col("dx")
-    if stats.exact_as_double:
-        # dy = slope * dx is an integer, and the product is off by far less than 1/2.
-        dy = F.when(dx != 0, F.rint(F.col("slope") * dx).cast("bigint"))
-        line = [geometry.intercept(x, y, dx, dy).alias("intercept")]
-    else:
-        offset = geometry.exact_offset(x, y, F.col("unit"))
-        meets = offset.cast("double") / F.nullif(F.col("unit.dx"), F.lit(0)) + F.lit(0.0)
-        line = [
-            F.when(dx == 0, x.cast("double")).otherwise(meets).alias("intercept"),
-            F.struct("unit", offset.alias("offset")).alias("line"),
-        ]
-    return found.select("slope", *line, "n_points", x.alias("x"), y.alias("y"))
-
-
-def collinear_sets(members: DataFrame, width: int = POINTS_PER_ROW) -> DataFrame:
-    """The sets as sorted arrays: `slope, intercept, n_points, part, points`.
-
-    A line of up to `width` points is one row. A longer one is cut into bands
-    of `width` along x (along y if vertical), each with at most `width`
-    points and numbered by `part`, so no task gathers a whole huge line.
+    `line` (exact: dx, dy, offset), `slope, intercept, n_points, position, x, y`; position counts from 1.
     """
-    along = F.when(F.col("slope") == float("inf"), F.col("y")).otherwise(F.col("x"))
-    band = F.floor(along / F.lit(width)).cast("bigint")
-    part = F.when(F.col("n_points") <= width, F.lit(0).cast("bigint")).otherwise(band)
-    key = [c for c in ("slope", "intercept", "line", "n_points") if c in members.columns]
-    return members.groupBy(*key, part.alias("part")).agg(
-        F.array_sort(F.collect_list(F.struct("x", "y"))).alias("points")
+    x, y = F.col("x"), F.col("y")
+    unit = F.struct("dx", "dy")
+    offset = geometry.exact_offset(x, y, unit)
+    meets = offset.cast("double") / F.nullif(F.col("dx"), F.lit(0)) + F.lit(0.0)
+    return rays_seen.filter("n_others >= 2").select(
+        F.struct("dx", "dy", offset.alias("offset")).alias("line"),
+        geometry.slope(F.col("dx"), F.col("dy")).alias("slope"),
+        F.when(F.col("dx") == 0, x.cast("double")).otherwise(meets).alias("intercept"),
+        (F.col("n_others") + 1).alias("n_points"),
+        (F.col("n_before") + 1).alias("position"),
+        "x",
+        "y",
+    )
+
+
+def lines_through_points(points: DataFrame) -> DataFrame:
+    """`line_points` of a table of points."""
+    return line_points(point_rays(points, least=2))
+
+
+def distinct_lines(members: DataFrame) -> DataFrame:
+    """Each line once, with its smallest point: the row of position 1."""
+    return members.filter("position = 1").drop("position")
+
+
+def set_digests(members: DataFrame) -> DataFrame:
+    """`line, n_points, digest`: a number for each set of points that does not depend on their order."""
+    sums = [F.sum(F.xxhash64(F.lit(seed), "x", "y").cast("decimal(38,0)")) for seed in (1, 2)]
+    return members.groupBy("line").agg(F.count("*").alias("n_points"), *(s.alias(f"sum_{i}") for i, s in enumerate(sums))).select(
+        "line", "n_points", F.concat_ws(":", "n_points", "sum_0", "sum_1").alias("digest")
     )
 
 
+def set_differences(a: DataFrame, b: DataFrame) -> DataFrame:
+    """`side, line, n_points` of the sets that only one of two tables of line points holds."""
+    a, b = set_digests(a), set_digests(b)
+    only = lambda left, right, side: left.join(right, "digest", "left_anti").select(F.lit(side).alias("side"), "line", "n_points")
+    return only(a, b, "a").unionByName(only(b, a, "b"))
+
+
 def same_sets(a: DataFrame, b: DataFrame) -> bool:
-    """Whether two tables of `points` arrays hold the same sets, order aside."""
-    a, b = (df.select(F.array_sort("points").alias("points")).distinct() for df in (a, b))
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    """Whether two tables of line points hold the same sets.
+
+    One row a side is compared: the sum of all sets' digests. The sets
+    themselves are not joined.
+    """
+
+    def whole(members: DataFrame) -> tuple:
+        number = F.xxhash64("digest").cast("decimal(38,0)")
+        return tuple(fetch_one(set_digests(members).agg(F.count("*").alias("n"), F.sum(number).alias("digests"))))
+
+    return whole(a) == whole(b)

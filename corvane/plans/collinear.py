@@ -9,8 +9,8 @@ from corvane.sources.lines import read_lines
 
 
 def collinear_job(lines: DataFrame) -> DataFrame:
-    """Every set of three or more collinear points, one row a line."""
-    return points.collinear_sets(points.lines_through_points(points.parse_points(lines)))
+    """Every set of three or more collinear points, one row for each point of a line, with its position."""
+    return points.lines_through_points(points.parse_points(lines))
 
 
 def collinear_file(spark: SparkSession, path: str) -> DataFrame:

@@ -1,15 +1,15 @@
 import itertools
 import math
 import random
+from collections import Counter
 
 import pytest
 from conftest import plan_of
-from pyspark.sql import functions as F
 
 from corvane import schemas
-from corvane.functions import geometry
 from corvane.operators import points as pt
 from corvane.plans.collinear import collinear_file, collinear_job
+from corvane.sources.fetch import fetch
 from corvane.sources.lines import lines_from, rows_to_frame
 
 # Small inputs whose lines are known.
@@ -58,15 +58,36 @@ FORTY = """0 2
 9 4
 """
 
+# An input whose number of lines is known, in its own order.
+EIGHTY_FIVE = [
+    (0, 1), (0, -10), (0, 3), (0, -4), (0, 5), (0, 7), (0, -7), (-10, -1), (-10, 2), (-10, 7), (-10, -7), (1, -3),
+    (-1, 5), (1, -6), (-1, -9), (-2, 1), (-2, -1), (-2, -10), (2, 2), (-2, 5), (2, 5), (2, 6), (2, -6), (-2, 7),
+    (-2, 9), (-2, -9), (2, 9), (-3, 0), (-3, -10), (3, -10), (3, -4), (3, -5), (3, -7), (-3, 8), (3, 8), (3, 9),
+    (4, -10), (4, 4), (-4, 6), (-4, -6), (4, -6), (-5, -1), (5, -1), (5, -10), (-5, 4), (5, -5), (-5, -6), (5, 6),
+    (-5, 7), (-5, -8), (5, -8), (5, -9), (-6, 2), (-6, -2), (6, -3), (6, 4), (-6, -8), (-6, -9), (-7, 1), (-7, -1),
+    (7, -1), (-7, 4), (7, -4), (8, -10), (-8, -2), (-8, -7), (8, -7), (8, 8), (-9, -3), (9, 3), (-9, 9), (0, -8),
+    (0, 9), (3, 5), (-3, 7), (5, 2), (-6, -3), (6, -5), (7, 2), (7, 6), (7, 7), (7, -7), (-7, -8), (-9, 8),
+    (9, -4),
+]
+
 
 def frame(spark, rows):
     return rows_to_frame(spark, rows, schemas.POINTS)
 
 
-def sets_of(df):
-    found = [tuple((p["x"], p["y"]) for p in r["points"]) for r in df.select("points").collect()]
-    assert len(found) == len(set(found))
-    return set(found)
+def sets_of(members):
+    """The sets of a table of line points, whose positions must be their order."""
+    found = {}
+    for r in members.collect():
+        found.setdefault((tuple(r["line"]), r["slope"], r["intercept"], r["n_points"]), []).append((r["position"], r["x"], r["y"]))
+    assert len(found) == len({line for line, *_ in found})
+    sets = set()
+    for (_, _, _, n), rows in found.items():
+        rows = sorted(rows)
+        assert [r[0] for r in rows] == list(range(1, n + 1))
+        sets.add(tuple(r[1:] for r in rows))
+    assert all(list(line) == sorted(line) for line in sets)
+    return sets
 
 
 def brute_force(rows):
@@ -80,16 +101,16 @@ def brute_force(rows):
     return lines
 
 
-@pytest.fixture(params=["broadcast", "block join"], autouse=True)
-def way(request, monkeypatch):
-    """Every test runs both ways of finding lines."""
-    if request.param == "block join":
-        monkeypatch.setattr(pt, "BROADCAST_POINTS", -1)
+@pytest.fixture(params=["together", "dealt out"], autouse=True)
+def held(request, monkeypatch):
+    """Every test runs with all directions of a block at once, and with blocks of one anchor and several classes."""
+    if request.param == "dealt out":
+        monkeypatch.setattr(pt, "RAYS_HELD", 30)
     return request.param
 
 
 def job(spark, rows):
-    return pt.collinear_sets(pt.lines_through_points(frame(spark, rows)))
+    return pt.lines_through_points(frame(spark, rows))
 
 
 def test_parse_reads_integers_and_any_spacing(spark):
@@ -138,6 +159,12 @@ def test_forty_points_from_a_file(spark, tmp_path):
     assert found == brute_force([tuple(map(int, p.split())) for p in FORTY.splitlines()])
 
 
+def test_eighty_five_points(spark):
+    found = sets_of(job(spark, EIGHTY_FIVE))
+    assert len(EIGHTY_FIVE) == 85 and len(found) == 252
+    assert found == brute_force(EIGHTY_FIVE)
+
+
 def test_duplicates_do_not_make_a_line(spark):
     assert sets_of(collinear_job(lines_from(spark, ["0 0", "0 0", "1 5", "1 5"]))) == set()
     assert sets_of(job(spark, NINE + NINE)) == brute_force(NINE)
@@ -153,14 +180,25 @@ def random_points(seed, n, low, high):
     return [(rng.randint(low, high), rng.randint(low, high)) for _ in range(n)]
 
 
-def test_random_points_match_brute_force_on_both_paths(spark):
+def test_random_points_match_brute_force(spark):
     rows = random_points(5, 70, -6, 6)
     expected = brute_force(rows)
     assert sets_of(job(spark, rows)) == expected
-    by_anchor = pt.anchor_sets(pt.anchor_groups(frame(spark, rows)))
-    assert sets_of(pt.distinct_sets(pt.sort_points(by_anchor))) == expected
-    # Seen from every anchor, a line of k points comes k times.
-    assert by_anchor.count() == sum(map(len, expected))
+    by_anchor = pt.anchor_sets(pt.anchor_groups(pt.point_rays(frame(spark, rows))))
+    # Seen from every anchor, a line of k points comes k times, each time with the same ends.
+    ends = Counter((r["n_points"], tuple(r["first"]), tuple(r["last"])) for r in by_anchor.collect())
+    assert ends == Counter((len(line), line[0], line[-1]) for line in expected for _ in line)
+    assert pt.distinct_lines(job(spark, rows)).count() == len(expected)
+
+
+def test_groups_hold_what_an_anchor_sees(spark):
+    rows = random_points(4, 30, -3, 3)
+    got = {(r["ax"], r["ay"], r["dx"], r["dy"]): (r["n_others"], tuple(r["first"]), tuple(r["last"])) for r in pt.anchor_groups(pt.point_rays(frame(spark, rows))).collect()}
+    seen = {}
+    for (ax, ay), (bx, by) in itertools.permutations(sorted(set(rows)), 2):
+        g = math.gcd(bx - ax, by - ay) * (-1 if (bx, by) < (ax, ay) else 1)
+        seen.setdefault((ax, ay, (bx - ax) // g, (by - ay) // g), []).append((bx, by))
+    assert got == {key: (len(others), min(others), max(others)) for key, others in seen.items()}
 
 
 def test_sets_follow_an_affine_map(spark):
@@ -185,66 +223,49 @@ def test_large_coordinates_are_told_apart_exactly(spark):
     assert sets_of(job(spark, near)) == brute_force(near)
     grid = [(x * base + 7, y * base - 3) for x, y in random_points(8, 40, 0, 6)]
     assert sets_of(job(spark, grid)) == brute_force(grid)
-    by_anchor = pt.anchor_sets(pt.anchor_groups(frame(spark, grid)))
-    assert sets_of(pt.distinct_sets(pt.sort_points(by_anchor))) == brute_force(grid)
-
-
-def test_slope_and_intercept_agree_between_the_two_number_ranges(spark):
-    points = frame(spark, random_points(9, 40, -6, 6))
-    stats = pt.point_stats(pt.unique_points(points))
-    wide = pt.PointStats(stats.count, geometry.EXACT_DOUBLE_BOUND)
-    columns = ("slope", "intercept", "n_points", "x", "y")
-    narrow_rows = {tuple(r) for r in pt.lines_through_points(points, stats).select(*columns).collect()}
-    wide_rows = {tuple(r) for r in pt.lines_through_points(points, wide).select(*columns).collect()}
-    assert narrow_rows == wide_rows
 
 
 def test_coordinates_out_of_range_are_refused(spark):
-    with pytest.raises(ValueError):
-        job(spark, [(1 << 62, 0), (0, 0), (1, 1)])
-
-
-def test_long_lines_are_cut_into_rows_of_bounded_size(spark):
-    rows = [(i, 3) for i in range(-25, 25)] + [(4, i) for i in range(-9, 30)]
-    members = pt.lines_through_points(frame(spark, rows))
-    parts = pt.collinear_sets(members, width=10).collect()
-    assert max(len(r["points"]) for r in parts) <= 10
-    joined = {}
-    for r in sorted(parts, key=lambda r: r["part"]):
-        joined.setdefault((r["slope"], r["intercept"]), []).extend((p["x"], p["y"]) for p in r["points"])
-    assert {tuple(line) for line in joined.values()} == brute_force(rows)
+    with pytest.raises(Exception, match="below 2"):
+        job(spark, [(1 << 62, 0), (0, 0), (1, 1)]).collect()
 
 
 def test_points_far_apart_stay_in_one_set(spark):
     rows = [(0, 0), (3_000_000, 3_000_000), (6_000_000, 6_000_000)]
-    sets = pt.distinct_sets(pt.sort_points(pt.anchor_sets(pt.anchor_groups(frame(spark, rows)))))
-    assert sets_of(sets) == brute_force(rows) == {tuple(rows)}
+    assert sets_of(job(spark, rows)) == brute_force(rows) == {tuple(rows)}
 
 
-def test_pairs_are_made_once_for_the_sets(spark):
-    plan = plan_of(pt.distinct_sets(pt.sort_points(pt.anchor_sets(pt.anchor_groups(frame(spark, NINE))))))
-    assert plan.count("HashedJoin") + plan.count("ShuffledHashJoin") == 1
+def test_the_same_columns_at_any_range(spark):
+    assert job(spark, NINE).schema == job(spark, [(1 << 61, 0), (0, 0), (-(1 << 61), 0)]).schema
+    assert sets_of(job(spark, [(1 << 61, 0), (0, 0), (-(1 << 61), 0)])) == {((-(1 << 61), 0), (0, 0), (1 << 61, 0))}
 
 
 def test_same_sets(spark):
-    a, b = job(spark, NINE), job(spark, list(reversed(NINE)))
-    assert pt.same_sets(a, b)
-    assert not pt.same_sets(a, job(spark, EIGHT))
-
-
-def test_pairs_are_aggregated_where_they_are_made(spark, way):
-    plan = plan_of(pt.lines_through_points(frame(spark, NINE)))
-    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan and "SortAggregate" not in plan
-    if way == "broadcast":
-        assert "Join" not in plan and plan.index("MapInArrow") < plan.index("Exchange")
-    else:
-        above_join = plan[: plan.index("ShuffledHashJoin")]
-        assert "HashAggregate" in above_join and "Exchange" not in above_join
-
-
-def test_too_many_points_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(pt, "BROADCAST_POINTS", 5)
-    points = pt.unique_points(frame(spark, NINE))
-    with pytest.raises(ValueError, match="too many to broadcast"):
-        pt._lines_by_broadcast(points, pt.point_stats(points))
-    assert "ShuffledHashJoin" in plan_of(pt.lines_through_points(points))
+    a, b = job(spark, NINE), job(spark, list(reversed(NINE)) + NINE[:3])
+    assert pt.same_sets(a, b) and pt.set_differences(a, b).isEmpty()
+    c = job(spark, [p for p in NINE if p != (-2, -2)])
+    assert not pt.same_sets(a, c)
+    # The line through (-2, -2) is shorter without it; the others are the same.
+    assert sorted((r["side"], r["n_points"]) for r in pt.set_differences(a, c).collect()) == [("a", 4), ("b", 3)]
+
+
+def test_lines_come_without_a_join_or_a_row_for_a_pair(spark):
+    plan = plan_of(job(spark, NINE))
+    assert "Join" not in plan and "CartesianProduct" not in plan
+    assert plan.count("MapInArrow") == 2
+
+
+def test_pairs_meet_on_a_grid(spark, monkeypatch):
+    monkeypatch.setattr(pt, "PAIRS_PER_BLOCK", 4)
+    rows = random_points(3, 25, 0, 9)
+    pairs = pt.ordered_pairs(frame(spark, rows))
+    assert sorted(tuple(r) for r in pairs.collect()) == sorted((*a, *b) for a, b in itertools.permutations(set(rows), 2))
+    assert "CartesianProduct" not in plan_of(pairs) and "NestedLoopJoin" not in plan_of(pairs)
+
+
+@pytest.mark.parametrize("rows", [[0, 1, 2], [5], []])
+def test_fetch_keeps_to_its_bound(spark, rows):
+    df = spark.createDataFrame([(i,) for i in rows], "i long")
+    assert sorted(r.i for r in fetch(df, len(rows))) == rows
+    with pytest.raises(ValueError, match="stated"):
+        fetch(df.unionByName(spark.createDataFrame([(9,)], "i long")), len(rows))
