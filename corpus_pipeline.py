@@ -12,7 +12,7 @@ empty table passes through all stages.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corvane.llm import pieces
@@ -26,33 +26,45 @@ from corvane.session import shared_folder
 MIN_WORDS = 10
 
 
-def _with_text(docs: DataFrame, text: Column, columns: list[str]) -> DataFrame:
-    """The named columns, with another text and its length."""
-    new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return docs.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in columns))
+def _packed(docs: DataFrame) -> DataFrame:
+    """doc_id, text, others: the other columns in one struct, where no name of theirs clashes with an operator's."""
+    others = [F.col(f"`{c}`").alias(c) for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(F.lit(None).cast("int").alias("none"), *others).alias("others"))
+
+
+def _unpacked(packed: DataFrame, columns: list[str], text_changed: bool = False) -> DataFrame:
+    """The named columns again; where the text has another one, `n_chars` is its length."""
+    own = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    if text_changed:
+        own["n_chars"] = F.length("text").cast("long")
+    return packed.select(*(own.get(c, F.col("others").getField(c)).alias(c) for c in columns))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the quality rules keep, without their failing lines."""
-    judged = docs.withColumn("__quality", judge_text(F.col("text"))).where("__quality.kept")
-    return _with_text(judged, F.col("__quality.text"), docs.columns)
+    """The documents that the quality rules keep, without their failing lines.
+
+    `inline` has each text judged once; a filter on the verdict as a column would judge it again.
+    """
+    row = _packed(docs).select(F.struct("doc_id", "others").alias("row"), F.inline(F.array(judge_text(F.col("text")))))
+    kept = row.where("kept").select("row.doc_id", "text", "row.others")
+    return _unpacked(kept, docs.columns, text_changed=True)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without lines that recur in ten others; those of which fewer than ten words are left go."""
-    kept = drop_recurring_lines(docs, keep_lines="__lost")
+    kept = drop_recurring_lines(_packed(docs), keep_lines="lost")
     enough = F.size(line_words(F.col("text"))) >= MIN_WORDS
-    return _with_text(kept.where((F.size("__lost") == 0) | enough), F.col("text"), docs.columns)
+    return _unpacked(kept.where((F.size("lost") == 0) | enough), docs.columns, text_changed=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that similarities of 0.8 on five words link."""
-    return one_of_each(docs, n=5, percent=80)
+    return _unpacked(one_of_each(_packed(docs), n=5, percent=80), docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which no ten words in a row come from a benchmark item."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"), n=10)
+    return _unpacked(decontaminate(_packed(docs), table(spark, sf_dir, "benchmark"), n=10), docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
