@@ -4,6 +4,7 @@ import re
 import pytest
 
 import corpus_pipeline
+from conftest import plan_of
 from corvane.llm.quality import Limits, judge
 from tests.llm.test_contamination import brute as brute_hits
 from tests.llm.test_line_templates import brute as brute_lines
@@ -69,6 +70,25 @@ def test_columns(spark, tmp_path):
     assert all(r.n_chars == len(r.text) for r in first)
 
 
+def test_columns_of_any_name_pass_through(spark, tmp_path):
+    rows, items = corpus()
+    write(spark, tmp_path, rows, items)
+    names = ["doc_key", "__doc", "__lost", "lost", "__quality", "__again", "__own_key", "others", "kept", "template", "a.b"]
+    docs = spark.createDataFrame([(i, t, *[f"{c} {i}" for c in names]) for i, t in rows], ["doc_id", "text", *names])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert len(found) > 30 and all(r[c] == f"{c} {r.doc_id}" for r in found for c in names)
+
+
+def test_each_text_is_judged_once(spark, tmp_path):
+    rows, items = corpus()
+    write(spark, tmp_path, rows, items)
+    plan = plan_of(corpus_pipeline.quality_rules(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path)))
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_empty_table(spark, tmp_path):
     write(spark, tmp_path, [], [])
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
