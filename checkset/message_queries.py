@@ -18,11 +18,13 @@ from checkset.standins import (
 from corvane.functions import tokens as tk
 from corvane.operators import mentions as mn
 from corvane.operators import messages as ms
+from corvane.operators.ordering import with_position
 from checkset.spread import spread
 from corvane.plans.message_report import message_report
 from corvane.session import shared_folder
 from corvane.sources import lines as ln
-from corvane.sources.results import ResultStore
+from corvane.sources.fetch import fetch
+from corvane.sources.results import ResultStore, reused
 from corvane.sources.tables import read_user_groups
 
 MIN_USERS = 20
@@ -62,12 +64,11 @@ def _pairs(spark, sf_dir):
     return mn.user_tokens(messages(spark, sf_dir))
 
 
-def _grouped_pairs(spark, sf_dir):
-    return mn.user_tokens(ms.with_group(messages(spark, sf_dir), user_groups(spark, sf_dir)))
-
-
-def _token_table(spark, sf_dir):
-    return mn.token_table(_grouped_pairs(spark, sf_dir))
+def _frequent_mentions(spark, sf_dir):
+    """Mentions of frequent tokens by group, from stored pairs: texts are tokenised once."""
+    pairs = _stored(spark, _pairs(spark, sf_dir), "pairs")
+    frequent = mn.frequent_pairs(pairs, mn.frequent(mn.mentions(pairs), MIN_USERS))
+    return mn.group_mentions(frequent, user_groups(spark, sf_dir))
 
 
 def _stored(spark, df, label):
@@ -97,6 +98,27 @@ def s09_results_roundtrip(spark, sf_dir):
     return store.read("counts_per_part")
 
 
+def s07_reuse(spark, sf_dir):
+    """Three results of lines that are parsed once, kept meanwhile and given up."""
+    store = ResultStore(spark, shared_folder(spark, "reuse"))
+    with reused(ms.ingest(message_lines(spark, sf_dir))) as ingested:
+        counts = {
+            "lines": ingested,
+            "messages": ingested.filter(F.col("status") == ms.VALID),
+            "users": ingested.filter(F.col("status") == ms.VALID).select("user_id").distinct(),
+        }
+        stored = [store.write(name, df.agg(F.lit(name).alias("result"), F.count("*").alias("n"))) for name, df in counts.items()]
+    return stored[0].unionByName(stored[1]).unionByName(stored[2])
+
+
+def s08_bounded_fetch(spark, sf_dir):
+    """The groups, fetched under the bound that their number states, as a lookup that the posts are named by."""
+    groups = fetch(user_groups(spark, sf_dir).select("group_id").distinct(), len(ms.GROUPS))
+    names = F.create_map(*[part for r in groups for part in (F.lit(r["group_id"]), F.lit(f"group {r['group_id']}"))])
+    posts = ms.posts_per_group(messages(spark, sf_dir), user_groups(spark, sf_dir))
+    return posts.select(F.coalesce(F.try_element_at(names, F.col("group_id")), F.lit("no group")).alias("name"), "n_posts")
+
+
 def t01_ingest(spark, sf_dir):
     ingested = ms.ingest(message_lines(spark, sf_dir))
     shown = [F.coalesce(c, F.lit("")).alias(c) for c in ("user_id", "text")]
@@ -124,7 +146,8 @@ def t05_user_group(spark, sf_dir):
 
 
 def t06_posts_per_group(spark, sf_dir):
-    return ms.posts_per_group(messages(spark, sf_dir), user_groups(spark, sf_dir))
+    posts = ms.posts_per_group(messages(spark, sf_dir), user_groups(spark, sf_dir))
+    return with_position(posts, ["group_id"], ResultStore(spark, shared_folder(spark, "ordered")), "posts")
 
 
 def t07_entities(spark, sf_dir):
@@ -132,6 +155,20 @@ def t07_entities(spark, sf_dir):
     return pages.select("page_id", tk.normalise_entities(F.col("html")).alias("html"))
 
 
+def t07_decoded(spark, sf_dir):
+    """Entities turned into characters; some names are spelled as numbers first, so that both kinds occur."""
+    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    html = F.replace(F.replace("html", F.lit("&quot;"), F.lit("&#34;")), F.lit("&middot;"), F.lit("&#183;&#xyz;&nosuch;"))
+    return pages.select("page_id", tk.normalise_entities(html, decode=True).alias("html"))
+
+
+def t09_emoticons(spark, sf_dir):
+    """All tokens but emoticons folded; some full stops become emoticons first."""
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    text = F.replace("text", F.lit(". "), F.lit(" :D XD 8-P http://A.b/C "))
+    return mn.message_tokens(docs.select("doc_id", text.alias("text")), keep_case="emoticon").select("doc_id", F.array_join("tokens", JOIN).alias("tokens"))
+
+
 def t08_tokens(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     raw = docs.select("doc_id", tk.raw_tokens(F.col("text")).alias("t"))
@@ -170,16 +207,16 @@ def t15_frequent_user_tokens(spark, sf_dir):
 
 
 def t16_group_mentions(spark, sf_dir):
-    return mn.group_mentions(_grouped_pairs(spark, sf_dir))
+    return mn.group_mentions(_pairs(spark, sf_dir), user_groups(spark, sf_dir))
 
 
 def t17_popularity(spark, sf_dir):
-    popular = mn.popularity(mn.frequent(_token_table(spark, sf_dir), MIN_USERS))
+    popular = mn.popularity(_frequent_mentions(spark, sf_dir))
     return popular.withColumn("rel_popularity", F.round("rel_popularity", 6))
 
 
 def t18_top10_per_group(spark, sf_dir):
-    popular = mn.popularity(mn.frequent(_token_table(spark, sf_dir), MIN_USERS))
+    popular = mn.popularity(_frequent_mentions(spark, sf_dir))
     top = mn.top_per_group(popular)
     return top.withColumn("rel_popularity", F.round("rel_popularity", 6)).withColumn(
         "rank", F.col("rank").cast("bigint")
@@ -217,6 +254,8 @@ QUERIES = {
         s01_text_scan,
         s03_user_groups,
         s06_line_count,
+        s07_reuse,
+        s08_bounded_fetch,
         s09_results_roundtrip,
         t01_ingest,
         t02_valid,
@@ -225,8 +264,10 @@ QUERIES = {
         t05_user_group,
         t06_posts_per_group,
         t07_entities,
+        t07_decoded,
         t08_tokens,
         t09_fold,
+        t09_emoticons,
         t10_user_tokens,
         t11_mentions,
         t12_n_tokens,
@@ -252,6 +293,11 @@ SQL = {
     "s03_user_groups": f"WITH {GROUPS_SQL} SELECT user_id, group_id FROM user_groups",
     "s06_line_count": "SELECT count(*) AS n FROM documents",
     "s09_results_roundtrip": f"WITH {MESSAGES_SQL}, {GROUPS_SQL} {POSTS_SQL}",
+    "s07_reuse": f"""WITH {VALID_MESSAGES_SQL}
+SELECT 'lines' AS result, count(*) AS n FROM documents UNION ALL SELECT 'messages', count(*) FROM messages
+UNION ALL SELECT 'users', count(DISTINCT user_id) FROM messages""",
+    "s08_bounded_fetch": f"""WITH {MESSAGES_SQL}, {GROUPS_SQL}
+SELECT CASE WHEN group_id = 7 THEN 'no group' ELSE 'group ' || group_id END AS name, n_posts FROM ({POSTS_SQL})""",
     "t01_ingest": f"""
 SELECT {STATUS_SQL} AS status,
        CASE WHEN source IN ('src0', 'src1', 'src3', 'src4') THEN '' ELSE CAST(doc_id // 7 AS VARCHAR) END AS user_id,
@@ -263,8 +309,16 @@ FROM documents""",
     "t05_user_group": f"""WITH {GROUPS_SQL}
 SELECT doc_id, CAST(doc_id // 7 AS VARCHAR) AS user_id, coalesce(group_id, 7) AS group_id
 FROM documents LEFT JOIN user_groups ON user_id = CAST(doc_id // 7 AS VARCHAR)""",
-    "t06_posts_per_group": f"WITH {MESSAGES_SQL}, {GROUPS_SQL} {POSTS_SQL}",
+    "t06_posts_per_group": f"WITH {MESSAGES_SQL}, {GROUPS_SQL} SELECT *, row_number() OVER (ORDER BY group_id) AS position FROM ({POSTS_SQL})",
     "t07_entities": f"SELECT page_id, {_normalised('html')} AS html FROM pages",
+    "t07_decoded": r"""
+WITH spelled AS (SELECT page_id, replace(replace(html, '&quot;', '&#34;'), '&middot;', '&#183;&#xyz;&nosuch;') AS h FROM pages),
+chars AS (SELECT page_id, h, replace(replace(replace(h, '&#34;', '"'), '&#183;', '·'), '&copy;', '©') AS d FROM spelled)
+SELECT page_id, CASE WHEN regexp_matches(replace(h, '&amp;', ' '), '&[a-zA-Z0-9]+;') THEN replace(d, '&amp;', ' and ') ELSE d END AS html FROM chars""",
+    "t09_emoticons": rf"""
+WITH raw AS (SELECT doc_id, regexp_extract_all({_normalised("replace(text, '. ', ' :D XD 8-P http://A.b/C ')")}, {_quoted(tk.PLAIN_TOKEN)}) AS t FROM documents)
+SELECT doc_id, array_to_string(list_transform(t, lambda x: CASE WHEN regexp_matches(x,
+    '[<>]?[:;=8][-oO*'']?[)\]([dDpP/:}}{{@|\\]|[)\]([dDpP/:}}{{@|\\][-oO*'']?[:;=8][<>]?') THEN x ELSE lower(x) END), '{JOIN}') AS tokens FROM raw""",
     "t08_tokens": f"""
 WITH raw AS (SELECT doc_id, regexp_extract_all({_normalised('text')}, {_quoted(tk.PLAIN_TOKEN)}) AS t FROM documents)
 SELECT doc_id, len(t) AS n_tokens, array_to_string(t, '{JOIN}') AS tokens FROM raw""",

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from corvane.functions.vectors import Basis
 from checkset.spread import spread
 
-DAYS = 30
+# Days of a month; a month without a 31st has no value there.
+DAYS = 31
 MISSING = -9999
 
 
@@ -150,9 +151,9 @@ weather AS (
   FROM day_values JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey),
 means AS (SELECT day, avg(v) AS mean FROM day_values GROUP BY day),
 basis AS (
-  SELECT CAST(d AS INTEGER) AS day, mean, sqrt(2.0 / {DAYS}) * cos(2 * pi() * d / {DAYS}) AS v1,
+  SELECT CAST(d AS INTEGER) AS day, coalesce(mean, 0) AS mean, sqrt(2.0 / {DAYS}) * cos(2 * pi() * d / {DAYS}) AS v1,
          sqrt(2.0 / {DAYS}) * sin(2 * pi() * d / {DAYS}) AS v2
-  FROM range(1, {DAYS + 1}) AS t(d) JOIN means ON means.day = d),
+  FROM range(1, {DAYS + 1}) AS t(d) LEFT JOIN means ON means.day = d),
 grid AS (
   SELECT w.*, b.day, d.v, b.mean, b.v1, b.v2, coalesce(d.v - b.mean, 0) AS c
   FROM weather w CROSS JOIN basis b

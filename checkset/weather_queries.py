@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
 from pyspark.sql import Window
+from pyspark.sql import functions as F
 
-from checkset.standins import MISSING, WEATHER_SQL, table, wave_basis, weather
+from checkset.standins import DAYS, MISSING, WEATHER_SQL, table, wave_basis, weather
 from corvane import schemas
 from corvane.functions.vectors import decode_values
 from corvane.operators import decomposition as dc
 from corvane.operators import profiles as pf
 from corvane.operators import stations as st
+from corvane.operators.ordering import with_position
+from corvane.plans.weather_report import weather_report
 from corvane.session import shared_folder
+from corvane.sources.fetch import fetch
 from corvane.sources.results import ResultStore
-from corvane.sources.tables import top_basis, weather_of
+from corvane.sources.tables import load_basis, save_basis, top_basis, weather_of
 
 COUNTRY, MEASUREMENT = "NATION_3", "click"
 
@@ -72,13 +77,27 @@ def _axis_basis(spark, sf_dir):
     return table_.select(schemas.EIGENBASIS.fieldNames())
 
 
+def s04_basis_store(spark, sf_dir):
+    """One basis a measurement, stored and loaded again by measurement and component."""
+    rows = _stored(spark, weather(spark, sf_dir), "weather")
+    # One row an event type, of which there are five.
+    kinds = [r["measurement"] for r in fetch(rows.select("measurement").distinct(), 100)]
+    bases = {kind: _basis(rows.filter(F.col("measurement") == kind)) for kind in kinds}
+    stored = save_basis(spark, bases, shared_folder(spark, "basis"))
+    loaded = {kind: load_basis(stored, kind, 2) for kind in kinds}
+    again = save_basis(spark, loaded, shared_folder(spark, "basis"))
+    top = again.filter("component <= 2").select("measurement", "component", F.posexplode("vector").alias("pos", "value"))
+    return _rounded(top.select("measurement", "component", (F.col("pos") + 1).alias("day"), "value"), ["value"], 6)
+
+
 def s05_sql_weather_filter(spark, sf_dir):
-    weather(spark, sf_dir).createOrReplaceTempView("weather")
-    return weather_of(spark, COUNTRY, MEASUREMENT).select("Station", "country", "measurement", "latitude", "longitude")
+    weather(spark, sf_dir).createOrReplaceTempView("corvane_s05_weather")
+    return weather_of(spark, COUNTRY, MEASUREMENT, "corvane_s05_weather").select("Station", "country", "measurement", "latitude", "longitude")
 
 
 def w01_filter(spark, sf_dir):
-    rows = weather(spark, sf_dir).filter((F.col("country") == COUNTRY) & (F.col("measurement") == MEASUREMENT))
+    weather(spark, sf_dir).createOrReplaceTempView("corvane_w01_weather")
+    rows = weather_of(spark, COUNTRY, MEASUREMENT, "corvane_w01_weather")
     return rows.groupBy("country", "measurement").agg(F.count("*").alias("n"))
 
 
@@ -119,9 +138,10 @@ def w06_reconstruct(spark, sf_dir):
 def w07_residual_filter(spark, sf_dir):
     columns = ("Station", "measurement", "coeff_1", "coeff_2", "res_1", "res_2")
     decomposed = _stored(spark, _decomposed(spark, sf_dir)[0].select(*columns), "decomposed")
-    first = dc.well_described(decomposed, 1, below=0.9).withColumn("by", F.lit(1))
-    second = dc.well_described(decomposed, 2, below=0.8, above_previous=0.85).withColumn("by", F.lit(2))
-    rows = first.unionByName(second).select("by", "Station", "measurement", "coeff_1", "coeff_2")
+    store = ResultStore(spark, shared_folder(spark, "ordered"))
+    kept = {1: dc.well_described(decomposed, 1, below=0.9), 2: dc.well_described(decomposed, 2, below=0.8, above_previous=0.85)}
+    ordered = [with_position(rows, [f"coeff_{i}", "Station", "measurement"], store, f"by-{i}").withColumn("by", F.lit(i)) for i, rows in kept.items()]
+    rows = ordered[0].unionByName(ordered[1]).select("by", "position", "Station", "measurement", "coeff_1", "coeff_2")
     return _rounded(rows, ["coeff_1", "coeff_2"], 4)
 
 
@@ -144,7 +164,8 @@ def w10_station_counts(spark, sf_dir):
 
 
 def w11_stations(spark, sf_dir):
-    rows = st.stations(_decomposed(spark, sf_dir)[0]).withColumnRenamed("count", "n")
+    store = ResultStore(spark, shared_folder(spark, "ordered"))
+    rows = with_position(st.stations(_decomposed(spark, sf_dir)[0]), ["Station"], store, "stations").withColumnRenamed("count", "n")
     return _rounded(rows, ["coeff_1", "coeff_2", "Longitude", "Latitude"], 4)
 
 
@@ -188,10 +209,67 @@ def w19_fit_moments(spark, sf_dir):
     rows = _stored(spark, weather(spark, sf_dir), "weather")
     means = dc.day_means(rows, _values())
     spread = dc.covariance(rows, _values(), dc.fetch_means(means))
-    joined = spread.join(means.select(F.col("day").alias("i"), "mean"), "i")
+    joined = spread.drop("n").join(means.select(F.col("day").alias("i"), "mean"), "i")
     return joined.select("i", "j", F.round("mean", 6).alias("mean"), F.round("cov", 3).alias("cov"))
 
 
+def w19_fit_pairwise(spark, sf_dir):
+    """Covariances over the rows that have both days."""
+    rows = _stored(spark, weather(spark, sf_dir), "weather")
+    spread = dc.covariance(rows, _values(), dc.fetch_means(dc.day_means(rows, _values())), pairwise=True)
+    return spread.select("i", "j", "n", F.round("cov", 3).alias("cov"))
+
+
+def w19_fit_basis(spark, sf_dir):
+    """What a fitted and stored basis must fulfil, as figures: eigenvectors, orthonormality, eigenvalues and what they explain."""
+    rows = _stored(spark, weather(spark, sf_dir), "weather")
+    basis = dc.fit_basis(rows, _values())
+    stored = save_basis(spark, {"all": basis}, shared_folder(spark, "basis"))
+    loaded = load_basis(stored, "all", DAYS)
+    cov = _stored(spark, dc.covariance(rows, _values(), loaded.mean), "cov")
+    vectors = stored.filter("component > 0")
+    split = dc.decompose(rows, _values(), loaded)
+    spreads = split.select([F.var_samp(f"coeff_{i}").alias(str(i)) for i in range(1, DAYS + 1)])
+    spreads = spreads.unpivot([], spreads.columns, "component", "spread").withColumn("component", F.col("component").cast("int"))
+    whole = vectors.agg(F.sum("eigval").alias("whole"))
+    falling = dc.variance_explained(vectors, n=DAYS + 1).agg(F.max("cumvar").alias("v"))
+    figure = lambda df, name, i, j, value, digits: df.select(F.lit(name).alias("figure"), i.cast("int").alias("i"), j.cast("int").alias("j"), (F.round(value, digits) + 0.0).alias("value"))
+    zero, own = F.lit(0), F.col("component")
+    shown = [
+        figure(dc.eigen_errors(cov, stored).crossJoin(F.broadcast(whole)), "error", own, zero, F.col("error") / F.col("whole"), 6),
+        figure(dc.gram(stored), "dot", F.col("i"), F.col("j"), F.col("dot"), 6),
+        figure(spreads.join(vectors, "component").crossJoin(F.broadcast(whole)), "spread", own, zero, (F.col("spread") - F.col("eigval")) / F.col("whole"), 6),
+        figure(falling, "explained", zero, zero, F.col("v"), 6),
+    ]
+    for power in (1, 2, 3):
+        moment = vectors.agg(F.pow(F.sum(F.pow("eigval", F.lit(power))), F.lit(1 / power)).alias("v"))
+        shown.append(figure(moment, "moment", F.lit(power), zero, F.col("v"), 3))
+    return reduce(lambda a, b: a.unionByName(b), shown)
+
+
+def w21_weather_report(spark, sf_dir):
+    """The whole job: its stored tables, told apart by name."""
+    rows = _stored(spark, weather(spark, sf_dir), "weather")
+    store = ResultStore(spark, shared_folder(spark, "report"))
+    results = weather_report(rows, _basis(rows), store, missing=MISSING, small=0.9, smaller=0.8, above=0.85)
+    box = results["box"]
+    results["box"] = box.unpivot([], box.columns, "side", "value")
+    shown = [
+        results[name].select(F.lit(name).alias("result"), F.concat_ws(" ", *item).alias("item"), F.round(F.col(value).cast("double"), 4).alias("value"))
+        for name, item, value in (
+            ("decomposed", ["Station", "measurement"], "res_1"),
+            ("stations", ["position", "Station", "count"], "group"),
+            ("by_coeff_1", ["position", "Station", "measurement"], "coeff_1"),
+            ("by_coeff_2", ["position", "Station", "measurement"], "coeff_2"),
+            ("box", ["side"], "value"),
+            ("markers", ["color"], "radius"),
+            ("profiles", ["group_id", "day"], "value"),
+            ("profile_matches", ["group_id"], "matched"),
+        )
+    ]
+    return reduce(lambda a, b: a.unionByName(b), shown)
+
+
 def w20_profile_match(spark, sf_dir):
     grouped, basis = _grouped_rows(spark, sf_dir)
     rows = pf.match_profiles(pf.profile(grouped), basis)
@@ -201,6 +279,7 @@ def w20_profile_match(spark, sf_dir):
 QUERIES = {
     f.__name__: f
     for f in (
+        s04_basis_store,
         s05_sql_weather_filter,
         w01_filter,
         w02_topk_basis,
@@ -221,14 +300,17 @@ QUERIES = {
         w17_profile,
         w18_scaled_series,
         w19_fit_moments,
+        w19_fit_pairwise,
+        w19_fit_basis,
         w20_profile_match,
+        w21_weather_report,
     )
 }
 
 WITH = f"WITH {WEATHER_SQL}"
-CENTRES_SQL = "centres(group_id, c1, c2) AS (VALUES " + ", ".join(
-    f"({i}, {float(a)}::DOUBLE, {float(b)}::DOUBLE)" for i, (a, b) in enumerate(st.CENTRES)
-) + ")"
+# Typed out, so that a slip in the library's own table would show.
+CENTRES_SQL = """centres(group_id, c1, c2) AS (VALUES (0, 0::DOUBLE, 0::DOUBLE), (1, -250, -250), (2, 500, 0), (3, 500, 400), (4, -100, 600),
+  (5, -1500, 500), (6, -200, 100))"""
 STATIONS_SQL = f"""{WITH}, {CENTRES_SQL},
 stations AS (
   SELECT Station, avg(coeff_1) AS coeff_1, avg(coeff_2) AS coeff_2, avg(longitude) AS Longitude,
@@ -252,6 +334,13 @@ vectors AS (
 ROUNDED_SQL = "round(coeff_1, 4) AS coeff_1, round(coeff_2, 4) AS coeff_2"
 
 SQL = {
+    "s04_basis_store": f"""{WITH},
+kind_means AS (SELECT measurement, day, avg(v) AS mean FROM day_values GROUP BY 1, 2),
+kinds AS (SELECT DISTINCT measurement FROM weather)
+SELECT measurement, 0 AS component, day, round(coalesce(k.mean, 0), 6) AS value
+FROM kinds CROSS JOIN basis b LEFT JOIN kind_means k USING (measurement, day)
+UNION ALL SELECT measurement, 1, day, round(v1, 6) FROM kinds, basis
+UNION ALL SELECT measurement, 2, day, round(v2, 6) FROM kinds, basis""",
     "s05_sql_weather_filter": f"""{WITH} SELECT Station, country, measurement, latitude, longitude FROM weather
 WHERE country = '{COUNTRY}' AND measurement = '{MEASUREMENT}'""",
     "w01_filter": f"""{WITH} SELECT country, measurement, count(*) AS n FROM weather
@@ -270,8 +359,9 @@ SELECT g.Station, g.measurement, CAST(k AS INTEGER) AS k, day,
        round(mean + CASE WHEN k >= 1 THEN coeff_1 * v1 ELSE 0 END + CASE WHEN k >= 2 THEN coeff_2 * v2 ELSE 0 END, 4) AS value
 FROM grid g JOIN coeffs c ON c.Station = g.Station AND c.measurement = g.measurement, range(3) AS t(k)""",
     "w07_residual_filter": f"""{WITH}
-SELECT 1 AS "by", Station, measurement, {ROUNDED_SQL} FROM decomposed WHERE res_1 < 0.9
-UNION ALL SELECT 2, Station, measurement, round(coeff_1, 4), round(coeff_2, 4)
+SELECT 1 AS "by", row_number() OVER (ORDER BY coeff_1, Station, measurement) AS position, Station, measurement, {ROUNDED_SQL}
+FROM decomposed WHERE res_1 < 0.9
+UNION ALL SELECT 2, row_number() OVER (ORDER BY coeff_2, Station, measurement), Station, measurement, round(coeff_1, 4), round(coeff_2, 4)
 FROM decomposed WHERE res_2 < 0.8 AND res_1 > 0.85""",
     "w08_extremes": f"""{WITH},
 ends AS (
@@ -287,7 +377,8 @@ SELECT Station, measurement, {ROUNDED_SQL}, side FROM sides""",
        round(Longitude, 4) AS Longitude, round(Latitude, 4) AS Latitude FROM stations""",
     "w10_station_counts": f"{WITH} SELECT Station, count(*) AS n FROM weather GROUP BY 1",
     "w11_stations": f"""{STATIONS_SQL} SELECT Station, {ROUNDED_SQL},
-       round(Longitude, 4) AS Longitude, round(Latitude, 4) AS Latitude, n FROM stations ORDER BY Station""",
+       round(Longitude, 4) AS Longitude, round(Latitude, 4) AS Latitude, n,
+       row_number() OVER (ORDER BY Station) AS position FROM stations""",
     "w12_nearest_centre": f'{STATIONS_SQL} SELECT Station, "group" FROM grouped',
     "w13_centres": f"""{STATIONS_SQL} SELECT group_id, c1, c2, count(g.Station) AS n_stations
 FROM centres LEFT JOIN grouped g ON g."group" = group_id GROUP BY ALL""",
@@ -298,8 +389,8 @@ SELECT round(min(latitude), 6) AS min_lat, round(min(longitude), 6) AS min_lon,
        round((max(longitude) + min(longitude)) / 2, 6) AS center_lon
 FROM weather""",
     "w15_markers": f"""{STATIONS_SQL}
-SELECT round(Latitude, 6) AS lat, round(Longitude, 6) AS lon, CAST(trunc({st.RADIUS_SCALE} * sqrt(n)) AS INTEGER) AS radius,
-       {list(st.COLOURS)}["group" + 1] AS color FROM grouped""",
+SELECT round(Latitude, 6) AS lat, round(Longitude, 6) AS lon, CAST(trunc(4800 * sqrt(n)) AS INTEGER) AS radius,
+       ['red', 'orange', 'yellow', 'green', 'black', 'blue', 'purple']["group" + 1] AS color FROM grouped""",
     "w16_group_rows": f"""{STATIONS_SQL}
 SELECT g.Station, 2024 AS Year, "group", string_agg(coalesce(CAST(v AS VARCHAR), '-'), ',' ORDER BY day) AS days
 FROM grid g JOIN grouped USING (Station) GROUP BY g.Station, g.measurement, "group\"""",
@@ -311,6 +402,23 @@ FROM vectors""",
     "w19_fit_moments": f"""{WITH}
 SELECT a.day AS i, b.day AS j, round(any_value(a.mean), 6) AS mean, round(sum(a.c * b.c) / (count(*) - 1), 3) AS cov
 FROM grid a JOIN grid b ON a.Station = b.Station AND a.measurement = b.measurement GROUP BY 1, 2""",
+    "w19_fit_pairwise": f"""{WITH}
+SELECT a.day AS i, b.day AS j, count(*) FILTER (a.v IS NOT NULL AND b.v IS NOT NULL) AS n,
+       CASE WHEN count(*) FILTER (a.v IS NOT NULL AND b.v IS NOT NULL) > 1
+            THEN round(sum(a.c * b.c) / (count(*) FILTER (a.v IS NOT NULL AND b.v IS NOT NULL) - 1), 3) ELSE 0 END AS cov
+FROM grid a JOIN grid b ON a.Station = b.Station AND a.measurement = b.measurement GROUP BY 1, 2""",
+    "w19_fit_basis": f"""{WITH},
+cov AS (SELECT a.day AS i, b.day AS j, sum(a.c * b.c) / (count(*) - 1) AS cov
+        FROM grid a JOIN grid b ON a.Station = b.Station AND a.measurement = b.measurement GROUP BY 1, 2),
+squared AS (SELECT a.i, b.j, sum(a.cov * b.cov) AS cov FROM cov a JOIN cov b ON a.j = b.i GROUP BY 1, 2),
+days AS (SELECT CAST(d AS INTEGER) AS d FROM range(1, {DAYS + 1}) AS t(d))
+SELECT 'error' AS figure, d AS i, 0 AS j, 0.0::DOUBLE AS value FROM days
+UNION ALL SELECT 'spread', d, 0, 0.0 FROM days
+UNION ALL SELECT 'dot', a.d, b.d, CASE WHEN a.d = b.d THEN 1.0 ELSE 0.0 END FROM days a, days b
+UNION ALL SELECT 'explained', 0, 0, 100.0
+UNION ALL SELECT 'moment', 1, 0, round(sum(cov), 3) FROM cov WHERE i = j
+UNION ALL SELECT 'moment', 2, 0, round(sqrt(sum(cov)), 3) FROM squared WHERE i = j
+UNION ALL SELECT 'moment', 3, 0, round(sum(s.cov * c.cov) ** (1.0 / 3), 3) FROM squared s JOIN cov c ON s.j = c.i AND s.i = c.j""",
     "w20_profile_match": f"""{STATIONS_SQL},
 projected AS (
   SELECT p.group_id, sum((value - mean) * v1) AS coeff_1, sum((value - mean) * v2) AS coeff_2
@@ -318,4 +426,23 @@ projected AS (
 SELECT p.group_id, {ROUNDED_SQL},
        (SELECT group_id FROM centres ORDER BY (coeff_1 - c1) ^ 2 + (coeff_2 - c2) ^ 2, group_id LIMIT 1) AS matched
 FROM projected p""",
+    "w21_weather_report": f"""{STATIONS_SQL},
+projected AS (
+  SELECT p.group_id, sum((value - mean) * v1) AS coeff_1, sum((value - mean) * v2) AS coeff_2
+  FROM profiles p JOIN basis USING (day) GROUP BY 1),
+box AS (
+  SELECT unnest(['min_lat', 'min_lon', 'max_lat', 'max_lon', 'center_lat', 'center_lon']) AS side,
+         unnest([min(Latitude), min(Longitude), max(Latitude), max(Longitude),
+                 (max(Latitude) + min(Latitude)) / 2, (max(Longitude) + min(Longitude)) / 2]) AS value FROM stations)
+SELECT 'decomposed' AS result, Station || ' ' || measurement AS item, round(res_1, 4) AS value FROM decomposed
+UNION ALL SELECT 'stations', row_number() OVER (ORDER BY Station) || ' ' || Station || ' ' || n, "group" FROM grouped
+UNION ALL SELECT 'by_coeff_1', row_number() OVER (ORDER BY coeff_1, Station, measurement) || ' ' || Station || ' ' || measurement, round(coeff_1, 4)
+FROM decomposed WHERE res_1 < 0.9
+UNION ALL SELECT 'by_coeff_2', row_number() OVER (ORDER BY coeff_2, Station, measurement) || ' ' || Station || ' ' || measurement, round(coeff_2, 4)
+FROM decomposed WHERE res_2 < 0.8 AND res_1 > 0.85
+UNION ALL SELECT 'box', side, round(value, 4) FROM box
+UNION ALL SELECT 'markers', ['red', 'orange', 'yellow', 'green', 'black', 'blue', 'purple']["group" + 1], trunc(4800 * sqrt(n)) FROM grouped
+UNION ALL SELECT 'profiles', group_id || ' ' || day, round(value, 4) FROM profiles
+UNION ALL SELECT 'profile_matches', CAST(p.group_id AS VARCHAR),
+  (SELECT group_id FROM centres ORDER BY (coeff_1 - c1) ^ 2 + (coeff_2 - c2) ^ 2, group_id LIMIT 1) FROM projected p""",
 }

@@ -8,6 +8,7 @@ from stack overflow.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html import entities
 
 from pyspark.sql import Column
@@ -23,7 +24,7 @@ LETTER = r"a-zA-Z\x{130}\x{131}\x{17F}\x{212A}"
 DIGIT = r"\p{Nd}"
 EYES = r":;=8"
 NOSE = r"\-oO*'"
-MOUTH = r"()\[\]{}dDpP/:@|\\"
+MOUTH = r")\](\[dDpP/:}{@|\\"
 URL_CHAR = r"!$-_a-z\x{130}\x{131}\x{17F}\x{212A}"
 
 # The token classes. The first one that matches at a place wins.
@@ -78,28 +79,26 @@ def normalise_entities(text: Column, decode: bool = False) -> Column:
     return F.when(has_other, F.replace(decoded, F.lit(AMP), F.lit(" and "))).otherwise(decoded)
 
 
-def _decode_numeric(text: Column) -> Column:
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(NUMERIC_ENTITY), F.lit(0)))
+def _each_replaced(text: Column, pattern: str, change: Callable[[Column], Column]) -> Column:
+    """The text with every match changed, in one pass: the pieces between matches, and the changed matches, in turn."""
+    between, found = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    pairs = F.zip_with(between, found, lambda gap, match: F.concat(gap, F.when(match.isNull(), "").otherwise(change(match))))
+    return F.array_join(pairs, "")
+
 
-    def put_back(acc: Column, entity: Column) -> Column:
+def _decode_numeric(text: Column) -> Column:
+    def char(entity: Column) -> Column:
         code = F.substring(entity, F.lit(3), F.length(entity) - 3).try_cast("bigint")
         possible = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        return F.when(possible, F.replace(acc, entity, char)).otherwise(acc)
+        return F.when(possible, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(entity)
 
-    return F.aggregate(found, text, put_back)
+    return _each_replaced(text, NUMERIC_ENTITY, char)
 
 
 def _decode_named(text: Column) -> Column:
     names = {f"&{name};": chr(code) for name, code in entities.name2codepoint.items() if name != "amp"}
     table = F.create_map(*[F.lit(part) for pair in names.items() for part in pair])
-    found = F.array_distinct(F.regexp_extract_all(text, F.lit(NAMED_ENTITY), F.lit(0)))
-
-    def put_back(acc: Column, entity: Column) -> Column:
-        char = F.try_element_at(table, entity)
-        return F.when(char.isNotNull(), F.replace(acc, entity, char)).otherwise(acc)
-
-    return F.aggregate(found, text, put_back)
+    return _each_replaced(text, NAMED_ENTITY, lambda entity: F.coalesce(F.try_element_at(table, entity), entity))
 
 
 def raw_tokens(text: Column, decode_entities: bool = False) -> Column:

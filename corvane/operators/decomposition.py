@@ -12,74 +12,127 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions.vectors import Basis, as_matrix, project, reconstruct
+from corvane.sources.fetch import fetch
+
+# The vectors are years, or parts of one.
+MAX_DAYS = 366
+
+
+def _over_workers(rows: DataFrame) -> DataFrame:
+    """The rows in no more partitions than there are cores, without a shuffle.
+
+    What each task below hands over is of fixed size, so the number of tasks is what counts.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.coalesce(cores)
+
 
 def day_means(rows: DataFrame, values: str | Column) -> DataFrame:
-    """`day, mean` over the rows that have the day; one row a day."""
-    return (
-        rows.select(F.posexplode_outer(values).alias("pos", "value"))
-        .filter(F.col("value").isNotNull())
-        .groupBy((F.col("pos") + 1).alias("day"))
-        .agg(F.avg("value").alias("mean"))
-    )
+    """`day, mean` over the rows that have the day; one row a day, 0 for a day that no row has.
+
+    Each task adds up its batches as matrices and hands over one row a day.
+    """
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = None, None
+        for batch in batches:
+            vectors = batch.column(0).drop_null()
+            if not len(vectors):
+                continue
+            x, _ = as_matrix(vectors, len(vectors[0]))
+            total = np.nansum(x, axis=0) + (0 if total is None else total)
+            n = (~np.isnan(x)).sum(axis=0) + (0 if n is None else n)
+        if total is not None:
+            days = pa.array(np.arange(1, len(total) + 1), pa.int32())
+            yield pa.RecordBatch.from_arrays([days, pa.array(total), pa.array(n, pa.int64())], names=["day", "s", "n"])
+
+    column = F.col(values) if isinstance(values, str) else values
+    partial = _over_workers(rows.select(column)).mapInArrow(sums, "day int, s double, n bigint")
+    mean = F.sum("s") / F.nullif(F.sum("n"), F.lit(0))
+    return partial.groupBy("day").agg(F.coalesce(mean, F.lit(0.0)).alias("mean"))
 
 
 def fetch_means(means: DataFrame) -> list[float]:
     """The day means as a list. There are as many as days, however many rows they came from."""
-    rows = means.orderBy("day").collect()
+    rows = sorted(fetch(means, MAX_DAYS), key=lambda r: r["day"])
     if [r["day"] for r in rows] != list(range(1, len(rows) + 1)):
-        raise ValueError("some day has no value in any row")
+        raise ValueError("the vectors differ in length")
     return [r["mean"] for r in rows]
 
 
-def covariance(rows: DataFrame, values: str | Column, mean: list[float]) -> DataFrame:
-    """`i, j, cov` (days from 1), the sample covariance with missing days set to the mean.
+def covariance(rows: DataFrame, values: str | Column, mean: list[float], pairwise: bool = False) -> DataFrame:
+    """`i, j, cov, n` (days from 1): the sample covariance of the days, from n rows.
+
+    A missing day is set to its mean and all rows count. With `pairwise`, only
+    the rows that have both days count: larger for sparse days, but such a matrix
+    may have negative eigenvalues. Less than two rows give 0.
 
-    Each task adds up its own d x d product matrix, one matrix product per
-    Arrow batch, and hands over one row per matrix line; Spark sums the lines.
-    What is shuffled depends on d and the number of tasks only.
+    The sum has two levels: each task adds up its own d x d matrices, one matrix
+    product per Arrow batch, and hands over one row per matrix line; Spark sums
+    the lines. What is shuffled depends on d and the number of cores only.
     """
     mu = np.asarray(mean, "f8")
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros((len(mu), len(mu))), 0
+        total, both = np.zeros((len(mu), len(mu))), np.zeros((len(mu), len(mu)))
         for batch in batches:
             x, _ = as_matrix(batch.column(0), len(mu))
             centred = np.nan_to_num(x - mu)
             total += centred.T @ centred
-            n += len(x)
-        if n:
-            lines = pa.array(list(total), pa.list_(pa.float64()))
-            numbers = pa.array(np.arange(1, len(mu) + 1), pa.int32())
-            counts = pa.array(np.full(len(mu), n), pa.int64())
-            yield pa.RecordBatch.from_arrays([numbers, counts, lines], names=["i", "n", "line"])
-
-    partial = rows.select(F.col(values) if isinstance(values, str) else values).mapInArrow(
-        products, "i int, n bigint, line array<double>"
-    )
-    lines = partial.groupBy("i").agg(
-        F.sum("n").alias("n"), Summarizer.sum(array_to_vector("line")).alias("line")
-    )
-    return lines.select("i", "n", F.posexplode(vector_to_array("line")).alias("pos", "s")).select(
-        "i", (F.col("pos") + 1).alias("j"), (F.col("s") / F.nullif(F.col("n") - 1, F.lit(0))).alias("cov")
+            present = (~np.isnan(x)).astype("f8") if pairwise else None
+            both += len(x) if present is None else present.T @ present
+        numbers = pa.array(np.arange(1, len(mu) + 1), pa.int32())
+        lines = [pa.array(list(matrix), pa.list_(pa.float64())) for matrix in (total, both)]
+        yield pa.RecordBatch.from_arrays([numbers, *lines], names=["i", "line", "both"])
+
+    column = F.col(values) if isinstance(values, str) else values
+    partial = _over_workers(rows.select(column)).mapInArrow(products, "i int, line array<double>, both array<double>")
+    summed = [Summarizer.sum(array_to_vector(c)).alias(c) for c in ("line", "both")]
+    lines = partial.groupBy("i").agg(*summed)
+    cells = F.arrays_zip(*(vector_to_array(c).alias(c) for c in ("line", "both")))
+    n = F.col("cell.both").cast("bigint")
+    cov = F.coalesce(F.col("cell.line") / F.nullif(n - 1, F.lit(0)), F.lit(0.0))
+    return lines.select("i", F.posexplode(cells).alias("pos", "cell")).select(
+        "i", (F.col("pos") + 1).alias("j"), F.when(n > 1, cov).otherwise(0.0).alias("cov"), n.alias("n")
     )
 
 
-def fit_basis(rows: DataFrame, values: str | Column, k: int | None = None) -> Basis:
+def fit_basis(rows: DataFrame, values: str | Column, k: int | None = None, pairwise: bool = False) -> Basis:
     """Mean, eigenvectors and eigenvalues of the rows, largest eigenvalue first.
 
     Two passes over the rows; the d x d matrix alone comes to the driver, for
-    its eigenvectors. Each eigenvector's largest entry is made positive.
+    its eigenvectors. Each eigenvector's largest entry is made positive. A day
+    without any value has mean 0 and no variance, so it has no part in the vectors
+    of the eigenvalues above 0.
     """
     mean = fetch_means(day_means(rows, values))
     matrix = np.zeros((len(mean), len(mean)))
-    for r in covariance(rows, values, mean).collect():
+    for r in fetch(covariance(rows, values, mean, pairwise), len(mean) ** 2):
         matrix[r["i"] - 1, r["j"] - 1] = r["cov"]
     eigvals, eigvecs = np.linalg.eigh(matrix)
     order = np.argsort(eigvals)[::-1][:k]
     chosen = eigvecs[:, order].T
     largest = chosen[np.arange(len(chosen)), np.abs(chosen).argmax(axis=1)]
     chosen = chosen * np.where(largest < 0, -1.0, 1.0)[:, None]
-    return Basis(mean, chosen.tolist(), np.maximum(eigvals[order], 0.0).tolist())
+    kept = eigvals[order] if pairwise else np.maximum(eigvals[order], 0.0)
+    return Basis(mean, chosen.tolist(), kept.tolist())
+
+
+def eigen_errors(cov: DataFrame, basis_table: DataFrame) -> DataFrame:
+    """`component, error`: |Cv - λv| of each stored eigenvector, by joins on days."""
+    parts = basis_table.filter("component > 0").select("component", "eigval", F.posexplode("vector").alias("pos", "v"))
+    parts = parts.select("component", "eigval", (F.col("pos") + 1).alias("day"), "v")
+    image = cov.join(parts.withColumnRenamed("day", "j"), "j").groupBy("component", "i").agg(F.sum(F.col("cov") * F.col("v")).alias("cv"))
+    off = F.col("cv") - F.col("eigval") * F.col("v")
+    return image.join(parts.withColumnRenamed("day", "i"), ["component", "i"]).groupBy("component").agg(F.sqrt(F.sum(off * off)).alias("error"))
+
+
+def gram(basis_table: DataFrame) -> DataFrame:
+    """`i, j, dot`: the inner products of the stored eigenvectors."""
+    vectors = basis_table.filter("component > 0")
+    a = vectors.select(F.col("component").alias("i"), F.posexplode("vector").alias("pos", "a"))
+    b = vectors.select(F.col("component").alias("j"), F.posexplode("vector").alias("pos", "b"))
+    return a.join(b, "pos").groupBy("i", "j").agg(F.sum(F.col("a") * F.col("b")).alias("dot"))
 
 
 def variance_explained(eigvals: DataFrame, n: int = 10) -> DataFrame:
@@ -140,14 +193,14 @@ def approximations(decomposed: DataFrame, keys: list[str], basis: Basis) -> Data
 
 
 def well_described(decomposed: DataFrame, coeff: int, below: float, above_previous: float | None = None) -> DataFrame:
-    """Rows whose residual after `coeff` components is small, in order of that coefficient.
+    """Rows whose residual after `coeff` components is small; `ordering.with_position` puts them in order of that coefficient.
 
     `above_previous` also asks that the component before left a residual above it.
     """
     kept = decomposed.filter(F.col(f"res_{coeff}") < below)
     if above_previous is not None:
         kept = kept.filter(F.col(f"res_{coeff - 1}") > above_previous)
-    return kept.orderBy(f"coeff_{coeff}")
+    return kept
 
 
 def extremes(rows: DataFrame, column: str, ties: list[str], n: int = 12) -> DataFrame:

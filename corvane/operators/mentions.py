@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corvane.functions import tokens as tk
-from corvane.operators.messages import GROUPS
+from corvane.operators.messages import with_group
 
 MIN_USERS = 100
 
@@ -17,17 +17,16 @@ def message_tokens(messages: DataFrame, **grammar) -> DataFrame:
 
 
 def user_tokens(messages: DataFrame, keep_case: str = "url", decode_entities: bool = False) -> DataFrame:
-    """The distinct (user, token) pairs, with `group_id` if the messages carry it.
+    """The distinct (user, token) pairs.
 
     The text is exploded into raw tokens and folded row by row, which stays in
     generated code; `distinct` drops repeats within each task before the one
     shuffle, whose key holds the token, so no user and no token is a hot key.
     """
-    keep = [c for c in ("user_id", "group_id") if c in messages.columns]
     raw = F.explode(tk.raw_tokens(F.col("text"), decode_entities)).alias("raw")
     return (
-        messages.select(*keep, raw)
-        .select(*keep, tk.fold_case(F.col("raw"), keep_case).alias("token"))
+        messages.select("user_id", raw)
+        .select("user_id", tk.fold_case(F.col("raw"), keep_case).alias("token"))
         .distinct()
     )
 
@@ -57,40 +56,25 @@ def frequent_pairs(pairs: DataFrame, frequent_tokens: DataFrame) -> DataFrame:
     return pairs.join(frequent_tokens.select("token", "n_all"), "token")
 
 
-def group_mentions(pairs: DataFrame) -> DataFrame:
-    """`group_id, token, n_k`: users of the group who used the token."""
-    return pairs.groupBy("group_id", "token").agg(F.count("*").alias("n_k"))
+def group_mentions(pairs: DataFrame, user_groups: DataFrame) -> DataFrame:
+    """`group_id, token, n_k`, and `n_all` if the pairs carry it: users of the group who used the token.
 
-
-def token_table(pairs: DataFrame, groups: tuple[int, ...] = GROUPS) -> DataFrame:
-    """`token, n_all, n_by_group`: both counts in one pass over the pairs.
-
-    One counter per group makes a token a single row, so the pairs are
-    shuffled once, already combined, and no join back to the frequent tokens
-    is needed. A group outside `groups` fails the job rather than being lost.
+    Users meet their group here and no earlier: what is looked up, and shuffled
+    if the groups are many, are users and tokens, no texts, and after
+    `frequent_pairs` only those that can show up in a ranking.
     """
-    unknown = F.raise_error(F.concat(F.lit("unknown group "), F.col("group_id").cast("string")))
-    checked = F.when(F.col("group_id").isin(*groups), F.col("group_id")).otherwise(unknown.cast("int"))
-    counters = [F.count(F.when(F.col("group_id") == g, 1)) for g in groups]
-    by_group = [F.struct(F.lit(g).alias("group_id"), n.alias("n_k")) for g, n in zip(groups, counters)]
-    return (
-        pairs.select("token", checked.alias("group_id"))
-        .groupBy("token")
-        .agg(F.count("*").alias("n_all"), F.array(*by_group).alias("n_by_group"))
-    )
+    key = ["group_id", "token", *(c for c in ("n_all",) if c in pairs.columns)]
+    return with_group(pairs, user_groups).groupBy(*key).agg(F.count("*").alias("n_k"))
 
 
-def popularity(tokens: DataFrame) -> DataFrame:
-    """`group_id, token, n_k, n_all, rel_popularity` from a `token_table`.
+def popularity(counted: DataFrame) -> DataFrame:
+    """`group_id, token, n_k, n_all, rel_popularity` from the `group_mentions` of frequent pairs.
 
     rel_popularity = log2(n_k / n_all). A group that never used a token has
     no row, as its value would be minus infinity.
     """
-    return (
-        tokens.select("token", "n_all", F.inline("n_by_group"))
-        .filter("n_k > 0")
-        .select("group_id", "token", "n_k", "n_all", F.log2(F.col("n_k") / F.col("n_all")).alias("rel_popularity"))
-    )
+    value = F.log2(F.col("n_k") / F.col("n_all")).alias("rel_popularity")
+    return counted.filter("n_k > 0").select("group_id", "token", "n_k", "n_all", value)
 
 
 def top_per_group(ranked: DataFrame, k: int = 10) -> DataFrame:

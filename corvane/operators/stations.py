@@ -27,13 +27,13 @@ def station_counts(decomposed: DataFrame) -> DataFrame:
 
 
 def stations(decomposed: DataFrame) -> DataFrame:
-    """`Station, coeff_1, coeff_2, Longitude, Latitude, count`, in station order.
+    """`Station, coeff_1, coeff_2, Longitude, Latitude, count`; `ordering.with_position` puts them in station order.
 
     Averages and count come from one aggregation, which a join of the two
     tables above would do twice.
     """
     averages = [F.avg(c).alias(c) for c in ("coeff_1", "coeff_2", "Longitude", "Latitude")]
-    return decomposed.groupBy("Station").agg(*averages, F.count("*").alias("count")).orderBy("Station")
+    return decomposed.groupBy("Station").agg(*averages, F.count("*").alias("count"))
 
 
 def centre_table(spark: SparkSession, centres: Sequence[tuple[float, float]] = CENTRES) -> DataFrame:

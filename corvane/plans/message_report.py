@@ -29,8 +29,8 @@ def message_report(
 ) -> dict[str, DataFrame]:
     """Run the whole job and return the stored result tables by name.
 
-    Three tables are written on the way: the ingested lines, in a folder per
-    status, one row per author, and one row per token with its counts. Every
+    Four tables are written on the way: the ingested lines, in a folder per
+    status, one row per author, one per author and token, and one per token. Every
     result is then read from those, so lines are parsed once, and messages
     tokenised once; losing an executor later recomputes neither.
     """
@@ -39,9 +39,10 @@ def message_report(
     messages = ms.valid_messages(ingested, strict)
 
     users = store.write("users", ms.posts_per_user(messages))
-    grouped = ms.with_group(messages, user_groups)
-    tokens = store.write("tokens", mn.token_table(mn.user_tokens(grouped)))
+    pairs = store.write("pairs", mn.user_tokens(messages))
+    tokens = store.write("tokens", mn.mentions(pairs))
     frequent = mn.frequent(tokens, min_users)
+    by_group = mn.group_mentions(mn.frequent_pairs(pairs, frequent), user_groups)
 
     results = {
         "num_tweets": ingested.agg(F.count("*").alias("n")),
@@ -50,6 +51,6 @@ def message_report(
         "num_of_tokens": mn.count_tokens(tokens),
         "num_freq_tokens": mn.count_tokens(frequent),
         "top20": mn.top_tokens(frequent),
-        "popular_10_in_each_group": mn.top_per_group(mn.popularity(frequent)),
+        "popular_10_in_each_group": mn.top_per_group(mn.popularity(by_group)),
     }
     return {name: store.write(name, df) for name, df in results.items()}

@@ -2,9 +2,28 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+@contextmanager
+def reused(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """`df` kept by the executors while the block runs, and given up after it.
+
+    For a table that several results of one block read and store. What a lost
+    executor held is computed anew; a table that costs more than storing it
+    belongs in a `ResultStore`.
+    """
+    kept = df.persist(level)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 class ResultStore:
     """Named Parquet tables below one root; writing a name again replaces it."""
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corvane import schemas
 from corvane.functions.vectors import Basis
+from corvane.sources.fetch import fetch
 
 
 def read_user_groups(spark: SparkSession, path: str) -> DataFrame:
@@ -29,15 +30,20 @@ def weather_of(spark: SparkSession, country: str, measurement: str, view: str =
     )
 
 
-def save_basis(spark: SparkSession, bases: dict[str, Basis], path: str) -> None:
-    """Write one eigenbasis per measurement kind as a small Parquet table."""
+def save_basis(spark: SparkSession, bases: dict[str, Basis], path: str) -> DataFrame:
+    """Write one eigenbasis per measurement kind, in a folder of its own, and return the stored table.
+
+    A kind is replaced as a whole; those of other names stay as they are.
+    """
     rows = []
     for measurement, basis in bases.items():
         rows.append((measurement, 0, None, [float(v) for v in basis.mean]))
         for i, vector in enumerate(basis.vectors):
             eigval = None if basis.eigvals is None else float(basis.eigvals[i])
             rows.append((measurement, i + 1, eigval, [float(v) for v in vector]))
-    spark.createDataFrame(rows, schemas.EIGENBASIS).coalesce(1).write.mode("overwrite").parquet(path)
+    table = spark.createDataFrame(rows, schemas.EIGENBASIS).coalesce(1)
+    table.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("measurement").parquet(path)
+    return read_basis_table(spark, path)
 
 
 def read_basis_table(spark: SparkSession, path: str) -> DataFrame:
@@ -45,13 +51,13 @@ def read_basis_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def top_basis(table: DataFrame, measurement: str, k: int) -> DataFrame:
-    """The mean (component 0) and the first `k` eigenvectors of one measurement kind."""
+    """The mean (component 0) and the first `k` eigenvectors of one measurement kind; other kinds' folders are not read."""
     return table.filter((F.col("measurement") == measurement) & (F.col("component") <= k))
 
 
 def load_basis(table: DataFrame, measurement: str, k: int) -> Basis:
-    """Fetch those `k + 1` rows; their number is fixed by `k`, not by the data."""
-    rows = {r["component"]: r for r in top_basis(table, measurement, k).collect()}
+    """Those `k + 1` rows as a basis."""
+    rows = {r["component"]: r for r in fetch(top_basis(table, measurement, k), k + 1)}
     missing = sorted(set(range(k + 1)) - set(rows))
     if missing:
         raise ValueError(f"eigenbasis of {measurement!r} lacks components {missing}")

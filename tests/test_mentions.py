@@ -1,3 +1,4 @@
+import re
 import collections
 import math
 import random
@@ -77,19 +78,21 @@ def test_threshold_is_inclusive_and_ties_are_in_token_order(spark):
     assert [tuple(r) for r in top] == [("B", 149), ("for", 149), ("of", 149), ("he", 100)]
 
 
-def test_one_pass_table_equals_the_step_by_step_one(frames):
+def test_group_mentions_match_brute_force(frames, posts):
     messages, groups = frames
-    pairs = mn.user_tokens(ms.with_group(messages, groups))
-    frequent = mn.frequent(mn.mentions(pairs), 20)
-    steps = mn.group_mentions(mn.frequent_pairs(pairs, frequent)).join(frequent, "token")
-    one_pass = mn.popularity(mn.frequent(mn.token_table(pairs), 20))
-    columns = ("group_id", "token", "n_k", "n_all")
-    assert {tuple(r) for r in steps.select(*columns).collect()} == {tuple(r) for r in one_pass.select(*columns).collect()}
+    users, n_all, frequent, _ = brute_force(posts, 20)
+    pairs = mn.user_tokens(messages)
+    want = collections.Counter((GROUP_OF.get(u, 7), t) for t, us in users.items() for u in us)
+    assert {(r["group_id"], r["token"]): r["n_k"] for r in mn.group_mentions(pairs, groups).collect()} == want
+    kept = mn.frequent_pairs(pairs, mn.frequent(mn.mentions(pairs), 20))
+    counted = {(r["group_id"], r["token"]): (r["n_k"], r["n_all"]) for r in mn.group_mentions(kept, groups).collect()}
+    assert counted == {(g, t): (n, n_all[t]) for (g, t), n in want.items() if t in frequent}
 
 
 def test_popularity_of_a_token_sums_to_one(frames):
     messages, groups = frames
-    popular = mn.popularity(mn.token_table(mn.user_tokens(ms.with_group(messages, groups))))
+    pairs = mn.user_tokens(messages)
+    popular = mn.popularity(mn.group_mentions(mn.frequent_pairs(pairs, mn.mentions(pairs)), groups))
     sums = popular.groupBy("token").agg(F.sum(F.pow(F.lit(2.0), "rel_popularity")).alias("s")).collect()
     assert sums and all(abs(r["s"] - 1) < 1e-12 for r in sums)
 
@@ -99,9 +102,8 @@ def test_popularity_of_a_token_sums_to_one(frames):
     [(22, 132, -2.584962500721156), (7, 132, -4.23703919730085), (24, 149, -2.6342060197410055), (98, 284, -1.5350372753894739)],
 )
 def test_popularity_values(spark, n_k, n_all, expected):
-    row = (n_all, [(3, n_k), (4, 0)], "t")
-    table = spark.createDataFrame([row], "n_all bigint, n_by_group array<struct<group_id int, n_k bigint>>, token string")
-    rows = mn.popularity(table).collect()
+    rows = [(3, "t", n_k, n_all), (4, "t", 0, n_all)]
+    rows = mn.popularity(spark.createDataFrame(rows, "group_id int, token string, n_k bigint, n_all bigint")).collect()
     assert len(rows) == 1 and abs(rows[0]["rel_popularity"] - expected) < 1e-12
 
 
@@ -113,12 +115,6 @@ def test_top_per_group_ties(spark):
     assert sorted((r["group_id"], r["rank"], r["token"]) for r in top) == [(1, 1, "c"), (1, 2, "a"), (2, 1, "z")]
 
 
-def test_unknown_group_fails(spark):
-    pairs = spark.createDataFrame([("u", 9, "t")], "user_id string, group_id int, token string")
-    with pytest.raises(Exception, match="unknown group 9"):
-        mn.token_table(pairs).collect()
-
-
 def test_whole_report(spark, posts, tmp_path, frames):
     import json
 
@@ -148,15 +144,20 @@ def test_whole_report(spark, posts, tmp_path, frames):
         assert all(abs(a - b) < 1e-12 for (a, _), (b, _) in zip(found[g], top[g]))
 
 
-def test_plan_stays_in_the_jvm_with_three_shuffles(frames, spark, tmp_path):
+def test_texts_stay_out_of_the_shuffles(frames, spark, tmp_path, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
     messages, groups = frames
     paths = [str(tmp_path / n) for n in ("m", "g")]
     for df, path in zip((messages, groups), paths):
         df.write.parquet(path)
     messages, groups = (spark.read.parquet(p) for p in paths)
-    pairs = mn.user_tokens(ms.with_group(messages, groups))
-    plan = plan_of(mn.top_per_group(mn.popularity(mn.frequent(mn.token_table(pairs), 20))))
-    assert "Python" not in plan and "Arrow" not in plan
-    assert plan.count("Exchange hashpartitioning") == 3
+    pairs = mn.user_tokens(messages)
+    frequent = mn.frequent(mn.mentions(pairs), 20)
+    top = mn.top_per_group(mn.popularity(mn.group_mentions(mn.frequent_pairs(pairs, frequent), groups)))
+    plan = plan_of(top)
+    assert "Python" not in plan and "Arrow" not in plan and "Broadcast" not in plan
+    formatted = spark._jvm.PythonSQLUtils.explainString(top._jdf.queryExecution(), "formatted")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", formatted)
+    assert len(shuffled) >= 5 and not any("text" in columns or "raw" in columns for columns in shuffled)
     assert plan.count("WindowGroupLimit") == 2
-    assert "TakeOrderedAndProject" in plan_of(mn.top_tokens(mn.frequent(mn.mentions(pairs))))
+    assert "TakeOrderedAndProject" in plan_of(mn.top_tokens(frequent))

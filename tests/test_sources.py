@@ -3,7 +3,8 @@ import pytest
 from corvane import session
 from checkset.spread import spread
 from corvane.sources.lines import count_lines, lines_from, read_lines
-from corvane.sources.results import ResultStore
+from corvane.session import release, shared_folder
+from corvane.sources.results import ResultStore, reused
 from corvane.sources.tables import read_user_groups
 
 
@@ -48,3 +49,18 @@ def test_configure_sets_runtime_settings(spark):
         assert spark.conf.get(key) == value
     with pytest.raises(Exception):
         spark.conf.get("spark.no.such.setting")
+
+
+def test_released_folders_are_gone(spark):
+    path = shared_folder(spark, "released")
+    spark.range(3).write.parquet(path)
+    shared_folder(spark, "never-written")
+    assert release(spark) >= 1 and release(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+
+
+def test_reused_tables_are_given_up(spark):
+    with reused(spark.range(5)) as kept:
+        assert kept.count() == 5 and kept.is_cached
+    assert not kept.is_cached

@@ -6,6 +6,7 @@ from corvane import schemas
 from corvane.functions.vectors import Basis
 from corvane.operators import profiles as pf
 from corvane.operators import stations as st
+from corvane.operators.ordering import with_position
 from corvane.plans.weather_report import weather_report
 from corvane.sources import tables
 from corvane.sources.lines import rows_to_frame
@@ -37,8 +38,9 @@ def decomposed(spark):
     return spark.createDataFrame(rows, "Station string, coeff_1 double, coeff_2 double, Longitude double, Latitude double")
 
 
-def test_stations_equal_the_join_of_means_and_counts(decomposed):
-    ours = st.stations(decomposed)
+def test_stations_equal_the_join_of_means_and_counts(spark, tmp_path, decomposed):
+    store = ResultStore(spark, str(tmp_path))
+    ours = with_position(st.stations(decomposed), ["Station"], store, "stations").orderBy("position").drop("position")
     assert ours.columns == ["Station", "coeff_1", "coeff_2", "Longitude", "Latitude", "count"]
     assert [tuple(r) for r in ours.collect()] == [("a", 500.0, 390.0, 80.0, 8.0, 1), ("b", 15.0, 2.0, 77.0, 14.0, 2)]
     joined = st.station_means(decomposed).join(st.station_counts(decomposed), "Station").orderBy("Station")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from corvane.functions import vectors as vx
 from corvane.functions.vectors import Basis
 from corvane.operators import decomposition as dc
+from corvane.sources.tables import load_basis, save_basis, top_basis
 
 DAYS = 12
 MISSING = -999
@@ -188,3 +189,36 @@ print("done")
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert out.stdout.strip().endswith("done"), out.stderr[-2000:]
+
+
+def test_an_empty_day_has_no_part_in_the_basis(spark):
+    rng = np.random.default_rng(4)
+    rows = [([float(v) for v in rng.normal(size=2)] + [None, float(i % 3)],) for i in range(20)] + [(None,)]
+    df = spark.createDataFrame(rows, "v array<double>")
+    basis = dc.fit_basis(df, "v")
+    assert basis.mean[2] == 0.0 and basis.eigvals[-1] == 0.0
+    assert all(abs(v[2]) < 1e-12 for v in basis.vectors[:-1]) and abs(basis.vectors[-1][2]) == 1.0
+
+
+def test_pairwise_covariance_counts_rows_with_both_days(spark):
+    rows = [([1.0, 2.0, None],), ([3.0, None, None],), ([5.0, 8.0, 1.0],), (None,)]
+    mean = [3.0, 5.0, 1.0]
+    got = {(r.i, r.j): (r.n, r.cov) for r in dc.covariance(spark.createDataFrame(rows, "v array<double>"), "v", mean, pairwise=True).collect()}
+    assert got[1, 1] == (3, 4.0) and got[1, 2] == got[2, 1] == (2, 12.0) and got[2, 2] == (2, 18.0)
+    assert got[3, 3] == (1, 0.0) and got[1, 3] == (1, 0.0)
+    plain = {(r.i, r.j): (r.n, r.cov) for r in dc.covariance(spark.createDataFrame(rows, "v array<double>"), "v", mean).collect()}
+    assert plain[1, 2] == (3, 6.0)
+
+
+def test_a_stored_basis_is_orthonormal_and_solves_the_eigenproblem(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(rng.normal(size=6).tolist(),) for _ in range(50)], "v array<double>")
+    basis = dc.fit_basis(df, "v")
+    table = save_basis(spark, {"a": basis, "b": Basis([0.0], [[1.0]], [2.0])}, str(tmp_path / "basis"))
+    mine = top_basis(table, "a", 6)
+    assert "measurement=a" in str(mine.inputFiles()) and load_basis(table, "a", 6) == basis
+    assert max(r.error for r in dc.eigen_errors(dc.covariance(df, "v", basis.mean), mine).collect()) < 1e-9
+    assert all(abs(r["dot"] - (r["i"] == r["j"])) < 1e-9 for r in dc.gram(mine).collect())
+    # A kind that is written again is replaced, the other stays.
+    again = save_basis(spark, {"b": Basis([1.0], [[1.0]], [3.0])}, str(tmp_path / "basis"))
+    assert load_basis(again, "b", 1).mean == [1.0] and load_basis(again, "a", 6) == basis
