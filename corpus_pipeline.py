@@ -21,7 +21,7 @@ from corvane.llm.line_templates import drop_recurring_lines, line_words
 from corvane.llm.quality import judge_text
 from corvane.llm.similar import one_of_each
 from corvane.llm.tables import table
-from corvane.session import shared_folder
+from corvane.session import configure, shared_folder
 
 MIN_WORDS = 10
 
@@ -45,6 +45,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
     `inline` has each text judged once; a filter on the verdict as a column would judge it again.
     """
+    configure(spark)
     row = _packed(docs).select(F.struct("doc_id", "others").alias("row"), F.inline(F.array(judge_text(F.col("text")))))
     kept = row.where("kept").select("row.doc_id", "text", "row.others")
     return _unpacked(kept, docs.columns, text_changed=True)
@@ -59,6 +60,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that similarities of 0.8 on five words link."""
+    configure(spark)
     return _unpacked(one_of_each(_packed(docs), n=5, percent=80), docs.columns)
 
 
@@ -71,6 +73,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, ids, n_tokens, text: the SentencePiece ids and what they decode to."""
     import public_tokenizers
 
+    configure(spark)
     vocabulary = pieces.load_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
     encoded = docs.select("doc_id", "lang", "source", pieces.round_trip(F.col("text"), vocabulary).alias("r"))
     return encoded.select("doc_id", "lang", "source", "r.ids", F.size("r.ids").cast("long").alias("n_tokens"), "r.text")
