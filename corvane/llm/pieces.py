@@ -83,8 +83,31 @@ def load_vocabulary(path: str) -> Vocabulary:
     )
 
 
+NEVER = float("-inf")
+# Up to so many characters, looking through all pairs is quicker than keeping them in order.
+SHORT = 40
+
+
 def merged(text: str, scores: dict[str, float]) -> list[str]:
     """The merges themselves: the best-scored adjacent pair first, the left one of equals."""
+    return _merged_short(text, scores) if len(text) <= SHORT else _merged_long(text, scores)
+
+
+def _merged_short(text: str, scores: dict[str, float]) -> list[str]:
+    parts = list(text)
+    pairs = [scores.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+    while pairs and (best := max(pairs)) > NEVER:
+        i = pairs.index(best)
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+        del pairs[i]
+        if i:
+            pairs[i - 1] = scores.get(parts[i - 1] + parts[i], NEVER)
+        if i < len(pairs):
+            pairs[i] = scores.get(parts[i] + parts[i + 1], NEVER)
+    return parts
+
+
+def _merged_long(text: str, scores: dict[str, float]) -> list[str]:
     parts: list[str | None] = list(text)
     before, after = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
     agenda = []
@@ -144,6 +167,7 @@ class Encoder:
         self.automaton.make_automaton()
         self.fits = Bounded(lambda pair: merged(pair[0] + pair[1], vocabulary.scores) == [*pair])
         self.reached = Bounded(lambda piece: merged(piece, vocabulary.scores) == [piece])
+        # By what the automaton reads of a text, of which there is far less than of texts.
         self.first = Bounded(self.longest)
         self.shorter = Bounded(lambda piece: self.longest(piece[:-1]))
         self.packed = Bounded(lambda part: np.array(self.ids(self.part(part)), "<i4").tobytes())
@@ -179,7 +203,9 @@ class Encoder:
         first, shorter, fits = self.first, self.shorter, self.fits
         end, at, failed = len(text), 0, 0
         chosen: list[str] = []
-        piece = first[text[: self.widest]]
+        widest, read = self.widest, self.automaton.longest_prefix
+        ahead = text[:widest]
+        piece = first[ahead[: read(ahead) or 1]]
         last = None
         while True:
             after = at + len(piece)
@@ -188,7 +214,8 @@ class Encoder:
                 if after == end:
                     return chosen
                 at, last = after, piece
-                piece = first[text[at : at + self.widest]]
+                ahead = text[at : at + widest]
+                piece = first[ahead[: read(ahead) or 1]]
             else:
                 while len(piece) == 1:  # nothing shorter: no piece leads on from here
                     failed |= 1 << at

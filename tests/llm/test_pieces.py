@@ -1,3 +1,4 @@
+import random
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -76,3 +77,13 @@ def test_other_models_are_refused(tmp_path):
     (tmp_path / "m").write_bytes(model.SerializeToString())
     with pytest.raises(ValueError):
         load_vocabulary(str(tmp_path / "m"))
+
+
+def test_both_ways_of_merging_agree():
+    rng = random.Random(8)
+    for _ in range(300):
+        pieces_ = {"".join(rng.choices("abc", k=rng.randrange(2, 5))) for _ in range(12)}
+        # Few different scores, so that pairs tie.
+        scores = {p: float(-rng.randrange(4)) for p in pieces_}
+        text = "".join(rng.choices("abc", k=rng.randrange(60)))
+        assert pieces._merged_short(text, scores) == pieces._merged_long(text, scores) == pieces.merged(text, scores)
