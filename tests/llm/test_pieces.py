@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 sentencepiece = pytest.importorskip("sentencepiece")
 public_tokenizers = pytest.importorskip("public_tokenizers")
 
+from corvane.llm import pieces  # noqa: E402
 from corvane.llm.pieces import Decoder, Encoder, decode, encode, load_vocabulary, merged, round_trip  # noqa: E402
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
