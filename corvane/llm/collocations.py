@@ -258,7 +258,7 @@ def _outside(phrases: DataFrame, bits: np.ndarray) -> DataFrame:
     return _by_set(phrases.select("part", "k", "phrase", "n"), COUNTS, missing)
 
 
-def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, sample: float = 1 / 16, slack: float = 1.25, text_col: str = "text", part_col: str = "lang") -> DataFrame:
+def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5, sample: float = 1 / 16, slack: float = 2.0, text_col: str = "text", part_col: str = "lang") -> DataFrame:
     """part, k, phrase, n: every phrase of 1 to `max_words` words that occurs `min_count` times or more, with its count.
 
     Also one row a part with k = 0: the number of all its words. A phrase is
