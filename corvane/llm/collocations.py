@@ -2,8 +2,8 @@
 
 Toivonen's algorithm, for phrases of up to `max_words` words in a row:
 
-1. A sample of the documents is mined level by level with a lowered threshold.
-   The phrases it finds frequent are the *proposed* ones.
+1. A sample of the documents is mined level by level. The phrases it finds
+   frequent are the *proposed* ones.
 2. One pass over all documents counts the proposed phrases and the negative
    border: every phrase that is not proposed itself, while both of its shorter
    ones (without the last word, without the first) are. A border phrase that
@@ -263,7 +263,8 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
 
     Also one row a part with k = 0: the number of all its words. A phrase is
     proposed if its count in the sample is `slack` times what `min_count` leads
-    to expect, two at least. The result is a stored table.
+    to expect, two at least: from 1 on, few rare phrases are counted in vain and the
+    border brings in the rest; below 1, fewer passes follow. The result is a stored table.
     """
     if not 2 <= max_words <= MOST_WORDS:
         raise ValueError(f"max_words must be from 2 to {MOST_WORDS}")
