@@ -1,45 +1,43 @@
 """Main text of web pages, with boilerplate found by what the pages of a host repeat.
 
 A page is cut into blocks: runs of text between tags that begin or end one. Tags
-and the names of classes and ids tell what many blocks are: inside `article` or
+and the names of classes and ids tell what most blocks are: inside `article` or
 `main` they belong to the article, inside `nav`, `footer`, adverts, forms,
-comments and the like they do not. All others, those of the article too, are
-searched for repeats among the pages of the host. A block goes if substrings that
-stand in `min_pages` sources or more cover more than `covered` percent of its
-tokens, and stays as it is otherwise. Open blocks, beside an article or not, are
-searched for substrings of `min_tokens` tokens, with equal pages as one source;
-then the token stream of all blocks of a page for long ones of `long_tokens`, with
-equal articles as one source, so that copied articles stay. An article most of which such
-repeats cover is a copy with changes and keeps its blocks; its headings, and blocks
-that say the same, are its own and no part of the stream.
-
-Repeats of open blocks are runs of a suffix array sorted to the depth of
-`min_tokens`, held as rows of (host, hash of the prefix); runs are counted with
-sums combined inside each task, so a host with a third of all pages, and a menu
-on each of them, is no hot key. For long substrings no array of all suffixes is
-built: the smallest hash of `part_tokens` tokens in each `long_tokens` in a row is
-kept (equal substrings keep the same), and only the substrings around parts that
-enough sources share are written out and counted by their text. None is missed,
-and no hash decides.
+comments and the like they do not. Undecided are blocks outside both (open ones),
+and those of an article that are set apart in it: mostly links, or under a class
+or id that holds less than half of the article's tokens. Headings of an article
+and its other blocks stay, however often they are repeated.
+
+The token streams of the undecided blocks of a host's pages make its suffix array,
+sorted to the depth of `min_tokens`; a block shorter than that is its own suffix.
+Suffixes with that prefix in common are a run of the array. As only the runs are
+needed, not their order, suffixes are rows that are grouped by a 128-bit hash of
+(host, prefix), not sorted; a longer repeat is a chain of such runs. A block goes
+if runs of `min_pages` sources or more cover more than `covered` percent of its
+tokens, and stays whole otherwise. Equal pages are one source, for blocks of an
+article equal articles are. Runs are counted with sums combined inside each task,
+so a host with a third of all pages, and a menu on each of them, is no hot key,
+and no text is shuffled for it.
 
 Defined results: null and empty pages have an empty text; open blocks stand where
 the page has them, before, after or without an article; a page without a host is a host of its own
 kind; unclosed and stray tags are taken as browsers do, roughly: a block's context
-is that of the open elements around it, and a page's end closes all. White space
+is that of the open elements around it, and a page's end closes all; a tag that
+never ends is text. Cutting takes time in proportion to the page. White space
 is that of Unicode. Equal rows count as one page for the repeats, each gets its
 text, and other columns are not looked at.
 """
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 import sys
-import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -74,9 +72,11 @@ CLOSED_BY = {
     "tr": frozenset(["tr"]), "td": frozenset(["td", "th", "tr"]), "th": frozenset(["td", "th", "tr"]), "head": frozenset(["body"]),
 }
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"""([^\s=/]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-NAMED = frozenset(["class", "id", "role", "hidden", "aria-hidden"])
+SPECIAL = re.compile(r"[<>\"']")
+TAG_NAME = re.compile(r"<(/?)([A-Za-z][^\s/<>]*)")
+# Names begin where a run of their characters does, so that no run is read twice.
+ATTRIBUTE = re.compile(r"""(?<![^\s=/"'])([^\s=/"']++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+LONG_REFERENCE = re.compile(r"&#([0-9]{9,})")
 
 ARTICLE, OPEN, CHROME = 0, 1, 2
 
@@ -97,60 +97,130 @@ def _is_chrome(tag: str, attributes: str, in_article: bool) -> bool:
     return re.search(r"(?:^|\s)hidden(?:[\s=/]|$)", attributes) is not None and tag not in ("html", "body")
 
 
+class TagEnds:
+    """Where the tag whose attributes begin at a place ends: at the next `>` outside quotes, found for all places in one pass from the end."""
+
+    def __init__(self, page: str):
+        self.places = [m.start() for m in SPECIAL.finditer(page)]
+        plain = double = single = -1
+        ends = [-1]
+        for at in reversed(self.places):
+            match page[at]:
+                case ">":
+                    plain = at
+                case '"':
+                    plain, double = double, plain
+                case "'":
+                    plain, single = single, plain
+            ends.append(plain)
+        self.ends = ends[::-1]
+
+    def after(self, at: int) -> int:
+        """The place of the `>`, or -1."""
+        return self.ends[bisect.bisect_left(self.places, at)]
+
+
+@dataclass(frozen=True)
+class Block:
+    text: str
+    place: int
+    heading: bool
+    # The class or id around the block inside its article, and whether the block is mostly links.
+    sign: str
+    links: bool
+
+
 def blocks(page: str) -> Iterator[tuple[str, int]]:
     """(text, place) of each block with text, in page order; place: in an article, open, or in a page's furniture."""
-    return ((text, place) for text, place, _ in placed_blocks(page))
+    return ((b.text, b.place) for b in placed_blocks(page))
+
+
+def _unescaped(text: str) -> str:
+    # Longer numbers than Python reads name no character.
+    return html.unescape(LONG_REFERENCE.sub(lambda m: f"&#{(m[1].lstrip('0') or '0') if len(m[1].lstrip('0')) < 9 else 99999999}", text))
+
 
+def _sign(attributes: str) -> str:
+    return " ".join("".join(values) for name, *values in ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id"))
 
-def placed_blocks(page: str) -> Iterator[tuple[str, int, bool]]:
-    """As `blocks`, and whether a block is a heading."""
-    stack: list[tuple[str, int]] = []  # open elements with their places
+
+def placed_blocks(page: str) -> Iterator[Block]:
+    """The blocks with text, in page order."""
+    stack: list[tuple[str, int, str]] = []  # open elements with their places and signs
+    inside_of = Counter()  # how many of each are open
     parts: list[str] = []
-    at, place, heading = 0, OPEN, False
+    at = text_from = linked = 0
+    place, heading, sign = OPEN, False, ""
     end = len(page)
+    tag_ends = TagEnds(page)
+
+    def take(stop):
+        nonlocal linked
+        if stop > text_from:
+            parts.append(page[text_from:stop])
+            if inside_of["a"]:
+                linked += stop - text_from
 
     def flush():
-        text = " ".join(html.unescape("".join(parts)).split())
+        nonlocal linked
+        written = "".join(parts)
+        found = Block(" ".join(_unescaped(written).split()), place, heading, sign, 2 * linked > len(written))
         parts.clear()
-        return text
-
-    while at <= end:
-        found = TAG.search(page, at)
-        stop = found.start() if found else end
-        if stop > at:
-            parts.append(page[at:stop])
-        if found is None:
-            break
-        at = found.end()
-        closing, tag, attributes = found[1], (found[2] or "").lower(), found[3] or ""
-        if not tag:
-            continue  # a comment or declaration, which parts no words
+        linked = 0
+        return found
+
+    def pop():
+        name = stack.pop()[0]
+        inside_of[name] -= 1
+        return name
+
+    while (start := page.find("<", at)) >= 0:
+        follows = page[start + 1 : start + 2]
+        if follows in ("!", "?"):  # a comment or declaration, which parts no words
+            take(start)
+            mark = "-->" if page.startswith("<!--", start) else ">"
+            stop = page.find(mark, start + 4 if mark == "-->" else start)
+            at = text_from = end if stop < 0 else stop + len(mark)
+            continue
+        named = TAG_NAME.match(page, start)
+        stop = tag_ends.after(named.end()) if named else -1
+        if stop < 0:
+            at = start + 1
+            continue
+        take(start)
+        at = text_from = stop + 1
+        closing, tag, attributes = named[1], named[2].lower(), page[named.end() : stop]
         if tag in BLOCK_TAGS or tag in RAW_TAGS:
-            if text := flush():
-                yield text, place, heading
+            if (block := flush()).text:
+                yield block
         if closing:
-            if any(name == tag for name, _ in stack):
-                while stack.pop()[0] != tag:
+            if inside_of[tag]:
+                while pop() != tag:
                     pass
         elif tag in RAW_TAGS:
-            ended = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            at = ended.end() if ended else end
+            closed = re.compile(rf"</{re.escape(tag)}\b", re.I).search(page, at)
+            stop = page.find(">", closed.end()) if closed else -1
+            at = text_from = end if stop < 0 else stop + 1
         elif tag not in VOID_TAGS:
             while stack and tag in CLOSED_BY.get(stack[-1][0], ()):
-                stack.pop()
-            around = stack[-1][1] if stack else OPEN
-            inside = around
+                pop()
+            _, around, sign_around = stack[-1] if stack else ("", OPEN, "")
+            inside, signed = around, sign_around
             if around != CHROME:
                 if _is_chrome(tag, attributes, around == ARTICLE):
                     inside = CHROME
                 elif tag in ARTICLE_TAGS:
                     inside = ARTICLE
+                elif around == ARTICLE and tag in BLOCK_TAGS and attributes:
+                    signed = _sign(attributes) or sign_around
             if not attributes.rstrip().endswith("/") or tag in BLOCK_TAGS:
-                stack.append((tag, inside))
-        place = stack[-1][1] if stack else OPEN
-        heading = any(name in HEADINGS for name, _ in stack)
-    if text := flush():
-        yield text, place, heading
+                stack.append((tag, inside, signed))
+                inside_of[tag] += 1
+        _, place, sign = stack[-1] if stack else ("", OPEN, "")
+        heading = any(inside_of[name] for name in HEADINGS)
+    take(end)
+    if (block := flush()).text:
+        yield block
 
 
 @dataclass(frozen=True)
@@ -158,51 +228,29 @@ class Repeats:
     min_tokens: int = 6
     min_pages: int = 3
     covered: int = 50
-    # Of substrings of the whole stream, and of the parts by which they are found.
-    long_tokens: int = 16
-    part_tokens: int = 6
-
 
-BLOCKS = "struct<blocks: array<struct<text: string, open: boolean, headline: boolean>>, parts: array<bigint>>"
-_BLOCKS = pa.struct([("blocks", pa.list_(pa.struct([("text", pa.string()), ("open", pa.bool_()), ("headline", pa.bool_())]))), ("parts", pa.list_(pa.int64()))])
 
+BLOCKS = "array<struct<text: string, open: boolean, apart: boolean>>"
+_BLOCKS = pa.list_(pa.struct([("text", pa.string()), ("open", pa.bool_()), ("apart", pa.bool_())]))
 
-def part_hashes(tokens: list[str], k: int) -> np.ndarray:
-    """A hash of each `k` tokens in a row."""
-    n = len(tokens) - k + 1
-    if n < 1:
-        return np.empty(0, np.uint64)
-    single = np.fromiter((zlib.crc32(t.encode()) for t in tokens), np.uint64, len(tokens)) * np.uint64(0x9E3779B97F4A7C15)
-    single ^= single >> np.uint64(29)
-    total = np.zeros(n, np.uint64)
-    for i in range(k):
-        total = total * np.uint64(0xBF58476D1CE4E5B9) + single[i : i + n]
-    return total ^ (total >> np.uint64(31))
 
+def kept_blocks(page: str) -> list[dict]:
+    """The blocks outside the page's furniture; `apart`: set apart in an article."""
+    found = [b for b in placed_blocks(page) if b.place != CHROME]
+    tokens = Counter()
+    for b in found:
+        if b.place == ARTICLE:
+            tokens[b.sign] += b.text.count(" ") + 1
+    few = {sign for sign, n in tokens.items() if sign and 2 * n < tokens.total()}
+    return [{"text": b.text, "open": b.place == OPEN, "apart": b.place == ARTICLE and not b.heading and (b.links or b.sign in few)} for b in found]
 
-def chosen_parts(tokens: list[str], rule: Repeats) -> np.ndarray:
-    """The smallest part of each `long_tokens` tokens in a row: equal substrings of that length have one in common."""
-    hashes = part_hashes(tokens, rule.part_tokens)
-    width = rule.long_tokens - rule.part_tokens + 1
-    if len(hashes) < width:
-        return np.empty(0, np.int64)
-    return np.unique(np.lib.stride_tricks.sliding_window_view(hashes, width).min(axis=1)).view(np.int64)
 
-
-def page_blocks(page: Column, rule: Repeats = Repeats()) -> Column:
-    """A page's blocks, without those of its furniture, in order, and the chosen parts of their token stream."""
+def page_blocks(page: Column) -> Column:
+    """A page's blocks, without those of its furniture, in order."""
 
     @F.arrow_udf(BLOCKS)
     def cut(column: pa.Array) -> pa.Array:
-        rows = []
-        for value in column:
-            found = [b for b in placed_blocks(value.as_py()) if b[1] != CHROME] if value.is_valid else []
-            said = [text.rstrip(" .,:;!?…") for text, _, _ in found]
-            headlines = {s for s, (_, place, heading) in zip(said, found, strict=True) if heading and place == ARTICLE}
-            made = [{"text": t, "open": p == OPEN, "headline": p == ARTICLE and s in headlines} for s, (t, p, _) in zip(said, found, strict=True)]
-            tokens = [token for b in made if not b["headline"] for token in b["text"].split(" ")]
-            rows.append({"blocks": made, "parts": chosen_parts(tokens, rule).tolist()})
-        return pa.array(rows, _BLOCKS)
+        return pa.array([kept_blocks(value.as_py()) if value.is_valid else [] for value in column], _BLOCKS)
 
     return cut(page)
 
@@ -213,96 +261,44 @@ def host_of(url: Column) -> Column:
     return host
 
 
-def boilerplate_blocks(opened: DataFrame, rule: Repeats) -> DataFrame:
-    """page, block: the open blocks (page, host, source, block, text) that substrings of several sources of the host cover."""
+def boilerplate_blocks(undecided: DataFrame, rule: Repeats) -> DataFrame:
+    """page, block: the undecided blocks (page, host, source, block, text) that substrings of several sources of the host cover."""
     k = rule.min_tokens
-    tokens = F.split("text", " ")
     # Blocks shorter than a substring are compared whole: their suffix is the block itself.
     starts = F.sequence(F.lit(0), F.greatest(F.size("tokens") - k, F.lit(0)))
-    suffixes = opened.withColumn("tokens", tokens).select(
-        "page", "host", "source", "block", F.size("tokens").alias("n"), F.explode(F.transform(starts, lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("tokens", i + 1, k)).alias("prefix")))).alias("s")
+
+    def suffix(i: Column) -> Column:
+        prefix = F.slice("tokens", i + 1, k)
+        return F.struct(i.alias("at"), F.xxhash64("host", prefix).alias("k1"), F.xxhash64(prefix, "host").alias("k2"))
+
+    suffixes = undecided.withColumn("tokens", F.split("text", " ")).select(
+        "page", "source", "block", F.size("tokens").alias("n"), F.explode(F.transform(starts, suffix)).alias("s")
     )
-    suffixes = suffixes.select("page", "host", "source", "block", "n", "s.at", "s.prefix")
-    runs = suffixes.groupBy("host", "prefix", "source").agg(F.lit(1).alias("one")).groupBy("host", "prefix").agg(F.count("*").alias("pages"))
-    repeated = suffixes.join(runs.where(F.col("pages") >= rule.min_pages), ["host", "prefix"], "left_semi")
+    suffixes = suffixes.select("page", "source", "block", "n", "s.at", "s.k1", "s.k2")
+    runs = suffixes.groupBy("k1", "k2", "source").agg(F.lit(1).alias("one")).groupBy("k1", "k2").agg(F.count("*").alias("sources"))
+    repeated = suffixes.join(runs.where(F.col("sources") >= rule.min_pages), ["k1", "k2"], "left_semi")
     places = F.explode(F.sequence("at", F.least(F.col("at") + (k - 1), F.col("n") - 1)))
     covered = repeated.select("page", "block", "n", places.alias("token")).distinct().groupBy("page", "block").agg(F.count("*").alias("hit"), F.first("n").alias("n"))
     return covered.where(100 * F.col("hit") > rule.covered * F.col("n")).select("page", "block")
 
 
-def stream_windows(texts: Column, parts: Column, rule: Repeats) -> Column:
-    """array<struct<at, window>>: the `long_tokens` tokens in a row, as text, that hold one of the given parts."""
-
-    @F.arrow_udf("array<struct<at: int, window: string>>")
-    def windows(texts: pa.Array, parts: pa.Array) -> pa.Array:
-        rows = []
-        reach = rule.long_tokens - rule.part_tokens
-        for text, part in zip(texts, parts, strict=True):
-            tokens = [token for t in text.as_py() for token in t.split(" ")]
-            hit = np.isin(part_hashes(tokens, rule.part_tokens).view(np.int64), part.values.to_numpy(zero_copy_only=False))
-            before = np.concatenate([[0], np.cumsum(hit)])
-            starts = np.arange(max(0, len(tokens) - rule.long_tokens + 1))
-            starts = starts[before[starts + reach + 1] > before[starts]]
-            rows.append([{"at": int(i), "window": " ".join(tokens[i : i + rule.long_tokens])} for i in starts])
-        return pa.array(rows, pa.list_(pa.struct([("at", pa.int32()), ("window", pa.string())])))
-
-    return windows(texts, parts)
-
-
-def stream_repeats(stored: DataFrame, rule: Repeats, folder: str) -> DataFrame:
-    """page, gone: the places of the blocks that long substrings of several sources of the host cover."""
-    spark = stored.sparkSession
-    # Copies of an article are one source.
-    sources = stored.where(F.size("parts") > 0).groupBy("host", "source").agg(F.first("parts").alias("parts"))
-    keys = lambda df: df.withColumn("part", F.explode("parts")).withColumn("key", F.xxhash64("host", "part"))
-    counts = keys(sources).groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= rule.min_pages)
-    counts.select("key").write.parquet(f"{folder}/parts")
-    shared = keys(stored.select("page", "host", "parts")).join(spark.read.parquet(f"{folder}/parts"), "key", "left_semi")
-    shared = shared.select("page", "part").distinct().groupBy("page").agg(F.collect_list("part").alias("shared"))
-    held = stored.select("page", "host", "source", "blocks").dropDuplicates(["page"]).join(shared, "page")
-    held.withColumn("windows", stream_windows(F.filter("blocks", lambda b: ~b["headline"])["text"], F.col("shared"), rule)).drop("shared").write.parquet(f"{folder}/windows")
-    held = spark.read.parquet(f"{folder}/windows")
-    windows = held.select("page", "host", "source", F.explode("windows").alias("w")).select("page", "host", "source", "w.at", "w.window")
-    by_source = windows.groupBy("host", "window", "source").agg(F.lit(1).alias("one"))
-    repeated = by_source.groupBy("host", "window").agg(F.count("*").alias("n")).where(F.col("n") >= rule.min_pages)
-    starts = windows.join(repeated, ["host", "window"], "left_semi").groupBy("page").agg(F.collect_list("at").alias("starts"))
-
-    @F.arrow_udf("array<int>")
-    def gone(blocks: pa.Array, starts: pa.Array) -> pa.Array:
-        rows = []
-        for found, start in zip(blocks, starts, strict=True):
-            found = found.as_py()
-            sizes = [0 if b["headline"] else b["text"].count(" ") + 1 for b in found]
-            change = np.zeros(sum(sizes) + 1, np.int64)
-            start = np.array(start.as_py())
-            np.add.at(change, start, 1)
-            np.add.at(change, start + rule.long_tokens, -1)
-            ends = np.cumsum(sizes)
-            sums = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
-            hits = sums[ends] - sums[ends - sizes]
-            article = np.array([not b["open"] for b in found])
-            copied = 100 * hits[article].sum() > rule.covered * np.array(sizes)[article].sum()
-            rows.append([i for i, b in enumerate(found) if 100 * hits[i] > rule.covered * sizes[i] and (b["open"] or not copied)])
-        return pa.array(rows, pa.list_(pa.int32()))
-
-    return held.join(starts, "page").select("page", gone("blocks", "starts").alias("gone"))
-
-
 def main_text(pages: DataFrame, rule: Repeats = Repeats(), id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """page_id, url, text of every page."""
     spark = pages.sparkSession
     folder = shared_folder(spark, "pages")
-    cut = narrow(pages, page_id=id_col, url=url_col, page=html_col).select("page_id", "url", page_blocks(F.col("page"), rule).alias("b"))
-    cut.select("page_id", "url", "b.blocks", "b.parts").write.parquet(f"{folder}/blocks")
-    stored = spark.read.parquet(f"{folder}/blocks").withColumn("host", host_of(F.col("url")))
-    article = F.filter("blocks", lambda b: ~b["open"])
+    cut = narrow(pages, page_id=id_col, url=url_col, page=html_col).select("page_id", "url", page_blocks(F.col("page")).alias("blocks"))
+    cut.write.parquet(f"{folder}/blocks")
+    stored = spark.read.parquet(f"{folder}/blocks").withColumn("page", F.struct("page_id", F.xxhash64("url", "blocks").alias("hash")))
+    is_open = lambda b: b["open"]
+    is_undecided = lambda b: b["open"] | b["apart"]
+    numbered = F.filter(F.transform("blocks", lambda b, i: F.struct(i.alias("block"), b["text"].alias("text"), b["open"].alias("open"), b["apart"].alias("apart"))), is_undecided)
     # An article is the same source whatever stands around it.
-    source = F.xxhash64(F.when(F.size(article) > 0, article).otherwise(F.col("blocks")))
-    stored = stored.withColumn("page", F.struct("page_id", F.xxhash64("url", "blocks").alias("hash"))).withColumn("source", source)
-    opened = stored.where(F.exists("blocks", lambda b: b["open"])).select("page", "host", F.xxhash64("blocks").alias("source"), F.posexplode("blocks").alias("block", "b"))
-    opened = opened.where("b.open").select("page", "host", "source", "block", F.col("b.text").alias("text")).distinct()
-    short = boilerplate_blocks(opened, rule).groupBy("page").agg(F.collect_list("block").alias("gone"))
-    gone = short.unionByName(stream_repeats(stored, rule, folder)).groupBy("page").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    article = F.xxhash64(F.filter("blocks", lambda b: ~is_open(b)))
+    undecided = stored.where(F.exists("blocks", is_undecided)).select(
+        "page", host_of(F.col("url")).alias("host"), article.alias("article"), F.xxhash64("blocks").alias("whole"), F.inline(numbered)
+    )
+    undecided = undecided.withColumn("source", F.when(F.col("open"), F.col("whole")).otherwise(F.col("article")))
+    gone = boilerplate_blocks(undecided, rule).groupBy("page").agg(F.collect_list("block").alias("gone"))
     gone.write.parquet(f"{folder}/gone")
     rest = F.filter("blocks", lambda b, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
     decided = stored.join(spark.read.parquet(f"{folder}/gone"), "page", "left").withColumn("rest", rest)

@@ -1,3 +1,4 @@
+import time
 from collections import defaultdict
 
 import pytest
@@ -112,3 +113,35 @@ def test_main_text_beside_a_teaser(spark):
     rows = [(i, "http://h.example/", f"<article>Teaser {i}</article><div>Long story {i} in a plain element.</div><div>Menu of the site</div>") for i in range(3)]
     out = main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.page_id: r.text for r in out} == {i: f"Teaser {i} Long story {i} in a plain element." for i in range(3)}
+
+
+def test_article_blocks_stay_however_often_they_are_repeated(spark):
+    quote = "A sentence of many words that several stories of one host quote in full, each of them in a paragraph of its own."
+    own = lambda i, n: " ".join(f"w{i}x{j}" for j in range(n))
+    rows = [(i, "http://h.example/", f"<article><h1 class='t'>The same headline for all</h1><p>{own(i, 30)}</p><p>{quote}</p></article>") for i in range(5)]
+    # Most of the article under a class, changed from page to page.
+    rows += [(10 + i, "http://h.example/", f"<article><p class='b'>{own(500, 40)}</p><p class='b'>changed{i}</p></article>") for i in range(4)]
+    # Links that all pages have, and links of a page's own.
+    links = "<p><a href='/1'>First story of the day</a> <a href='/2'>and the second one</a></p>"
+    rows += [(20 + i, "http://h.example/", f"<article><p>{own(i + 600, 30)}</p>{links}<p><a href='#'>own{i} link{i}</a></p></article>") for i in range(4)]
+    out = {r.page_id: r.text for r in main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(5):
+        assert out[i] == f"The same headline for all {own(i, 30)} {quote}"
+    for i in range(4):
+        assert out[10 + i] == f"{own(500, 40)} changed{i}"
+        assert out[20 + i] == f"{own(i + 600, 30)} own{i} link{i}"
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<a ", '<a "', "<a 'x\"", "<a", "</p", "<div>x", "<div class=a>x</p>", "<!-", "<script></script", "<script>", "</script", "&#1", "9", "&", "a ", "=", "<p a", "'\"", "<h1>", "</"],
+)
+def test_time_is_linear(piece):
+    for before in ("", "<article>", "<div ", "&#"):
+        started = time.perf_counter()
+        list(blocks(before + piece * (1_000_000 // len(piece)) + ">"))
+        assert time.perf_counter() - started < 5
+
+
+def test_long_references():
+    assert list(blocks(f"<article>&#{'9' * 5000}; &#{'0' * 5000}65;</article>")) == [("� A", 0)]
