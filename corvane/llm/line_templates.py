@@ -8,6 +8,12 @@ variable fields generalised. A template is *recurring* if it comes in
 `min_docs` documents and at least half of its words, three at least, are
 constants; its lines are dropped from all documents but the first that has it.
 
+A template without variable fields is a whole line, and the more constants it
+has, the fewer documents it takes: a line of three words or more recurs from
+`min_docs` documents on, less one for every two words, and from two at least (so
+16 words do with the usual ten). Copies of a document count once there: counted
+are different texts, and all copies of the first keep the line.
+
 All of it is built-in functions. What is shuffled is a row per line, and a row
 per word only for lines in leaves that enough documents share; counts are
 combined within each task first, so a line in a third of all documents is not a
@@ -18,7 +24,7 @@ never dropped; a line that its document repeats counts once towards the
 template and is dropped, or kept, in each place; the first document is that
 with the smallest id, then text hash; null texts stay null and empty ones
 empty; rows of equal id and text are one document, so the first of them keeps
-its lines in each row. Other columns are kept by `drop_recurring_lines`.
+its lines in each row. Other columns, of whatever name, are kept by `drop_recurring_lines`.
 """
 
 from __future__ import annotations
@@ -88,10 +94,26 @@ def recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id",
     return templated.join(recurring, "template").select("doc", "line_no", "template", "n_docs", "first_doc")
 
 
+def repeated_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, line_no, n_texts, first_doc of each line that stands, word for word, in as many different texts as its length takes."""
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "whole_lines")
+    n = F.size("words")
+    lines = document_lines(docs, id_col, text_col).where(n >= 3).select(
+        "doc", "line_no", n.alias("n"), F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")
+    )
+    by_text = lines.groupBy("k1", "k2", "n", F.col("doc.hash").alias("text")).agg(F.min("doc").alias("doc"))
+    counts = by_text.groupBy("k1", "k2", "n").agg(F.count("*").alias("n_texts"), F.min("doc").alias("first_doc"))
+    counts.where("n_texts >= 2").where(F.col("n_texts") >= min_docs - F.floor(F.col("n") / 2)).drop("n").write.parquet(f"{folder}/lines")
+    # Written, so that Spark knows its size and sends it to the tasks if it is small.
+    return lines.join(spark.read.parquet(f"{folder}/lines"), ["k1", "k2"]).select("doc", "line_no", "n_texts", "first_doc")
+
+
 def dropped_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, lines: the numbers of the lines that a document loses."""
-    found = recurring_lines(docs, min_docs, id_col, text_col).where("doc <> first_doc")
-    return found.groupBy("doc").agg(F.array_sort(F.collect_list("line_no")).alias("lines"))
+    by_template = recurring_lines(docs, min_docs, id_col, text_col).where("doc <> first_doc").select("doc", "line_no")
+    whole = repeated_lines(docs, min_docs, id_col, text_col).where("doc.hash <> first_doc.hash").select("doc", "line_no")
+    return by_template.unionByName(whole).groupBy("doc").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
 
 
 def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text", keep_lines: str | None = None) -> DataFrame:
@@ -99,10 +121,12 @@ def drop_recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc
 
     `keep_lines` names a column to add: the numbers of the lines dropped.
     """
-    lost = dropped_lines(docs, min_docs, id_col, text_col).withColumnsRenamed({"doc": "__doc", "lines": "__lines"})
-    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
-    joined = docs.join(lost, key == F.col("__doc"), "left")
-    rest = F.filter(F.split(F.col(text_col), "\n", -1), lambda line, i: ~F.array_contains("__lines", i))
-    text = F.when(F.col("__lines").isNull(), F.col(text_col)).otherwise(F.array_join(rest, "\n"))
-    added = [] if keep_lines is None else [F.coalesce("__lines", F.array().cast("array<int>")).alias(keep_lines)]
-    return joined.select(*(text.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns), *added)
+    # All columns in one, where none of them can clash with those of the lines.
+    packed = docs.select(F.struct(*(F.col(f"`{c}`").alias(c) for c in docs.columns)).alias("row"))
+    row = lambda c: F.col("row").getField(c)
+    key = F.struct(row(id_col).alias("id"), F.xxhash64(row(text_col)).alias("hash"))
+    joined = packed.join(dropped_lines(docs, min_docs, id_col, text_col), key == F.col("doc"), "left")
+    rest = F.filter(F.split(row(text_col), "\n", -1), lambda line, i: ~F.array_contains("lines", i))
+    text = F.when(F.col("lines").isNull(), row(text_col)).otherwise(F.array_join(rest, "\n"))
+    added = [] if keep_lines is None else [F.coalesce("lines", F.array().cast("array<int>")).alias(keep_lines)]
+    return joined.select(*(text.alias(c) if c == text_col else row(c).alias(c) for c in docs.columns), *added)

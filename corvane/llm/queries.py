@@ -62,7 +62,12 @@ t AS (SELECT doc_id, line_no, string_agg(coalesce(k.word, '<*>'), ' ' ORDER BY p
     FROM e LEFT JOIN k USING (leaf, place, word) GROUP BY doc_id, line_no),
 q AS (SELECT * FROM t WHERE n_fixed >= 3 AND 2 * n_fixed >= n),
 r AS (SELECT template, min(doc_id) AS first FROM q GROUP BY template HAVING count(DISTINCT doc_id) >= 10),
-d AS (SELECT doc_id, line_no FROM q JOIN r USING (template) WHERE doc_id <> first)
+h AS (SELECT doc_id, line_no, len(words) AS n, array_to_string(words, ' ') AS line, min(doc_id) OVER (PARTITION BY text) AS copy_of
+    FROM w JOIN documents USING (doc_id) WHERE len(words) >= 3),
+g AS (SELECT line, min(copy_of) AS first FROM h GROUP BY line, n
+    HAVING count(DISTINCT copy_of) >= 2 AND count(DISTINCT copy_of) >= 10 - n // 2),
+d AS (SELECT doc_id, line_no FROM q JOIN r USING (template) WHERE doc_id <> first
+    UNION SELECT doc_id, line_no FROM h JOIN g USING (line) WHERE copy_of <> first)
 SELECT x.doc_id, count(line_no) AS n_lines, count(d.doc_id) AS n_dropped,
   coalesce(string_agg(CASE WHEN d.doc_id IS NOT NULL THEN line_no END::VARCHAR, ',' ORDER BY line_no), '') AS dropped,
   sha256(coalesce(string_agg(CASE WHEN d.doc_id IS NULL THEN line END, chr(10) ORDER BY line_no), '')) AS kept_sha256

@@ -29,6 +29,15 @@ def brute(rows, min_docs):
                 templates[doc, i] = t
                 template_docs[t].add(doc)
     order = lambda d: (d[0] is not None, d[0] or 0)
+    whole = defaultdict(set)
+    for doc, _, words, _ in lines:
+        whole[tuple(words)].add(doc)
+
+    def repeated(doc, line):
+        words = tuple(w for w in SPACE.split(line) if w)
+        texts = {t for _, t in whole[words]}
+        return len(words) >= 3 and len(texts) >= 2 and len(texts) >= min_docs - len(words) // 2 and doc[1] != min(whole[words], key=order)[1]
+
     out = []
     for doc in rows:
         if doc[1] is None:
@@ -38,7 +47,7 @@ def brute(rows, min_docs):
         for i, line in enumerate(doc[1].split("\n")):
             t = templates.get((doc, i))
             docs = template_docs[t] if t else ()
-            if len(docs) < min_docs or doc == min(docs, key=order):
+            if (len(docs) < min_docs or doc == min(docs, key=order)) and not repeated(doc, line):
                 kept.append(line)
         out.append((doc[0], "\n".join(kept)))
     return sorted(out, key=str)
@@ -69,3 +78,30 @@ def test_templates(spark):
 
 def test_empty_table(spark):
     assert drop_recurring_lines(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_long_lines_from_two_texts_on(spark):
+    passage = " ".join(f"word{i}" for i in range(21))
+    eight, seven = "Seven or eight words make one line here", "This line has seven words in it"
+    rows = [(i, f"Story {'y' * i} of its own\n{passage}\nEnd {'z' * i}") for i in range(3)]
+    # Copies of the first text keep the line, as the first does, and count once.
+    rows += [(10 + i, rows[0][1]) for i in range(3)] + [(20 + i, f"{passage} changed\none {'q' * 9}") for i in range(12)]
+    rows += [(40 + i, f"{eight}\n{'a' * i}") for i in range(6)] + [(60 + i, f"{seven}\n{'b' * i}") for i in range(6)]
+    rows += [(80, "Home\nNews\nup to"), (81, "Home\nNews\nup  to"), (82, None), (83, ""), (84, passage + "\n" + passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in drop_recurring_lines(df).collect()}
+    assert passage in out[0] and all(out[10 + i] == out[0] for i in range(3))
+    assert out[1] == "Story y of its own\nEnd z" and passage not in out[2] and out[84] == ""
+    # All of one text: its copies stay whole by this path, the template's ten documents drop them.
+    assert out[20] == rows[6][1]
+    assert [eight in out[40 + i] for i in range(6)] == [True] + [False] * 5
+    assert all(seven in out[60 + i] for i in range(6))
+    assert sorted(((r[0], out[r[0]]) for r in rows), key=str) == brute(rows, 10)
+
+
+def test_clashing_columns(spark):
+    columns = ["doc", "lines", "row", "line_no", "hash", "words", "first_doc", "__doc", "__lines", "a.b"]
+    rows = [(i, f"{'w' * i} x\nthese are the words of a line that two or more of them have in common today", *([f"c{i}"] * len(columns))) for i in range(3)]
+    df = spark.createDataFrame(rows, ["doc_id", "text", *columns])
+    out = sorted(drop_recurring_lines(df, keep_lines="lost").collect())
+    assert [tuple(r)[2:-1] for r in out] == [r[2:] for r in rows] and [r.lost for r in out] == [[], [1], [1]]
