@@ -52,7 +52,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without lines that recur in ten others; those of which fewer than ten words are left go."""
+    """The documents without lines that recur (long ones in two texts, short ones in ten documents); those of which fewer than ten words are left go."""
     kept = drop_recurring_lines(_packed(docs), keep_lines="lost")
     enough = F.size(line_words(F.col("text"))) >= MIN_WORDS
     return _unpacked(kept.where((F.size("lost") == 0) | enough), docs.columns, text_changed=True)
