@@ -56,8 +56,25 @@ def document_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return lines.where(F.col("line").rlike(r"[^\x20\x09-\x0D]")).select("doc", "line_no", line_words(F.col("line")).alias("words"))
 
 
-def recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, line_no, template, n_docs, first_doc of each line whose template recurs."""
+def leaf_of(words: Column) -> Column:
+    return F.xxhash64(F.size(words), F.transform(F.slice(words, 1, DEPTH), general))
+
+
+def line_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, line_no, leaf, n (words), k1, k2 (the words' hash) of each line with a word: a table, so that texts are split for it once."""
+    words = F.col("words")
+    keys = document_lines(docs, id_col, text_col).select(
+        "doc", "line_no", leaf_of(words).alias("leaf"), F.size(words).alias("n"), F.xxhash64(words).alias("k1"), F.xxhash64(F.lit(1), words).alias("k2")
+    )
+    path = shared_folder(docs.sparkSession, "line_keys") + "/keys"
+    keys.write.parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def recurring_lines(
+    docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text", keys: DataFrame | None = None
+) -> DataFrame:
+    """doc, line_no, template, n_docs, first_doc of each line whose template recurs. `keys`: the documents' `line_keys`, if at hand."""
     spark = docs.sparkSession
     folder = shared_folder(spark, "templates")
 
@@ -66,10 +83,10 @@ def recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id",
         df.write.parquet(f"{folder}/{name}")
         return spark.read.parquet(f"{folder}/{name}")
 
-    leading = F.transform(F.slice("words", 1, DEPTH), general)
-    lines = document_lines(docs, id_col, text_col).withColumn("leaf", F.xxhash64(F.size("words"), leading))
+    lines = document_lines(docs, id_col, text_col).withColumn("leaf", leaf_of(F.col("words")))
     # Leaves that enough documents share; a document's lines of a leaf count once.
-    leaves = lines.groupBy("leaf", "doc").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    keys = line_keys(docs, id_col, text_col) if keys is None else keys
+    leaves = keys.groupBy("leaf", "doc").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
     candidates = kept(lines.join(kept(leaves.select("leaf"), "leaves"), "leaf", "left_semi"), "candidates")
     words = candidates.select("leaf", "doc", F.posexplode("words").alias("place", "word"))
     seen = words.groupBy("leaf", "place", "word", "doc").agg(F.lit(1).alias("one"))
@@ -94,25 +111,24 @@ def recurring_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id",
     return templated.join(recurring, "template").select("doc", "line_no", "template", "n_docs", "first_doc")
 
 
-def repeated_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, line_no, n_texts, first_doc of each line that stands, word for word, in as many different texts as its length takes."""
-    spark = docs.sparkSession
-    folder = shared_folder(spark, "whole_lines")
-    n = F.size("words")
-    lines = document_lines(docs, id_col, text_col).where(n >= 3).select(
-        "doc", "line_no", n.alias("n"), F.xxhash64("words").alias("k1"), F.xxhash64(F.lit(1), "words").alias("k2")
-    )
-    by_text = lines.groupBy("k1", "k2", "n", F.col("doc.hash").alias("text")).agg(F.min("doc").alias("doc"))
-    counts = by_text.groupBy("k1", "k2", "n").agg(F.count("*").alias("n_texts"), F.min("doc").alias("first_doc"))
-    counts.where("n_texts >= 2").where(F.col("n_texts") >= min_docs - F.floor(F.col("n") / 2)).drop("n").write.parquet(f"{folder}/lines")
-    # Written, so that Spark knows its size and sends it to the tasks if it is small.
-    return lines.join(spark.read.parquet(f"{folder}/lines"), ["k1", "k2"]).select("doc", "line_no", "n_texts", "first_doc")
+def repeated_lines(keys: DataFrame, min_docs: int = 10) -> DataFrame:
+    """doc, line_no, n_texts, first_doc of each line (of `line_keys`) that stands in as many different texts as its length takes."""
+    path = shared_folder(keys.sparkSession, "whole_lines") + "/lines"
+    lines = keys.where("n >= 3").drop("leaf")
+    by_text = lines.groupBy("k1", "k2", "n", F.col("doc.hash").alias("text")).agg(F.lit(1).alias("one"))
+    counts = by_text.groupBy("k1", "k2", "n").agg(F.count("*").alias("n_texts")).where("n_texts >= 2")
+    counts.where(F.col("n_texts") >= min_docs - F.floor(F.col("n") / 2)).drop("n").write.parquet(path)
+    # Written, so that Spark knows its size and sends it to the tasks if it is small. First documents are sought for these lines only.
+    repeated = lines.join(keys.sparkSession.read.parquet(path), ["k1", "k2"])
+    first = repeated.groupBy("k1", "k2").agg(F.min("doc").alias("first_doc"))
+    return repeated.join(first, ["k1", "k2"]).select("doc", "line_no", "n_texts", "first_doc")
 
 
 def dropped_lines(docs: DataFrame, min_docs: int = 10, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc, lines: the numbers of the lines that a document loses."""
-    by_template = recurring_lines(docs, min_docs, id_col, text_col).where("doc <> first_doc").select("doc", "line_no")
-    whole = repeated_lines(docs, min_docs, id_col, text_col).where("doc.hash <> first_doc.hash").select("doc", "line_no")
+    keys = line_keys(docs, id_col, text_col)
+    by_template = recurring_lines(docs, min_docs, id_col, text_col, keys).where("doc <> first_doc").select("doc", "line_no")
+    whole = repeated_lines(keys, min_docs).where("doc.hash <> first_doc.hash").select("doc", "line_no")
     return by_template.unionByName(whole).groupBy("doc").agg(F.array_sort(F.collect_set("line_no")).alias("lines"))
 
 
