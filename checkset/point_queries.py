@@ -20,6 +20,13 @@ GROUPS_SQL = f"""{PAIRS_SQL},
 units AS (SELECT *, (bx - ax) // gcd(bx - ax, "by" - ay) * CASE WHEN bx < ax OR (bx = ax AND "by" < ay) THEN -1 ELSE 1 END AS ux,
                  ("by" - ay) // gcd(bx - ax, "by" - ay) * CASE WHEN bx < ax OR (bx = ax AND "by" < ay) THEN -1 ELSE 1 END AS uy FROM pairs)"""
 
+# Every anchor's set with its points in order, by an ordinary grouping of pairs.
+SETS_SQL = f"""{GROUPS_SQL},
+with_anchor AS (SELECT ax, ay, ux, uy, slope, bx AS x, "by" AS y FROM units UNION SELECT ax, ay, ux, uy, slope, ax, ay FROM units),
+sets AS (
+  SELECT ax, ay, any_value(slope) AS slope, count(*) AS n_points, string_agg(x || ':' || y, ';' ORDER BY x, y) AS points
+  FROM with_anchor GROUP BY ax, ay, ux, uy HAVING count(*) >= 3)"""
+
 # Lines by direction in lowest terms and exact offset, their points by an ordinary grouping of pairs.
 LINES_SQL = f"""{GROUPS_SQL},
 members AS (SELECT DISTINCT ux, uy, ux * ay - uy * ax AS c, ax AS x, ay AS y FROM units),
@@ -30,11 +37,20 @@ lines AS (
   FROM members QUALIFY n_points >= 3)"""
 
 
+def _text(points):
+    pair = F.transform(points, lambda p: F.concat_ws(":", p["x"], p["y"]))
+    return F.array_join(pair, ";").alias(points)
+
+
 def _ends(sets):
     ends = [F.col(f"{end}.{c}").alias(f"{end}_{c}") for end in ("first", "last") for c in ("x", "y")]
     return sets.select(*[c for c in sets.columns if c not in ("first", "last", "dx", "dy")], *ends)
 
 
+def _anchor_sets(spark, sf_dir):
+    return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
+
+
 def p01_parse(spark, sf_dir):
     return pt.parse_points(point_lines(spark, sf_dir))
 
@@ -48,7 +64,8 @@ def p03_slope(spark, sf_dir):
 
 
 def p04_anchor_groups(spark, sf_dir):
-    return _ends(pt.anchor_groups(pt.point_rays(points(spark, sf_dir))))
+    groups = pt.anchor_groups(pt.point_rays(points(spark, sf_dir)))
+    return groups.select("ax", "ay", "slope", "n_others", _text("others"))
 
 
 def p05_min3(spark, sf_dir):
@@ -102,8 +119,7 @@ SQL = {
     "p02_pairs": f'{PAIRS_SQL} SELECT ax, ay, bx, "by" FROM pairs',
     "p03_slope": f'{PAIRS_SQL} SELECT ax, ay, bx, "by", slope FROM pairs',
     "p04_anchor_groups": f"""{GROUPS_SQL}
-SELECT ax, ay, any_value(slope) AS slope, count(*) AS n_others, first(bx ORDER BY bx, "by") AS first_x, first("by" ORDER BY bx, "by") AS first_y,
-       last(bx ORDER BY bx, "by") AS last_x, last("by" ORDER BY bx, "by") AS last_y
+SELECT ax, ay, any_value(slope) AS slope, count(*) AS n_others, string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS others
 FROM units GROUP BY ax, ay, ux, uy""",
     "p05_min3": f"""{GROUPS_SQL},
 with_anchor AS (SELECT ax, ay, ux, uy, slope, bx, "by" FROM units UNION SELECT ax, ay, ux, uy, any_value(slope), ax, ay FROM units GROUP BY ALL)

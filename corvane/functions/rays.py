@@ -29,12 +29,16 @@ def ray_class(ux: np.ndarray, uy: np.ndarray, classes: int) -> np.ndarray:
 
 
 def shared_rays(ux: np.ndarray, uy: np.ndarray, t: np.ndarray, least: int) -> tuple[np.ndarray, ...]:
-    """Directions of `least` or more steps: ux, uy, number of steps, of those with t < 0, smallest and largest t."""
+    """Directions of `least` or more steps: ux, uy, number of steps, of those with t < 0, smallest and largest t.
+
+    The last array holds their steps t, a direction after the other, ascending in each.
+    """
     order = np.lexsort((t, uy, ux))
     ux, uy, t = ux[order], uy[order], t[order]
     starts = np.flatnonzero(np.concatenate([[True], (ux[1:] != ux[:-1]) | (uy[1:] != uy[:-1])])[: len(t)])
     ends = np.append(starts[1:], len(t))
     kept = ends - starts >= least
+    steps = t[np.repeat(kept, ends - starts)]
     starts, ends = starts[kept], ends[kept]
     before = np.concatenate([[0], np.cumsum(t < 0)])
-    return ux[starts], uy[starts], ends - starts, before[ends] - before[starts], t[starts], t[ends - 1]
+    return ux[starts], uy[starts], ends - starts, before[ends] - before[starts], t[starts], t[ends - 1], steps

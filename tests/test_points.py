@@ -269,3 +269,18 @@ def test_fetch_keeps_to_its_bound(spark, rows):
     assert sorted(r.i for r in fetch(df, len(rows))) == rows
     with pytest.raises(ValueError, match="stated"):
         fetch(df.unionByName(spark.createDataFrame([(9,)], "i long")), len(rows))
+
+
+def seen_groups(rows):
+    """The points that each anchor sees in one direction, by brute force."""
+    seen = {}
+    for (ax, ay), (bx, by) in itertools.permutations(sorted(set(rows)), 2):
+        g = math.gcd(bx - ax, by - ay) * (-1 if (bx, by) < (ax, ay) else 1)
+        seen.setdefault((ax, ay, (bx - ax) // g, (by - ay) // g), []).append((bx, by))
+    return seen
+
+
+def test_groups_list_all_their_points(spark):
+    rows = random_points(9, 40, -4, 4) + [(1 << 40, 3 << 40), (-(1 << 40), -(3 << 40)), (0, 0)]
+    got = {(r["ax"], r["ay"], r["dx"], r["dy"]): list(map(tuple, r["others"])) for r in pt.anchor_groups(pt.point_rays(frame(spark, rows))).collect()}
+    assert got == {key: sorted(others) for key, others in seen_groups(rows).items()}
