@@ -51,6 +51,10 @@ def _anchor_sets(spark, sf_dir):
     return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
 
 
+def _anchor_sets(spark, sf_dir):
+    return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
+
+
 def p01_parse(spark, sf_dir):
     return pt.parse_points(point_lines(spark, sf_dir))
 
@@ -69,7 +73,7 @@ def p04_anchor_groups(spark, sf_dir):
 
 
 def p05_min3(spark, sf_dir):
-    return _ends(pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2))))
+    return _anchor_sets(spark, sf_dir).select("ax", "ay", "slope", "n_points", _text("points"))
 
 
 def p06_sorted(spark, sf_dir):
@@ -121,11 +125,10 @@ SQL = {
     "p04_anchor_groups": f"""{GROUPS_SQL}
 SELECT ax, ay, any_value(slope) AS slope, count(*) AS n_others, string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS others
 FROM units GROUP BY ax, ay, ux, uy""",
-    "p05_min3": f"""{GROUPS_SQL},
-with_anchor AS (SELECT ax, ay, ux, uy, slope, bx, "by" FROM units UNION SELECT ax, ay, ux, uy, any_value(slope), ax, ay FROM units GROUP BY ALL)
-SELECT ax, ay, any_value(slope) AS slope, count(*) AS n_points, first(bx ORDER BY bx, "by") AS first_x, first("by" ORDER BY bx, "by") AS first_y,
-       last(bx ORDER BY bx, "by") AS last_x, last("by" ORDER BY bx, "by") AS last_y
-FROM with_anchor GROUP BY ax, ay, ux, uy HAVING count(*) >= 3""",
+    "p05_min3": f"""{GROUPS_SQL}
+SELECT ax, ay, any_value(slope) AS slope, count(*) + 1 AS n_points,
+       string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") || ';' || ax || ':' || ay AS points
+FROM units GROUP BY ax, ay, ux, uy HAVING count(*) >= 2""",
     "p06_sorted": f"{LINES_SQL} SELECT slope, intercept, n_points, position, x, y FROM lines",
     "p07_distinct_sets": f"""{GROUPS_SQL},
 sets AS (SELECT DISTINCT string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS points FROM (

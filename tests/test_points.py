@@ -284,3 +284,10 @@ def test_groups_list_all_their_points(spark):
     rows = random_points(9, 40, -4, 4) + [(1 << 40, 3 << 40), (-(1 << 40), -(3 << 40)), (0, 0)]
     got = {(r["ax"], r["ay"], r["dx"], r["dy"]): list(map(tuple, r["others"])) for r in pt.anchor_groups(pt.point_rays(frame(spark, rows))).collect()}
     assert got == {key: sorted(others) for key, others in seen_groups(rows).items()}
+
+
+def test_sets_of_an_anchor_hold_all_points_and_the_anchor_last(spark):
+    rows = random_points(10, 40, -4, 4)
+    sets = pt.anchor_sets(pt.anchor_groups(pt.point_rays(frame(spark, rows), least=2)))
+    got = {(r["ax"], r["ay"], r["dx"], r["dy"]): list(map(tuple, r["points"])) for r in sets.collect()}
+    assert got == {key: [*sorted(others), key[:2]] for key, others in seen_groups(rows).items() if len(others) >= 2}
