@@ -55,6 +55,10 @@ def _anchor_sets(spark, sf_dir):
     return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
 
 
+def _anchor_sets(spark, sf_dir):
+    return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
+
+
 def p01_parse(spark, sf_dir):
     return pt.parse_points(point_lines(spark, sf_dir))
 
@@ -77,7 +81,8 @@ def p05_min3(spark, sf_dir):
 
 
 def p06_sorted(spark, sf_dir):
-    return pt.lines_through_points(points(spark, sf_dir)).drop("line")
+    sets = pt.sort_points(_anchor_sets(spark, sf_dir))
+    return sets.select("ax", "ay", "slope", "n_points", _text("points"))
 
 
 def p07_distinct_sets(spark, sf_dir):
@@ -129,7 +134,7 @@ FROM units GROUP BY ax, ay, ux, uy""",
 SELECT ax, ay, any_value(slope) AS slope, count(*) + 1 AS n_points,
        string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") || ';' || ax || ':' || ay AS points
 FROM units GROUP BY ax, ay, ux, uy HAVING count(*) >= 2""",
-    "p06_sorted": f"{LINES_SQL} SELECT slope, intercept, n_points, position, x, y FROM lines",
+    "p06_sorted": f"{SETS_SQL} SELECT ax, ay, slope, n_points, points FROM sets",
     "p07_distinct_sets": f"""{GROUPS_SQL},
 sets AS (SELECT DISTINCT string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS points FROM (
     SELECT ax, ay, ux, uy, bx, "by" FROM units UNION SELECT ax, ay, ux, uy, ax, ay FROM units) GROUP BY ax, ay, ux, uy HAVING count(*) >= 3),

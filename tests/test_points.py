@@ -291,3 +291,10 @@ def test_sets_of_an_anchor_hold_all_points_and_the_anchor_last(spark):
     sets = pt.anchor_sets(pt.anchor_groups(pt.point_rays(frame(spark, rows), least=2)))
     got = {(r["ax"], r["ay"], r["dx"], r["dy"]): list(map(tuple, r["points"])) for r in sets.collect()}
     assert got == {key: [*sorted(others), key[:2]] for key, others in seen_groups(rows).items() if len(others) >= 2}
+
+
+def test_sorted_sets_come_from_every_anchor(spark):
+    rows = random_points(11, 40, -4, 4)
+    sets = pt.sort_points(pt.anchor_sets(pt.anchor_groups(pt.point_rays(frame(spark, rows)))))
+    got = Counter(((r["ax"], r["ay"]), tuple(map(tuple, r["points"]))) for r in sets.collect())
+    assert got == Counter((p, line) for line in brute_force(rows) for p in line)
