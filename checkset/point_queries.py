@@ -42,19 +42,6 @@ def _text(points):
     return F.array_join(pair, ";").alias(points)
 
 
-def _ends(sets):
-    ends = [F.col(f"{end}.{c}").alias(f"{end}_{c}") for end in ("first", "last") for c in ("x", "y")]
-    return sets.select(*[c for c in sets.columns if c not in ("first", "last", "dx", "dy")], *ends)
-
-
-def _anchor_sets(spark, sf_dir):
-    return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
-
-
-def _anchor_sets(spark, sf_dir):
-    return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
-
-
 def _anchor_sets(spark, sf_dir):
     return pt.anchor_sets(pt.anchor_groups(pt.point_rays(points(spark, sf_dir), least=2)))
 
@@ -86,7 +73,8 @@ def p06_sorted(spark, sf_dir):
 
 
 def p07_distinct_sets(spark, sf_dir):
-    return pt.distinct_lines(pt.lines_through_points(points(spark, sf_dir))).select("x", "y", "slope", "n_points")
+    sets = pt.distinct_sets(pt.sort_points(_anchor_sets(spark, sf_dir)))
+    return sets.select(_text("points"))
 
 
 def p08_collinear(spark, sf_dir):
@@ -135,13 +123,7 @@ SELECT ax, ay, any_value(slope) AS slope, count(*) + 1 AS n_points,
        string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") || ';' || ax || ':' || ay AS points
 FROM units GROUP BY ax, ay, ux, uy HAVING count(*) >= 2""",
     "p06_sorted": f"{SETS_SQL} SELECT ax, ay, slope, n_points, points FROM sets",
-    "p07_distinct_sets": f"""{GROUPS_SQL},
-sets AS (SELECT DISTINCT string_agg(bx || ':' || "by", ';' ORDER BY bx, "by") AS points FROM (
-    SELECT ax, ay, ux, uy, bx, "by" FROM units UNION SELECT ax, ay, ux, uy, ax, ay FROM units) GROUP BY ax, ay, ux, uy HAVING count(*) >= 3),
-cut AS (SELECT [[CAST(c AS BIGINT) for c in string_split(p, ':')] for p in string_split(points, ';')] AS p FROM sets)
-SELECT p[1][1] AS x, p[1][2] AS y, len(p) AS n_points,
-       CASE WHEN p[1][1] = p[2][1] THEN 'Infinity'::DOUBLE ELSE CAST(p[2][2] - p[1][2] AS DOUBLE) / (p[2][1] - p[1][1]) + 0.0 END AS slope
-FROM cut""",
+    "p07_distinct_sets": f"{SETS_SQL} SELECT DISTINCT points FROM sets",
     "p08_collinear": f"{LINES_SQL} SELECT slope, intercept, n_points, x, y FROM lines",
     "p09_line_params": f'{LINES_SQL} SELECT DISTINCT slope, intercept, ux AS dx, uy AS dy, c AS "offset" FROM lines',
     "p10_set_differences": f"""{LINES_SQL},

@@ -298,3 +298,16 @@ def test_sorted_sets_come_from_every_anchor(spark):
     sets = pt.sort_points(pt.anchor_sets(pt.anchor_groups(pt.point_rays(frame(spark, rows)))))
     got = Counter(((r["ax"], r["ay"]), tuple(map(tuple, r["points"]))) for r in sets.collect())
     assert got == Counter((p, line) for line in brute_force(rows) for p in line)
+
+
+def test_distinct_sets_list_their_points_once(spark):
+    rows = random_points(12, 60, -5, 5)
+    sets = pt.distinct_sets(pt.sort_points(pt.anchor_sets(pt.anchor_groups(pt.point_rays(frame(spark, rows), least=2)))))
+    got = Counter(tuple(map(tuple, r["points"])) for r in sets.collect())
+    assert got == Counter(brute_force(rows))
+
+
+@pytest.mark.parametrize("rows", [[], [(1, 1)], [(1, 1), (2, 2)]])
+def test_too_few_points_make_no_set(spark, rows):
+    groups = pt.anchor_groups(pt.point_rays(frame(spark, rows)))
+    assert groups.count() == max(0, 2 * (len(rows) - 1)) and pt.anchor_sets(groups).isEmpty()
