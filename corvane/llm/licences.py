@@ -6,12 +6,13 @@ fitted on what the templates below give: whole, cut, with a word left out, with
 names and years around; and, for `unknown`, on paragraphs of the corpus itself
 and on sentences that only speak of licences. The probability from which on a
 family counts is calibrated on rows held out. A prediction stands only if the
-paragraph and a template of the family share enough of their word pairs.
+paragraph and a template of the family share enough of their word pairs: those of
+the shorter of the two if the paragraph has a cue word, those of the template if not.
 
-A paragraph is a line. Only lines with a cue word, which all templates have, are
-looked at, because no other could be confirmed. Everything on the way is
-built-in functions and Spark's own estimator; the sample for `unknown` is bounded
-by `background` rows, chosen by hash. All lines of all texts are scanned.
+A paragraph is a line. Every line with a word goes through the classifier.
+Everything on the way is built-in functions and Spark's own estimator; the sample
+for `unknown` is bounded by `background` rows, chosen by hash among the lines
+without a cue word, less those that a template would confirm.
 
 Defined results: null and empty texts have no paragraphs; lines of any length
 are read whole; rows are judged by themselves, so repeated rows get equal
@@ -81,6 +82,7 @@ OTHER_SENTENCES = [
     "A licence fee pays for public radio in general.",
     "The committee discussed which license the project should choose.",
 ]
+WITH_WORD = r"[\p{L}\p{N}]"
 CUE = r"(?i)licen[cs]|copyright|rights reserved|\bgpl\b|\bcc[ -]by\b"
 UNKNOWN = "unknown"
 
@@ -112,13 +114,42 @@ def _features(df: DataFrame, text: str, training: Training) -> DataFrame:
     )
 
 
+def _lines(text: str) -> Column:
+    return F.split(text, "\n", -1)
+
+
 def candidate_lines(docs: DataFrame) -> DataFrame:
-    """doc (id and text hash), line_no, line of (id, text) rows' lines with a cue word."""
-    holding = docs.where(F.col("text").rlike(CUE))
-    lines = holding.select(
-        F.struct("id", F.xxhash64("text").alias("hash")).alias("doc"), F.posexplode(F.split("text", "\n", -1)).alias("line_no", "line")
+    """doc (id and text hash), line_no, line of every line with a word of (id, text) rows; repeated rows repeat theirs."""
+    # Hashed before the lines are dealt out: beside them, the whole text would be hashed for each.
+    keyed = docs.select(_key(), "text")
+    lines = keyed.select("doc", F.posexplode(_lines("text")).alias("line_no", "line"))
+    return lines.where(F.col("line").rlike(WITH_WORD))
+
+
+def _key() -> Column:
+    return F.struct("id", F.xxhash64("text").alias("hash")).alias("doc")
+
+
+def _templates(spark: SparkSession) -> DataFrame:
+    """family, templates (arrays of word pairs): one row for each family."""
+    templates = spark.createDataFrame([(f, t) for f, texts in TEMPLATES.items() for t in texts], "family string, template string")
+    return templates.select("family", pairs_of(words_of(F.col("template"))).alias("template_pairs")).groupBy("family").agg(
+        F.collect_list("template_pairs").alias("templates")
     )
-    return lines.where(F.col("line").rlike(CUE)).distinct()
+
+
+def _confirmed(line: str, pairs: str, templates: str, training: Training) -> Column:
+    """Whether a line and one of the templates share enough pairs.
+
+    A line with a cue word may be a part of a template, or hold one: the shorter of the two counts.
+    Of other lines, a few common words would do so; they have to hold enough of the template.
+    """
+    held = lambda t: F.size(F.array_intersect(pairs, t))
+    enough = lambda t, n: held(t) / n >= training.shared_pairs
+    shorter = lambda t: F.least(F.size(pairs), F.size(t))
+    has_cue = F.col(line).rlike(CUE)
+    found = F.when(has_cue, F.exists(templates, lambda t: enough(t, shorter(t)))).otherwise(F.exists(templates, lambda t: enough(t, F.size(t))))
+    return F.coalesce(found, F.lit(False))
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, training: Training) -> DataFrame:
@@ -138,7 +169,11 @@ def training_rows(spark: SparkSession, docs: DataFrame, training: Training) -> D
     )
     # The lines of the smallest hashes; equal ones once.
     sample = lines.groupBy(F.xxhash64("text").alias("hash")).agg(F.min("text").alias("text")).orderBy("hash").limit(training.background)
-    return made.unionByName(sample.select(F.lit(UNKNOWN).alias("family"), "text"))
+    # A notice without a cue word is no example of `unknown`.
+    every = _templates(spark).agg(F.flatten(F.collect_list("templates")).alias("templates"))
+    paired = sample.select("text", pairs_of(words_of(F.col("text"))).alias("pairs")).crossJoin(F.broadcast(every))
+    strangers = paired.where(~_confirmed("text", "pairs", "templates", training))
+    return made.unionByName(strangers.select(F.lit(UNKNOWN).alias("family"), "text"))
 
 
 def fit(spark: SparkSession, docs: DataFrame, training: Training = Training()) -> tuple[LogisticRegressionModel, float]:
@@ -165,46 +200,38 @@ def _scored(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
     return probability.withColumn("best", best).withColumn("predicted", F.array_position("probabilities", best).cast("int") - 1)
 
 
-def notices(docs: DataFrame, training: Training = Training(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc, line_no, line, family, probability, confirmed of each line with a cue word; `unknown` is never confirmed."""
-    spark = docs.sparkSession
-    rows = narrow(docs, id=id_col, text=text_col)
+def _judged(rows: DataFrame, training: Training) -> DataFrame:
+    """doc, line_no, line, family, probability, confirmed of every line with a word of (id, text) rows."""
+    spark = rows.sparkSession
     model, threshold = fit(spark, rows, training)
     families = [UNKNOWN, *TEMPLATES]
     scored = _scored(model, _features(candidate_lines(rows), "line", training))
-    named = scored.select(
-        "doc",
-        "line_no",
-        "line",
-        F.when(F.col("best") >= threshold, F.get(F.array(*map(F.lit, families)), F.col("predicted"))).otherwise(UNKNOWN).alias("family"),
-        F.col("best").alias("probability"),
-        "pairs",
-    )
-    templates = spark.createDataFrame([(f, t) for f, texts in TEMPLATES.items() for t in texts], "family string, template string")
-    known = templates.select("family", pairs_of(words_of(F.col("template"))).alias("template_pairs")).groupBy("family").agg(
-        F.collect_list("template_pairs").alias("templates")
-    )
-    # Of the shorter of the two, so that a notice within a longer paragraph counts as one.
-    share = lambda t: F.size(F.array_intersect("pairs", t)) / F.least(F.size("pairs"), F.size(t))
-    confirmed = F.exists("templates", lambda t: share(t) >= training.shared_pairs)
-    # One row for each family.
-    joined = named.join(F.broadcast(known), "family", "left")
-    return joined.select("doc", "line_no", "line", "family", "probability", F.coalesce(confirmed, F.lit(False)).alias("confirmed"))
+    family = F.when(F.col("best") >= threshold, F.get(F.array(*map(F.lit, families)), F.col("predicted"))).otherwise(UNKNOWN)
+    # `inline` has each line judged once; filters on the family as a column would judge it again.
+    named = scored.select("doc", "line_no", "line", "pairs", F.inline(F.array(F.struct(family.alias("family"), F.col("best").alias("probability")))))
+    joined = named.join(F.broadcast(_templates(spark)), "family", "left")
+    confirmed = _confirmed("line", "pairs", "templates", training)
+    return joined.select("doc", "line_no", "line", "family", "probability", confirmed.alias("confirmed"))
+
+
+def notices(docs: DataFrame, training: Training = Training(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc, line_no, line, family, probability, confirmed of each line with a word; `unknown` is never confirmed."""
+    return _judged(narrow(docs, id=id_col, text=text_col), training).distinct()
 
 
 def scan(docs: DataFrame, training: Training = Training(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_candidates, n_confirmed, families, places (line_no, family) of every document."""
-    found = notices(docs, training, id_col, text_col)
-    place = F.when(F.col("confirmed"), F.struct("line_no", "family"))
-    by_doc = found.groupBy("doc").agg(
-        F.count("*").alias("n_candidates"), F.count_if("confirmed").alias("n_confirmed"), F.array_sort(F.collect_list(place)).alias("places")
-    )
-    every = narrow(docs, id=id_col, text=text_col).select("id", F.struct("id", F.xxhash64("text").alias("hash")).alias("key"))
+    """doc_id, n_candidates (lines with a word), n_confirmed, families, places (line_no, family) of every document."""
+    rows = narrow(docs, id=id_col, text=text_col)
+    # Repeated rows give equal notices, which count once; only those leave their task.
+    found = _judged(rows, training).where("confirmed").select("doc", F.struct("line_no", "family").alias("place")).distinct()
+    by_doc = found.groupBy("doc").agg(F.count("*").alias("n_confirmed"), F.array_sort(F.collect_list("place")).alias("places"))
     none = F.array().cast("array<struct<line_no:int,family:string>>")
+    judged = F.size(F.filter(F.coalesce(_lines("text"), F.array().cast("array<string>")), lambda line: line.rlike(WITH_WORD)))
+    every = rows.select("id", _key().alias("key"), judged.cast("long").alias("n_candidates"))
     joined = every.join(by_doc, every.key == by_doc.doc, "left").withColumn("places", F.coalesce("places", none))
     return joined.select(
         F.col("id").alias("doc_id"),
-        F.coalesce("n_candidates", F.lit(0)).cast("long").alias("n_candidates"),
+        "n_candidates",
         F.coalesce("n_confirmed", F.lit(0)).cast("long").alias("n_confirmed"),
         F.array_sort(F.array_distinct(F.col("places.family"))).alias("families"),
         "places",

@@ -1,6 +1,6 @@
 import random
 
-from corvane.llm.licences import TEMPLATES, scan
+from corvane.llm.licences import TEMPLATES, Training, notices, scan, training_rows
 
 PROSE = "the of to and a in is it you that he was for on are with as his they be at one have this from".split()
 
@@ -49,3 +49,27 @@ def test_edge_cases(spark):
         key=str,
     )
     assert scan(df.limit(0)).collect() == []
+
+
+def test_notices_without_a_cue_word_are_found(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    gpl = "You can redistribute it and/or modify it under the terms of the General Public rules as published by the Free Software Foundation."
+    rng = random.Random(8)
+    rows = [(1, f"{prose(rng)}\n{mit}"), (2, f"{bsd}\n{prose(rng)}"), (3, gpl), (4, "of the\nin source\nfree of charge\nunder the terms\n\n - "), (5, prose(rng))]
+    df = spark.createDataFrame(rows * 2, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_candidates, r.n_confirmed, [tuple(p) for p in r.places]) for r in scan(df).collect())
+    assert got == sorted([(1, 2, 1, [(1, "mit")]), (2, 2, 1, [(0, "bsd")]), (3, 1, 1, [(0, "gpl-3.0")]), (4, 4, 0, []), (5, 1, 0, [])] * 2)
+
+
+def test_every_line_with_a_word_is_judged(spark):
+    df = spark.createDataFrame([(1, "the cat sat\n\n...\nAll rights reserved."), (1, "the cat sat\n\n...\nAll rights reserved."), (2, None)], "doc_id long, text string")
+    got = sorted((r.line_no, r.family, r.confirmed) for r in notices(df).collect())
+    assert got == [(0, "unknown", False), (3, "proprietary", True)]
+
+
+def test_notices_without_a_cue_word_are_no_examples_of_unknown(spark):
+    grant = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software."
+    df = spark.createDataFrame([(1, f"the cat sat on the mat\n{grant}")], "id long, text string")
+    unknown = {r.text for r in training_rows(spark, df, Training()).where("family = 'unknown'").collect()}
+    assert "the cat sat on the mat" in unknown and grant not in unknown
