@@ -161,3 +161,35 @@ def test_texts_stay_out_of_the_shuffles(frames, spark, tmp_path, settings):
     assert len(shuffled) >= 5 and not any("text" in columns or "raw" in columns for columns in shuffled)
     assert plan.count("WindowGroupLimit") == 2
     assert "TakeOrderedAndProject" in plan_of(mn.top_tokens(frequent))
+
+
+def test_groups_are_counted_before_pairs_meet_the_frequent_tokens(frames, posts, spark, tmp_path, settings):
+    """Counting first gives the counts of the frequent pairs, and shuffles pairs by user or not at all, never by token."""
+    messages, groups = frames
+    twice = groups.unionByName(groups.where("user_id = 'u0'"))
+    pairs = mn.user_tokens(messages)
+    frequent = mn.frequent(mn.mentions(pairs), 20)
+    columns = ["group_id", "token", "n_k", "n_all"]
+    first = mn.frequent_pairs(mn.group_mentions(pairs, twice), frequent).select(columns)
+    last = mn.group_mentions(mn.frequent_pairs(pairs, frequent), twice).select(columns)
+    assert sorted(map(tuple, first.collect())) == sorted(map(tuple, last.collect()))
+
+
+@pytest.mark.parametrize("job", ["query", "report"])
+def test_no_pair_is_shuffled_by_token(spark, tmp_path, settings, monkeypatch, frames, posts, job):
+    import json
+
+    from checkset import message_queries as mq
+
+    settings(spark__sql__adaptive__enabled="false")
+    seen = []
+    joined = mn.frequent_pairs
+    monkeypatch.setattr(mn, "frequent_pairs", lambda rows, frequent: seen.append(rows.columns) or joined(rows, frequent))
+    if job == "query":
+        monkeypatch.setattr(mq, "messages", lambda *_: frames[0])
+        monkeypatch.setattr(mq, "user_groups", lambda *_: frames[1])
+        mq.t17_popularity(spark, "").collect()
+    else:
+        lines = [json.dumps({"created_at": "x", "user": {"id_str": u}, "text": " ".join(w)}) for u, w in posts]
+        message_report(lines_from(spark, lines), frames[1], ResultStore(spark, str(tmp_path / "out")), min_users=20)
+    assert seen and all("user_id" not in columns for columns in seen)

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -97,3 +98,14 @@ def test_character_classes_are_those_of_unicode_aware_python(spark):
         expected = [bool(re.fullmatch(p, c)) for p in (r"\w", r"\s", r"\d")] + [bool(re.fullmatch("[a-z]", c, re.I))]
         assert [r["word"], r["space"], r["digit"], r["letter"]] == expected, hex(ord(c))
         assert r["lower"] == c.lower(), hex(ord(c))
+
+
+def test_tokens_follow_the_plain_grammar_at_any_start(spark):
+    """Words, URLs, emoticons and gaps in all neighbourhoods, against the plain alternation."""
+    rng = random.Random(12)
+    parts = ["http", "https://A.b/C", "httpx", "HTTP://", "d", "D", "p", "P", "d8", "D-:", "p=)", "Po8x", "d'", "p'n", "8", ":", "-", "o", "h", "H1", "ab", "a_b", "a-b-", "x'", "é", "né", "\u0130i",
+             "ſs", "K", "٣", "²", "_", "#", "@", "<", ">", "&lt;", "...", " ", "  ", "\t\n", "\u3000", "\u00a0 ", "1,0", "555 1234", "+1"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(3000)] + [" " * 50_000, "a" + " " * 50_000 + "b"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = F.regexp_extract_all(tk.normalise_entities(F.col("text")), F.lit(tk.PLAIN_TOKEN), F.lit(0))
+    assert df.select(tk.raw_tokens(F.col("text")).alias("t"), plain.alias("p"), "text").where("t <> p").collect() == []
