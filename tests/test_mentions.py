@@ -193,3 +193,64 @@ def test_no_pair_is_shuffled_by_token(spark, tmp_path, settings, monkeypatch, fr
         lines = [json.dumps({"created_at": "x", "user": {"id_str": u}, "text": " ".join(w)}) for u, w in posts]
         message_report(lines_from(spark, lines), frames[1], ResultStore(spark, str(tmp_path / "out")), min_users=20)
     assert seen and all("user_id" not in columns for columns in seen)
+
+
+def listed_often(spark, tmp_path):
+    """Users listed twice in one group, in two groups, without a group or a name; stored, as the jobs do."""
+    rows = [*GROUP_OF.items(), ("u1", 1), ("u2", 2), ("u2", 2), ("u2", 5), ("u3", None), (None, 4), (None, 4), ("u39", None)]
+    groups = spark.createDataFrame(rows, "user_id string, group_id int")
+    return groups, ResultStore(spark, str(tmp_path / "store")).write("lists", ms.group_lists(groups))
+
+
+def test_pairs_with_groups_give_the_counts_of_the_lookup(frames, spark, tmp_path):
+    """One row per user, token and all the user's groups: each counts as often as a lookup of the pairs would find it."""
+    groups, lists = listed_often(spark, tmp_path)
+    messages = frames[0].unionByName(spark.createDataFrame([(None, "sun sun"), ("u2", ""), ("u2", None)], "user_id string, text string"))
+    plain, grouped = mn.user_tokens(messages), mn.user_tokens(messages, group_lists=lists)
+    assert sorted(map(str, grouped.select("user_id", "token").collect())) == sorted(map(str, plain.collect()))
+    for some, same in ((plain, grouped), [mn.frequent_pairs(p, mn.mentions(plain)) for p in (plain, grouped)]):
+        want = mn.group_mentions(some, groups)
+        found = mn.group_mentions(same)
+        assert found.columns == want.columns and found.dtypes == want.dtypes
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want.collect()))
+
+
+def shuffled_columns(spark, df):
+    formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", formatted)
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_report_shuffles_a_row_per_message_and_no_pairs(frames, posts, spark, tmp_path, settings, monkeypatch, threshold):
+    """With group tables of any size, pairs are formed behind the one shuffle by user, and only counts are shuffled then."""
+    import json
+
+    settings(spark__sql__autoBroadcastJoinThreshold=threshold)
+    written = {}
+    write = ResultStore.write
+    monkeypatch.setattr(ResultStore, "write", lambda self, name, df, **more: written.setdefault(name, df) and write(self, name, df, **more))
+    lines = [json.dumps({"created_at": "x", "user": {"id_str": u}, "text": " ".join(w)}) for u, w in posts]
+    message_report(lines_from(spark, lines), frames[1], ResultStore(spark, str(tmp_path / "out")), min_users=20)
+    pairs = shuffled_columns(spark, written["pairs"])
+    assert pairs and not any("token" in columns or "text" in columns for columns in pairs)
+    assert plan_of(written["pairs"]).count("regexp_extract_all") == 1
+    later = shuffled_columns(spark, written["popular_10_in_each_group"])
+    assert later and not any("user_id" in columns for columns in later)
+
+
+def test_a_busy_users_messages_are_split(frames, spark, tmp_path, settings):
+    messages, groups = frames
+    messages.repartition(8).write.parquet(str(tmp_path / "m"))
+    settings(
+        spark__sql__files__openCostInBytes="1",
+        spark__sql__files__maxPartitionBytes="4k",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="1k",
+        spark__sql__adaptive__coalescePartitions__enabled="false",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="1k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+    )
+    lists = ResultStore(spark, str(tmp_path / "store")).write("lists", ms.group_lists(groups))
+    pairs = mn.user_tokens(spark.read.parquet(str(tmp_path / "m")), group_lists=lists)
+    assert sorted(map(tuple, pairs.select("user_id", "token").collect())) == sorted(map(tuple, mn.user_tokens(messages).collect()))
+    pairs.collect()
+    assert "skew=true" in plan_of(pairs)
