@@ -254,3 +254,10 @@ def test_a_busy_users_messages_are_split(frames, spark, tmp_path, settings):
     assert sorted(map(tuple, pairs.select("user_id", "token").collect())) == sorted(map(tuple, mn.user_tokens(messages).collect()))
     pairs.collect()
     assert "skew=true" in plan_of(pairs)
+
+
+def test_only_users_with_several_groups_are_read_twice(frames, spark, tmp_path):
+    """The second read asks for a null group, which the statistics of stored pairs answer; a list has none."""
+    lists = ResultStore(spark, str(tmp_path / "store")).write("lists", ms.group_lists(frames[1]))
+    pairs = ResultStore(spark, str(tmp_path / "store")).write("pairs", mn.user_tokens(frames[0], group_lists=lists))
+    assert "IsNull(group_id)" in plan_of(mn.group_mentions(pairs))
